@@ -483,7 +483,9 @@ FROM range(40) r(i) CROSS JOIN edge LEFT JOIN hit ON hit.bin = r.i""",
         "load_typed": _load_typed_sql(),
         "load_projected": q.cte(*q.standin("admissions"))
         + f"SELECT SUBJECT_ID, HADM_ID, ADMISSION_TYPE, {q.category('INSURANCE', 'strip')} AS INSURANCE FROM admissions",
-        "export_features": q.cte(*base5) + "SELECT * REPLACE (round(LOS, 9) AS LOS) FROM final_features",
+        # CSV has one form for an empty text and for NULL; both are read back as NULL.
+        "export_features": q.cte(*base5)
+        + "SELECT * REPLACE (round(LOS, 9) AS LOS, nullif(INSURANCE, '') AS INSURANCE) FROM final_features",
         "features_5": q.cte(*base5) + "SELECT * REPLACE (round(LOS, 9) AS LOS) FROM final_features",
     }
     for key, family in (("window_link", "chart"), ("window_link_admission", "lab")):

@@ -100,7 +100,7 @@ def family_stats(family: str) -> list[tuple[str, str]]:
         return [
             (
                 "drug_stats",
-                f"""SELECT ICUSTAY_ID, {DRUG_KEY} AS stem, count(*) AS count, count_if(NAMED) AS named
+                f"""SELECT ICUSTAY_ID, {DRUG_KEY} AS stem, count(*) AS count, CAST(count_if(NAMED) AS BIGINT) AS named
 FROM drug_linked GROUP BY ALL""",
             )
         ]

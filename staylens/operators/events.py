@@ -21,28 +21,46 @@ def event_scan(raw: DataFrame, key: str, source: Source) -> DataFrame:
     """Narrow scan: link key, item, time and value of every usable event.
 
     Missing keys, times that do not parse and values that are no number are
-    dropped. On typed parquet the casts vanish and the filters are pushed down.
+    dropped. On typed parquet the casts vanish and the NULL filters reach the
+    scan.
     """
     require_columns(raw, [key, ITEM, source.time, source.value], source.table.upper())
-    return raw.select(
-        F.col(key).cast("bigint").alias(key),
-        F.col(ITEM).cast("bigint").alias(ITEM),
-        fn.timestamp(F.col(source.time)).alias(TIME),
-        fn.number(F.col(source.value)).alias(VALUE),
-    ).na.drop()
+    return usable_events(raw.filter(F.col(ITEM).isNotNull()), key, source).select(
+        F.col(key).cast("bigint").alias(key), F.col(ITEM).cast("bigint").alias(ITEM), TIME, VALUE
+    )
+
+
+def usable_events(raw: DataFrame, key: str, source: Source) -> DataFrame:
+    """Events with a link key, a valid time and a numeric value; all columns kept."""
+    time, value = fn.timestamp(F.col(source.time)), F.col(source.value).try_cast("double")
+    return raw.filter(
+        F.col(key).isNotNull() & time.isNotNull() & value.isNotNull() & ~F.isnan(value)
+    ).select(*[c for c in raw.columns if c not in (TIME, VALUE)], time.alias(TIME), value.alias(VALUE))
 
 
 def drug_scan(raw: DataFrame, key: str, source: Source) -> DataFrame:
-    """Prescriptions with their cleaned name, key and whether a name was given."""
+    """Prescriptions with key and time; names are cleaned only after linking."""
     require_columns(raw, [key, source.time, "DRUG", "DRUG_NAME_GENERIC"], source.table.upper())
     return raw.select(
         F.col(key).cast("bigint").alias(key),
         fn.timestamp(F.col(source.time)).alias(TIME),
-        fn.drug_name(F.col("DRUG"), F.col("DRUG_NAME_GENERIC")).alias("DRUG_NAME"),
-        F.coalesce(F.col("DRUG"), F.col("DRUG_NAME_GENERIC")).isNotNull().alias("NAMED"),
+        "DRUG",
+        "DRUG_NAME_GENERIC",
     ).filter(F.col(key).isNotNull() & F.col(TIME).isNotNull())
 
 
+def named_drugs(linked: DataFrame) -> DataFrame:
+    """Linked prescriptions with cleaned name, key and whether a name was given."""
+    drug, generic = F.col("DRUG"), F.col("DRUG_NAME_GENERIC")
+    return linked.select(
+        STAY,
+        TIME,
+        "INTIME",
+        F.coalesce(drug, generic).isNotNull().alias("NAMED"),
+        fn.drug_name(drug, generic).alias("DRUG_NAME"),
+    )
+
+
 def family_scan(tables: dict[str, DataFrame], family: Family) -> DataFrame:
     """All sources of a family in one shape (``UNION ALL`` of its tables)."""
     scan = drug_scan if family.name == "drug" else event_scan
@@ -130,7 +148,8 @@ def event_stats(linked: DataFrame, stats: tuple[str, ...], codes: list[int] | No
 def drug_counts(linked: DataFrame) -> DataFrame:
     """Prescriptions per (stay, drug key), and how many of them had a name."""
     return (
-        linked.withColumn("DRUG_KEY", fn.drug_key(F.col("DRUG_NAME")))
+        named_drugs(linked)
+        .withColumn("DRUG_KEY", fn.drug_key(F.col("DRUG_NAME")))
         .groupBy(STAY, "DRUG_KEY")
         .agg(F.count(F.lit(1)).alias("count"), F.count_if("NAMED").alias("named"))
     )

@@ -44,13 +44,9 @@ def link_counts(tables: Mapping[str, DataFrame], windows, limits: JoinLimits) ->
     The item may be missing here, so the scan differs from that of the features.
     """
     source = CHART.sources[0]
-    from staylens import functions as fn
-
-    valid = tables[source.table].select(
-        F.col(STAY).cast("bigint").alias(STAY),
-        fn.timestamp(F.col(source.time)).alias(ev.TIME),
-        fn.number(F.col(source.value)).alias(ev.VALUE),
-    ).na.drop().select(STAY, ev.TIME)
+    valid = ev.usable_events(tables[source.table], STAY, source).select(
+        F.col(STAY).cast("bigint").alias(STAY), ev.TIME
+    )
     linked = ev.link_any_time(valid, windows, limits)
     time = F.col(ev.TIME)
     return metric_rows(valid, {"valid_numeric_chartevents": F.count(F.lit(1))}).unionByName(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens import functions as fn
-from staylens.operators.events import ITEM
+from staylens.operators.events import ITEM, named_drugs
 
 NAMES_SHOWN = 5
 
@@ -36,7 +36,8 @@ def top_drugs(linked: DataFrame, n: int) -> DataFrame:
     that collects very many spellings does not gather them in one place.
     """
     names = (
-        linked.filter("NAMED")
+        named_drugs(linked)
+        .filter("NAMED")
         .groupBy("DRUG_NAME")
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("DRUG_KEY", fn.drug_key(F.col("DRUG_NAME")))

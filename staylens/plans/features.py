@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staylens import functions as fn
 from staylens.operators import events as ev
 from staylens.operators import selection as sel
 from staylens.operators.pivot import Feature, empty_family, feature_columns, pivot_features
@@ -196,24 +197,19 @@ def sweep_statistics(
     smallest = F.coalesce(
         *[F.when(offset <= h * 3_600_000_000, F.lit(h)) for h in sorted(hours)]
     )
-    linked = linked.withColumn("window_hours", smallest)
     if family.name == "drug":
         named = (
-            linked.withColumn("code", _drug_code())
+            ev.named_drugs(linked)
+            .withColumn("window_hours", smallest)
+            .withColumn("code", fn.drug_key(F.col("DRUG_NAME")))
             .groupBy(STAY, "code", "window_hours")
             .agg(F.count(F.lit(1)).alias("count"), F.count_if("NAMED").alias("ranked"))
         )
         return stays, named.withColumn("family", F.lit("drug"))
-    summary = ev.summarise(linked, [STAY, ev.ITEM, "window_hours"])
+    summary = ev.summarise(linked.withColumn("window_hours", smallest), [STAY, ev.ITEM, "window_hours"])
     return stays, summary.withColumn("family", F.lit(family.name))
 
 
-def _drug_code():
-    from staylens import functions as fn
-
-    return fn.drug_key(F.col("DRUG_NAME"))
-
-
 def sweep_features(
     tables: Mapping[str, DataFrame],
     groups: list[str],
