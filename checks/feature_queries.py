@@ -255,7 +255,7 @@ def _linked_parts(family, hours=HOURS):
 
 
 def _family_stats_sql(family):
-    final = f"SELECT * FROM {family}_stats"
+    final = "SELECT ICUSTAY_ID, ITEMID, " + ", ".join(f"{q.rounded(s, s)} AS {s}" for s in q.STATS[family]) + f" FROM {family}_stats"
     if family == "drug":
         final = "SELECT ICUSTAY_ID, stem AS DRUG_KEY, count, named FROM drug_stats"
     return q.cte(*_linked_parts(family), *q.family_stats(family)) + final
@@ -328,6 +328,7 @@ def static_features_5() -> list[tuple[str, str]]:
 
 
 CONTEXT_COLUMNS = [*ID_COLUMNS, *STAY_CATEGORIES, TARGET, "GENDER", "AGE", *ADMISSION_CATEGORIES, "HAS_CHARTEVENTS_DATA", "ED_LOS_HOURS"]
+ITEM_ROUNDED = ", ".join(f"round(item_{k}_{s}, 6) AS item_{k}_{s}" for k in CHART_CODES for s in ("mean", "std"))
 ITEM_COLUMNS = [f"item_{k}_{s}" for k in CHART_CODES for s in q.STATS["chart"]]
 FEATURE_COLUMNS = [c for c in CONTEXT_COLUMNS if c not in (*ID_COLUMNS, TARGET)] + ITEM_COLUMNS
 
@@ -394,7 +395,7 @@ def _pivot_sql():
         parts += q.linked(f) + q.family_stats(f) + q.top(f)
         stats = ", ".join(f"x.{s}" for s in q.STATS[f])
         pivots.append(f"SELECT x.ICUSTAY_ID, concat('{f}_', x.ITEMID) AS stem, {stats} FROM {f}_stats x JOIN {f}_top t USING (ITEMID)")
-    using = ", ".join(f"max({s}) AS {s}" for s in q.STATS["chart"])
+    using = ", ".join(f"{q.rounded(s, f'max({s})')} AS {s}" for s in q.STATS["chart"])
     return q.cte(*parts) + f"SELECT * FROM (PIVOT ({' UNION ALL '.join(pivots)}) ON stem USING {using} GROUP BY ICUSTAY_ID)"
 
 
@@ -485,8 +486,8 @@ FROM range(40) r(i) CROSS JOIN edge LEFT JOIN hit ON hit.bin = r.i""",
         + f"SELECT SUBJECT_ID, HADM_ID, ADMISSION_TYPE, {q.category('INSURANCE', 'strip')} AS INSURANCE FROM admissions",
         # CSV has one form for an empty text and for NULL; both are read back as NULL.
         "export_features": q.cte(*base5)
-        + "SELECT * REPLACE (round(LOS, 9) AS LOS, nullif(INSURANCE, '') AS INSURANCE) FROM final_features",
-        "features_5": q.cte(*base5) + "SELECT * REPLACE (round(LOS, 9) AS LOS) FROM final_features",
+        + f"SELECT * REPLACE (round(LOS, 9) AS LOS, nullif(INSURANCE, '') AS INSURANCE, {ITEM_ROUNDED}) FROM final_features",
+        "features_5": q.cte(*base5) + f"SELECT * REPLACE (round(LOS, 9) AS LOS, {ITEM_ROUNDED}) FROM final_features",
     }
     for key, family in (("window_link", "chart"), ("window_link_admission", "lab")):
         out[key] = q.cte(*_linked_parts(family)) + (

@@ -104,7 +104,7 @@ def family_stats(family: str) -> list[tuple[str, str]]:
 FROM drug_linked GROUP BY ALL""",
             )
         ]
-    columns = ", ".join(f"{rounded(s, STAT_SQL[s])} AS {s}" for s in STATS[family])
+    columns = ", ".join(f"{STAT_SQL[s]} AS {s}" for s in STATS[family])
     return [(f"{family}_stats", f"SELECT ICUSTAY_ID, ITEMID, {columns} FROM {family}_linked GROUP BY ALL")]
 
 
@@ -181,7 +181,7 @@ def features(group: str, mode: str = "plain") -> tuple[list[tuple[str, str]], st
         else:
             stats = ", ".join(f"x.{s}" for s in STATS[f])
             source = f"SELECT x.ICUSTAY_ID, concat('{prefix}_', x.ITEMID) AS stem, {stats} FROM {f}_stats x JOIN {f}_top t USING (ITEMID)"
-            using = ", ".join(f"max({s}) AS {s}" for s in STATS[f])
+            using = ", ".join(f"{rounded(s, f'max({s})')} AS {s}" for s in STATS[f])
             columns.append(f"{f}_wide.* EXCLUDE (ICUSTAY_ID)")
         kind = "JOIN" if f == "chart" and group != "more" else "LEFT JOIN"
         joins.append(f"{kind} (PIVOT ({source}) ON stem USING {using} GROUP BY ICUSTAY_ID) {f}_wide ON {f}_wide.ICUSTAY_ID = context.ICUSTAY_ID")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from staylens.operators.quantiles import exact_quantiles
 from staylens.operators.split import FOLD, with_folds
-from staylens.plans.models import PREDICTION, ModelSpec, boosted, forest
+from staylens.plans.models import PREDICTION, ModelSpec, boosted, forest, tree_input
 from staylens.plans.prepare import FEATURES, PREPARED
 from staylens.schemas import ID_COLUMNS, STAY, TARGET
 from staylens.session import keep
@@ -247,7 +247,7 @@ def tune(
         foldCol=FOLD,
         parallelism=parallelism,
     )
-    fitted = search.fit(with_folds(train, folds, seed))
+    fitted = search.fit(with_folds(tree_input(train, train.count()), folds, seed))
     scores = list(fitted.avgMetrics)
     best = min(range(len(scores)), key=lambda i: scores[i])
     return Tuned(kind, scores[best], settings[best], fitted.bestModel, list(zip(settings, scores)))

@@ -19,6 +19,7 @@ PREDICTION = "prediction"
 NORMAL_SOLVER_FEATURES = 4096
 EARLY_STOP_ROWS = 10_000
 EARLY_STOP_SHARE = 0.1
+ROWS_PER_TREE_TASK = 2_000
 
 
 def with_log_target(df: DataFrame) -> DataFrame:
@@ -109,8 +110,18 @@ def boosted(
     )
 
 
-def fit_forest(train: DataFrame, **options):
-    return forest(**options).fit(train)
+def tree_input(train: DataFrame, rows: int) -> DataFrame:
+    """Fewer partitions for a small training set, unchanged for a large one.
+
+    Every task of a tree level sends bins x features statistics per node,
+    whatever its number of rows, so tasks with few rows only add shuffle.
+    """
+    return train.coalesce(max(1, rows // ROWS_PER_TREE_TASK))
+
+
+def fit_forest(train: DataFrame, rows: int | None = None, **options):
+    rows = train.count() if rows is None else rows
+    return forest(**options).fit(tree_input(train, rows))
 
 
 def fit_boosted(train: DataFrame, rows: int | None = None, **options):
@@ -121,7 +132,7 @@ def fit_boosted(train: DataFrame, rows: int | None = None, **options):
         held_out = fn.hash_fraction(F.col(STAY), options.get("seed", 42)) < EARLY_STOP_SHARE
         train = train.withColumn("_held_out", held_out)
         estimator = estimator.setValidationIndicatorCol("_held_out")
-    return estimator.fit(train)
+    return estimator.fit(tree_input(train, rows))
 
 
 @dataclass(frozen=True)
