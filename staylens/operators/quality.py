@@ -116,15 +116,15 @@ def feature_names(df: DataFrame) -> list[str]:
 def missing_rates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Share of NULL per column, from one aggregate over all columns."""
     columns = columns if columns is not None else df.columns
-    wide = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), (1.0 - F.col(f"c{i}") / F.col("_n")).alias("missing_rate"))
-            for i, c in enumerate(columns)
-        ]
+    counted = ", ".join(f"count(`{c}`)" for c in columns)
+    wide = df.agg(F.count(F.lit(1)).alias("_n"), F.expr(f"array({counted})").alias("_counts"))
+    names = F.array(*[F.lit(c) for c in columns])
+    # An empty table has no rates.
+    return (
+        wide.filter(F.col("_n") > 0)
+        .select("_n", F.explode(F.arrays_zip(names.alias("column"), F.col("_counts").alias("filled"))).alias("_m"))
+        .select("_m.column", (1.0 - F.col("_m.filled") / F.col("_n")).alias("missing_rate"))
     )
-    # An empty table has no rates; try_divide-like NULL instead of an error.
-    return wide.filter(F.col("_n") > 0).select(F.explode(pairs).alias("_m")).select("_m.*")
 
 
 def top_missing(df: DataFrame, columns: list[str], n: int = MISSING_RATES_SHOWN) -> DataFrame:
@@ -162,7 +162,7 @@ def audit(train: DataFrame, test: DataFrame) -> DataFrame:
     """Rows, columns, missing cells and column differences of both sets."""
 
     def counts(df: DataFrame, name: str) -> DataFrame:
-        missing = sum((F.lit(1) * F.col(f"`{c}`").isNull().cast("bigint") for c in df.columns), F.lit(0))
+        missing = F.expr(" + ".join(f"CAST(`{c}` IS NULL AS BIGINT)" for c in df.columns))
         return metric_rows(
             df,
             {

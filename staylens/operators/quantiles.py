@@ -9,7 +9,7 @@ from staylens.session import keep
 
 # Up to this many values per group the built-in exact percentile is used: its
 # per-group value map then has a proven size.
-SMALL_GROUP = 200_000
+SMALL_GROUP = 50_000
 ACCURACY = 10_000
 BRACKET_ROWS_BROADCAST = 100_000
 
@@ -34,9 +34,9 @@ def exact_quantiles(
     rows = long.filter(F.col(value).isNotNull())
     if group_rows <= small_group:
         points = F.array(*[F.lit(p) for p in probabilities])
-        agg = rows.groupBy(*keys).agg(F.percentile(value, points).alias("_v"))
+        exact = rows.groupBy(*keys).agg(F.percentile(value, points).alias("_v"))
         pairs = F.arrays_zip(points.alias("q"), F.col("_v").alias("value"))
-        return agg.select(*keys, F.explode(pairs).alias("_p")).select(
+        return exact.select(*keys, F.explode(pairs).alias("_p")).select(
             *keys, F.col("_p.q").alias("q"), F.col("_p.value").alias("value")
         )
     margin = 2.0 / accuracy

@@ -23,7 +23,7 @@ from staylens.schemas import ID_COLUMNS, STAY, TARGET
 from staylens.session import keep
 
 TRUTH = "y_true"
-SHUFFLE_BLOCK = 100_000
+SHUFFLE_BLOCK = 20_000
 
 
 def regression_metrics(predictions: DataFrame, keys: list[str], rows: int) -> DataFrame:

@@ -19,7 +19,7 @@ PREDICTION = "prediction"
 NORMAL_SOLVER_FEATURES = 4096
 EARLY_STOP_ROWS = 10_000
 EARLY_STOP_SHARE = 0.1
-ROWS_PER_TREE_TASK = 2_000
+ROWS_PER_TREE_TASK = 1_000
 
 
 def with_log_target(df: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def boosted(
     rounds: int = 250,
     max_depth: int = 5,
     min_leaf: int = 20,
-    max_bins: int = 255,
+    max_bins: int = 64,
     seed: int = 42,
 ) -> GBTRegressor:
     """Gradient boosting on binned features.

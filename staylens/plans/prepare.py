@@ -30,10 +30,18 @@ def split_types(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str]
     return [c for c in columns if c not in text], [c for c in columns if c in text]
 
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _cells(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
     """(position, value) per cell; NULL cells are kept."""
-    values = F.array(*[F.col(f"`{c}`").cast(kind) for c in columns])
-    return df.select(F.posexplode(values).alias("position", "value"))
+    values = ", ".join(f"CAST({_name(c)} AS {kind})" for c in columns)
+    return df.select(F.expr(f"posexplode(array({values}))").alias("position", "value"))
 
 
 @dataclass(frozen=True)
@@ -118,14 +126,6 @@ def fit_categories(train: DataFrame, columns: list[str]) -> list[CategoryFit]:
     return fits
 
 
-def _name(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _scaled(expression: str, mean: float, std: float) -> str:
     if std == 0:
         return f"({expression} - {mean!r}D)"
@@ -149,9 +149,8 @@ class Preparation:
     def flat(self, prepared: DataFrame, kind: str = "double") -> DataFrame:
         """One column per feature; ``float`` halves the size of an export."""
         keep_columns = [c for c in prepared.columns if c not in (PREPARED, FEATURES)]
-        return prepared.select(
-            *keep_columns, *[F.col(PREPARED)[i].cast(kind).alias(n) for i, n in enumerate(self.names)]
-        )
+        cells = [f"CAST({PREPARED}[{i}] AS {kind}) AS {_name(n)}" for i, n in enumerate(self.names)]
+        return prepared.selectExpr(*keep_columns, *cells)
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
