@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from staylens import functions as fn
 from staylens.operators.events import ITEM, named_drugs
+from staylens.session import keep
 
 NAMES_SHOWN = 5
 
@@ -31,9 +32,10 @@ def top_codes(linked: DataFrame, n: int) -> DataFrame:
 def top_drugs(linked: DataFrame, n: int) -> DataFrame:
     """The ``n`` drug keys with most named prescriptions and up to five names.
 
-    Names are first reduced to one row per (key, name). The rank filter on the
-    window keeps five rows per key in every task before the shuffle, so a key
-    that collects very many spellings does not gather them in one place.
+    Names are first reduced to one row each and written, so prescriptions are
+    read and linked once. The rank filter on the window keeps five rows per key
+    in every task before the shuffle, so a key that collects very many spellings
+    does not gather them in one place.
     """
     names = (
         named_drugs(linked)
@@ -42,6 +44,7 @@ def top_drugs(linked: DataFrame, n: int) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("DRUG_KEY", fn.drug_key(F.col("DRUG_NAME")))
     )
+    names = keep(names, "drug-names")
     top = (
         names.groupBy("DRUG_KEY")
         .agg(F.sum("rows").alias("prescription_count"))

@@ -12,10 +12,12 @@ from staylens import functions as fn
 from staylens.operators import events as ev
 from staylens.operators import selection as sel
 from staylens.operators.pivot import Feature, empty_family, feature_columns, pivot_features
+from staylens.operators.quality import quality_base, quality_group
 from staylens.operators.stays import StayWindows, context_features, stay_windows, unit_table
 from staylens.schemas import STAY
 from staylens.session import keep
 from staylens.settings import GROUPS, Family, Settings, TableGroup
+from staylens.sources.sinks import export_csv, replace_table, write_report
 
 ALL_STATS = ("mean", "min", "max", "std", "sum", "count", "last")
 LONG_SCHEMA = (
@@ -175,6 +177,31 @@ def selected_codes(
     return sel.describe_codes(top, tables[family.dimension], family.dimension_columns)
 
 
+def selected_table(run: FeatureRun, tables: Mapping[str, DataFrame], family: Family) -> DataFrame:
+    """The selected-codes table of a finished run, without reading events again."""
+    spark = run.features.sparkSession
+    rows = [(int(code), int(n)) for (name, code), n in run.counts.items() if name == family.name]
+    top = spark.createDataFrame(rows, f"{ev.ITEM} bigint, event_count bigint")
+    if family.dimension is None or family.dimension not in tables:
+        return top
+    return sel.describe_codes(top, tables[family.dimension], family.dimension_columns)
+
+
+def write_run(run: FeatureRun, tables: Mapping[str, DataFrame], path: str) -> None:
+    """Publish a run: features as parquet and CSV, selected codes, quality report."""
+    features = replace_table(run.features, f"{path}/features")
+    export_csv(features, f"{path}/features_csv")
+    for family in run.group.families:
+        if family.name == "drug":
+            table = selected_codes(tables, family, run.settings)
+            replace_table(table, f"{path}/selected_drug")
+        else:
+            replace_table(selected_table(run, tables, family), f"{path}/selected_{family.name}")
+    written = replace(run, features=features)
+    report = quality_base(tables, written) if run.group.name == "5" else quality_group(written)
+    write_report(report, f"{path}/quality")
+
+
 @dataclass(frozen=True)
 class SweepSetting:
     group: str

@@ -101,3 +101,16 @@ def test_group_reports(tables):
     for group, size in sizes.items():
         report = ql.quality_group(ft.build_features(tables, group)).collect()
         assert len(report) == size
+
+
+def test_published_run(spark, tables, tmp_path):
+    run = ft.build_features(tables, "9")
+    dims = {"d_items": spark.createDataFrame([(1, "Heart Rate", "Vitals", "bpm")], "ITEMID bigint, LABEL string, CATEGORY string, UNITNAME string")}
+    ft.write_run(run, {**tables, **dims}, str(tmp_path))
+    back = spark.read.parquet(str(tmp_path / "features"))
+    assert back.columns == run.features.columns and back.count() == 2
+    codes = {r["ITEMID"]: r["LABEL"] for r in spark.read.parquet(str(tmp_path / "selected_chart")).collect()}
+    assert codes == {1: "Heart Rate", 2: None}
+    assert spark.read.parquet(str(tmp_path / "selected_drug")).first()["DRUG_NAMES"] == ["ASPIRIN"]
+    report = spark.read.option("header", True).csv(str(tmp_path / "quality"))
+    assert report.count() == 7
