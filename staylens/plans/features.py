@@ -13,17 +13,14 @@ from staylens.operators import events as ev
 from staylens.operators import selection as sel
 from staylens.operators.pivot import Feature, empty_family, feature_columns, pivot_features
 from staylens.operators.quality import quality_base, quality_group
-from staylens.operators.stays import StayWindows, context_features, stay_windows, unit_table
-from staylens.schemas import STAY
+from staylens.operators.stays import StayWindows, assert_unique, context_features, stay_windows, unit_table
+from staylens.schemas import ADMISSION, STAY, SUBJECT
 from staylens.session import keep
 from staylens.settings import GROUPS, Family, Settings, TableGroup
 from staylens.sources.sinks import export_csv, replace_table, write_report
 
 ALL_STATS = ("mean", "min", "max", "std", "sum", "count", "last")
-LONG_SCHEMA = (
-    f"family string, {STAY} bigint, code string, mean double, min double, max double, "
-    "std double, sum double, count bigint, last double, ranked bigint"
-)
+UNIQUE_KEYS = {"icustays": [STAY], "patients": [SUBJECT], "admissions": [SUBJECT, ADMISSION]}
 
 
 @dataclass(frozen=True)
@@ -138,13 +135,19 @@ def build_features(
     group: str | TableGroup = "5",
     settings: Settings = Settings(),
     codes: Mapping[str, list] | None = None,
+    validate: bool = False,
 ) -> FeatureRun:
     """The feature table of a table group.
 
     ``codes`` (family to code list) applies an earlier selection instead of a
-    new one, for example the codes chosen on training stays only.
+    new one, for example the codes chosen on training stays only. ``validate``
+    first makes sure that no stay, patient or admission has several rows.
     """
     group = GROUPS[group] if isinstance(group, str) else group
+    if validate:
+        for table, keys in UNIQUE_KEYS.items():
+            if table in tables:
+                assert_unique(tables[table].dropna(subset=keys), keys, table.upper())
     stays = unit_table(tables["icustays"], settings.category_mode)
     windows = stay_windows(stays, settings.window_hours)
     long = long_statistics(tables, group, windows, settings)

@@ -114,3 +114,10 @@ def test_published_run(spark, tables, tmp_path):
     assert spark.read.parquet(str(tmp_path / "selected_drug")).first()["DRUG_NAMES"] == ["ASPIRIN"]
     report = spark.read.option("header", True).csv(str(tmp_path / "quality"))
     assert report.count() == 7
+
+
+def test_duplicate_dimension_rows_are_refused_on_request(spark, tables):
+    twice = spark.createDataFrame([(1, "F", at("2060-01-01 00:00:00"))] * 2, "SUBJECT_ID bigint, GENDER string, DOB timestamp")
+    with pytest.raises(ValueError, match="PATIENTS"):
+        ft.build_features({**tables, "patients": twice}, "5", validate=True)
+    assert ft.build_features(tables, "5", validate=True).features.count() == 2
