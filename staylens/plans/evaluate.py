@@ -6,13 +6,15 @@ import json
 import math
 import random
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staylens.operators.quantiles import exact_quantiles
@@ -57,34 +59,54 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _at_once(spark: SparkSession, tasks: list[Callable], parallelism: int) -> list:
+    """Run independent driver-side tasks, each starting its own Spark jobs."""
+    if parallelism <= 1:
+        return [task() for task in tasks]
+    inherit = inheritable_thread_target(spark)
+    with ThreadPool(parallelism) as pool:
+        return pool.map(lambda task: task(), [inherit(t) for t in tasks], chunksize=1)
+
+
 def cross_validate(
-    train: DataFrame, models: list[ModelSpec], folds: int = 5, seed: int = 42
+    train: DataFrame, models: list[ModelSpec], folds: int = 5, seed: int = 42, parallelism: int = 4
 ) -> tuple[DataFrame, dict[str, float]]:
     """Out-of-fold predictions of every model, and seconds spent per model.
 
-    Fitting loops over folds and models on the driver; each fit is a
-    distributed job. The narrow predictions are written as they are made, so
-    scoring a fold does not repeat when metrics are computed.
+    The driver starts one fit per model and fold, some at the same time; each
+    fit is a distributed job. The narrow predictions are written as they are
+    made, so scoring a fold does not repeat when metrics are computed.
     """
     data = with_folds(train, folds, seed)
-    parts, seconds = [], {}
-    for spec in models:
-        start = time.time()
-        for fold in range(folds):
+
+    def one(spec: ModelSpec, fold: int):
+        def task():
+            start = time.time()
             model = spec.fit(data.filter(F.col(FOLD) != fold).drop(FOLD))
-            scored = predict(model, data.filter(F.col(FOLD) == fold))
-            parts.append(
-                keep(scored.select(F.lit(spec.name).alias("model"), F.lit(fold).alias(FOLD), TRUTH, PREDICTION), "oof")
+            scored = predict(model, data.filter(F.col(FOLD) == fold)).select(
+                F.lit(spec.name).alias("model"), F.lit(fold).alias(FOLD), TRUTH, PREDICTION
             )
-        seconds[spec.name] = time.time() - start
-    return _union(parts), seconds
+            return spec.name, keep(scored, "oof"), time.time() - start
+
+        return task
+
+    done = _at_once(train.sparkSession, [one(spec, fold) for spec in models for fold in range(folds)], parallelism)
+    seconds: dict[str, float] = {}
+    for name, _, took in done:
+        seconds[name] = seconds.get(name, 0.0) + took
+    return _union([part for _, part, _ in done]), seconds
 
 
 def cv_benchmark(
-    train: DataFrame, models: list[ModelSpec], folds: int = 5, seed: int = 42, rows: int | None = None
+    train: DataFrame,
+    models: list[ModelSpec],
+    folds: int = 5,
+    seed: int = 42,
+    rows: int | None = None,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Mean and deviation of the fold metrics per model, best MAE first."""
-    predictions, seconds = cross_validate(train, models, folds, seed)
+    predictions, seconds = cross_validate(train, models, folds, seed, parallelism)
     rows = train.count() if rows is None else rows
     per_fold = regression_metrics(predictions, ["model", FOLD], rows)
     took = F.create_map(*[F.lit(x) for pair in seconds.items() for x in pair])
@@ -113,13 +135,21 @@ class TestEvaluation:
     results: DataFrame
 
 
-def evaluate_on_test(train: DataFrame, test: DataFrame, models: list[ModelSpec], rows: int | None = None) -> TestEvaluation:
+def evaluate_on_test(
+    train: DataFrame, test: DataFrame, models: list[ModelSpec], rows: int | None = None, parallelism: int = 4
+) -> TestEvaluation:
     """Fit on all of train, score test, keep ids and ``<model>_pred`` columns."""
-    fitted, seconds = {}, {}
-    for spec in models:
-        start = time.time()
-        fitted[spec.name] = spec.fit(train)
-        seconds[spec.name] = time.time() - start
+
+    def one(spec: ModelSpec):
+        def task():
+            start = time.time()
+            return spec.name, spec.fit(train), time.time() - start
+
+        return task
+
+    done = _at_once(train.sparkSession, [one(spec) for spec in models], parallelism)
+    fitted = {name: model for name, model, _ in done}
+    seconds = {name: took for name, _, took in done}
     wide = test.withColumn(TRUTH, F.col(TARGET))
     for name, model in fitted.items():
         extra = set(wide.columns)

@@ -20,6 +20,7 @@ from staylens.settings import GROUPS, Family, Settings, TableGroup
 from staylens.sources.sinks import export_csv, replace_table, write_report
 
 ALL_STATS = ("mean", "min", "max", "std", "sum", "count", "last")
+MICROS_PER_HOUR = 3_600_000_000
 UNIQUE_KEYS = {"icustays": [STAY], "patients": [SUBJECT], "admissions": [SUBJECT, ADMISSION]}
 
 
@@ -40,7 +41,7 @@ class FeatureRun:
         return [f for f in self.selected if f.family == family]
 
 
-def _long_form(stats: DataFrame, family: Family) -> DataFrame:
+def _long_form(stats: DataFrame, family: Family, extra: tuple[str, ...] = ()) -> DataFrame:
     """Per-stay statistics of one family in the shape all families share."""
     if family.name == "drug":
         code, ranked = F.col("DRUG_KEY"), F.col("named")
@@ -57,6 +58,7 @@ def _long_form(stats: DataFrame, family: Family) -> DataFrame:
             for s in ALL_STATS
         ],
         ranked.alias("ranked"),
+        *extra,
     )
 
 
@@ -214,30 +216,38 @@ class SweepSetting:
 
 def sweep_statistics(
     tables: Mapping[str, DataFrame], family: Family, hours: list[int], settings: Settings
-) -> tuple[DataFrame, DataFrame]:
-    """Mergeable summaries per (stay, code, smallest window holding the event).
+) -> DataFrame:
+    """Long statistics of one family for several windows, events read once.
 
-    Windows nest, so events are linked once at the widest one; any narrower
-    window is the merge of the summary rows up to it.
+    Windows nest, so events are linked at the widest one and reduced to
+    mergeable rows per (stay, code, smallest window holding the event). Each of
+    these few rows then counts for its own and every wider window.
     """
-    stays = unit_table(tables["icustays"], settings.category_mode)
-    windows = stay_windows(stays, max(hours))
+    windows = stay_windows(unit_table(tables["icustays"]), max(hours))
     linked = ev.link_in_window(ev.family_scan(tables, family), windows, family.key, settings.limits)
     offset = F.unix_micros(ev.TIME) - F.unix_micros("INTIME")
-    smallest = F.coalesce(
-        *[F.when(offset <= h * 3_600_000_000, F.lit(h)) for h in sorted(hours)]
-    )
+    smallest = F.coalesce(*[F.when(offset <= h * MICROS_PER_HOUR, F.lit(h)) for h in sorted(hours)])
+    steps = F.array(*[F.lit(h) for h in sorted(hours)])
+    own_and_wider = F.explode(F.filter(steps, lambda h: h >= F.col("window_hours")))
     if family.name == "drug":
-        named = (
+        keys = ["window_hours", STAY, "DRUG_KEY"]
+        counted = (
             ev.named_drugs(linked)
             .withColumn("window_hours", smallest)
-            .withColumn("code", fn.drug_key(F.col("DRUG_NAME")))
-            .groupBy(STAY, "code", "window_hours")
-            .agg(F.count(F.lit(1)).alias("count"), F.count_if("NAMED").alias("ranked"))
+            .withColumn("DRUG_KEY", fn.drug_key(F.col("DRUG_NAME")))
+            .groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("count"), F.count_if("NAMED").alias("named"))
+        )
+        stats = (
+            counted.withColumn("window_hours", own_and_wider)
+            .groupBy(*keys)
+            .agg(F.sum("count").alias("count"), F.sum("named").alias("named"))
         )
-        return stays, named.withColumn("family", F.lit("drug"))
-    summary = ev.summarise(linked.withColumn("window_hours", smallest), [STAY, ev.ITEM, "window_hours"])
-    return stays, summary.withColumn("family", F.lit(family.name))
+    else:
+        keys = ["window_hours", STAY, ev.ITEM]
+        summary = ev.summarise(linked.withColumn("window_hours", smallest), keys)
+        stats = ev.merge_stats(summary.withColumn("window_hours", own_and_wider), keys).select(*keys, *family.stats)
+    return _long_form(stats, family, ("window_hours",))
 
 
 def sweep_features(
@@ -252,33 +262,23 @@ def sweep_features(
     ``top_ns`` limits the chart codes; the other families keep their own limit.
     """
     families = {f.name: f for g in groups for f in GROUPS[g].families}
-    summaries = {}
-    stays = None
-    for name, family in families.items():
-        stays, summary = sweep_statistics(tables, family, hours, settings)
-        summaries[name] = keep(summary, f"sweep-{name}")
-    assert stays is not None
+    stays = unit_table(tables["icustays"], settings.category_mode)
     context = context_features(
         stays, tables.get("patients"), tables.get("admissions"), settings.age_mode, settings.category_mode
     )
+    merged = {
+        name: keep(sweep_statistics(tables, family, hours, settings), f"sweep-{name}", partition_by="window_hours")
+        for name, family in families.items()
+    }
     runs: dict[SweepSetting, FeatureRun] = {}
     for h in hours:
-        merged: dict[str, DataFrame] = {}
-        for name, family in families.items():
-            inside = summaries[name].filter(F.col("window_hours") <= h)
-            if name == "drug":
-                stats = inside.groupBy(STAY, F.col("code").alias("DRUG_KEY")).agg(
-                    F.sum("count").alias("count"), F.sum("ranked").alias("named")
-                )
-            else:
-                stats = ev.merge_stats(inside, [STAY, ev.ITEM]).select(STAY, ev.ITEM, *family.stats)
-            merged[name] = keep(_long_form(stats, family), f"sweep-{name}-{h}h")
         windows = stay_windows(stays, h)
+        at = {name: df.filter(F.col("window_hours") == h).drop("window_hours") for name, df in merged.items()}
         for g in groups:
             group = GROUPS[g]
-            long = merged[group.families[0].name]
+            long = at[group.families[0].name]
             for family in group.families[1:]:
-                long = long.unionByName(merged[family.name])
+                long = long.unionByName(at[family.name])
             widest = replace(settings, window_hours=h, top_n_chart=max(top_ns))
             ranked, all_counts = select_features(long, group, widest)
             for n in top_ns:
