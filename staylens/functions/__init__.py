@@ -9,6 +9,8 @@ from staylens.functions.clean import (  # noqa: F401
     hash_fraction,
     length_of_stay,
     number,
+    sql_name,
+    sql_text,
     timestamp,
     window_end,
 )

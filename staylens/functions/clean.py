@@ -93,3 +93,13 @@ def hash_fraction(group: Column, seed: int) -> Column:
 def hash_bucket(group: Column, seed: int, buckets: int) -> Column:
     """A bucket in [0, buckets) that depends only on the group and the seed."""
     return F.pmod(_hash32(group, f"{seed}:fold"), F.lit(buckets)).cast("int")
+
+
+def sql_name(column: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """A string literal for SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

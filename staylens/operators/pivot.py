@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylens import functions as fn
 from staylens.schemas import STAY
 
 
@@ -36,8 +37,8 @@ def pivot_features(long: DataFrame, features: list[Feature]) -> DataFrame:
     ``len(features)`` rows.
     """
     stats = [s for s in ("mean", "min", "max", "std", "sum", "count", "last") if any(s in f.stats for f in features)]
-    names = F.create_map(*[F.lit(x) for f in features for x in (f"{f.family}|{f.code}", f.stem)])
-    stem = names[F.concat_ws("|", "family", "code")]
+    known = ", ".join(f"{fn.sql_text(f'{f.family}|{f.code}')}, {fn.sql_text(f.stem)}" for f in features)
+    stem = F.expr(f"map({known})[concat_ws('|', family, code)]")
     tall = (
         long.filter(F.col("family").isin(sorted({f.family for f in features})))
         .filter(F.col("code").isin(sorted({f.code for f in features})))
@@ -49,7 +50,8 @@ def pivot_features(long: DataFrame, features: list[Feature]) -> DataFrame:
     wide = (
         tall.repartition(STAY).groupBy(STAY).pivot("stem", [f.stem for f in features]).agg(*aggregates)
     )
-    return wide.select(STAY, *feature_columns(features))
+    wanted = set(feature_columns(features))
+    return wide.drop(*[c for c in wide.columns if c != STAY and c not in wanted])
 
 
 def empty_family(family: str):

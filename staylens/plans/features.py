@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from staylens import functions as fn
 from staylens.operators import events as ev
 from staylens.operators import selection as sel
-from staylens.operators.pivot import Feature, empty_family, feature_columns, pivot_features
+from staylens.operators.pivot import Feature, empty_family, pivot_features
 from staylens.operators.quality import quality_base, quality_group
 from staylens.operators.stays import StayWindows, assert_unique, context_features, stay_windows, unit_table
 from staylens.schemas import ADMISSION, STAY, SUBJECT
@@ -110,26 +110,21 @@ def assemble(
     context: DataFrame, long: DataFrame, group: TableGroup, selected: list[Feature], exclude: Iterable[str] = ()
 ) -> DataFrame:
     """Context plus pivoted statistics, keeping the stays the group asks for."""
+    context = context.drop(*exclude)
     chart = [f for f in selected if f.family == "chart"]
-    dropped = set(exclude)
-    order = [c for c in context.columns if c not in dropped]
     if selected:
         wide = pivot_features(long, selected)
         if group.needs_chart:
             present = [F.col(f"{f.stem}_count") for f in chart]
             wide = wide.filter(F.coalesce(*present).isNotNull() if present else F.lit(False))
-        out = context.join(wide, STAY, "inner" if group.needs_chart else "left")
+        wide = wide.withColumnRenamed(STAY, "_stay")
+        kind = "inner" if group.needs_chart else "left"
+        out = context.join(wide, context[STAY] == wide["_stay"], kind).drop("_stay")
     else:
         out = context.filter(F.lit(not group.needs_chart))
-    for family in group.families:
-        mine = [f for f in selected if f.family == family.name]
-        if mine:
-            order += feature_columns(mine)
-        else:
-            empty = empty_family(family.name)
-            out = out.withColumn(f"no_{family.name}_features", empty)
-            order.append(f"no_{family.name}_features")
-    return out.select(*order)
+    chosen = {f.family for f in selected}
+    empty = [f.name for f in group.families if f.name not in chosen]
+    return out.select("*", *[empty_family(name) for name in empty])
 
 
 def build_features(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from staylens import functions as fn
 from staylens.operators.quantiles import exact_quantiles
 from staylens.operators.split import group_split, model_columns
 from staylens.schemas import ID_COLUMNS, TARGET
@@ -30,17 +31,9 @@ def split_types(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str]
     return [c for c in columns if c not in text], [c for c in columns if c in text]
 
 
-def _name(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _cells(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
     """(position, value) per cell; NULL cells are kept."""
-    values = ", ".join(f"CAST({_name(c)} AS {kind})" for c in columns)
+    values = ", ".join(f"CAST({fn.sql_name(c)} AS {kind})" for c in columns)
     return df.select(F.expr(f"posexplode(array({values}))").alias("position", "value"))
 
 
@@ -149,7 +142,7 @@ class Preparation:
     def flat(self, prepared: DataFrame, kind: str = "double") -> DataFrame:
         """One column per feature; ``float`` halves the size of an export."""
         keep_columns = [c for c in prepared.columns if c not in (PREPARED, FEATURES)]
-        cells = [f"CAST({PREPARED}[{i}] AS {kind}) AS {_name(n)}" for i, n in enumerate(self.names)]
+        cells = [f"CAST({PREPARED}[{i}] AS {kind}) AS {fn.sql_name(n)}" for i, n in enumerate(self.names)]
         return prepared.selectExpr(*keep_columns, *cells)
 
     def save(self, path: str) -> None:
@@ -177,14 +170,14 @@ def build_preparation(numeric: list[NumericFit], categories: list[CategoryFit])
         if f.median is None:
             log.warning("column %s has no value in train and is left out", f.column)
             continue
-        value = f"CAST({_name(f.column)} AS DOUBLE)"
+        value = f"CAST({fn.sql_name(f.column)} AS DOUBLE)"
         filled = f"COALESCE(NANVL({value}, NULL), {f.median!r}D)"
         names.append(f.column)
         exprs.append(_scaled(filled, f.mean, f.std))
     for f in numeric:
         if f.missing:
             share = f.missing / f.rows
-            value = f"CAST({_name(f.column)} AS DOUBLE)"
+            value = f"CAST({fn.sql_name(f.column)} AS DOUBLE)"
             flag = f"CAST(NANVL({value}, NULL) IS NULL AS DOUBLE)"
             names.append(f"missingindicator_{f.column}")
             exprs.append(_scaled(flag, share, (share * (1 - share)) ** 0.5))
@@ -194,7 +187,7 @@ def build_preparation(numeric: list[NumericFit], categories: list[CategoryFit])
             continue
         for v in c.values:
             names.append(f"{c.column}_{v}")
-            exprs.append(f"CAST(COALESCE({_name(c.column)}, {_text(c.mode)}) = {_text(v)} AS DOUBLE)")
+            exprs.append(f"CAST(COALESCE({fn.sql_name(c.column)}, {fn.sql_text(c.mode)}) = {fn.sql_text(v)} AS DOUBLE)")
     kept = ", ".join([*ID_COLUMNS, TARGET])
     statement = f"SELECT {kept}, ARRAY({', '.join(exprs)}) AS {PREPARED} FROM __THIS__"
     return Preparation(PipelineModel([SQLTransformer(statement=statement)]), tuple(names))
