@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import sqltext as q
@@ -15,7 +15,7 @@ from staylens.operators.stays import context_features, stay_windows, unit_table
 from staylens.plans import features as ft
 from staylens.schemas import ADMISSION_CATEGORIES, ID_COLUMNS, RAW_TABLES, STAY, STAY_CATEGORIES, TARGET
 from staylens.session import new_path
-from staylens.settings import CHART, DRUG, FAMILIES, INPUT, LAB, OUTPUT, Settings
+from staylens.settings import CHART, DRUG, INPUT, LAB, OUTPUT, Settings
 from staylens.sources import export_csv, load_projected, load_raw_tables
 
 HOURS = 24
@@ -31,11 +31,11 @@ def _linked(t, family, hours=HOURS):
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Averages, deviations and sums depend on summation order in the last bits."""
-    names = []
+    cells = []
     for c in df.columns:
         loose = c in q.ROUNDED or any(c.endswith(f"_{s}") for s in q.ROUNDED)
-        names.append(F.round(F.col(f"`{c}`"), digits).alias(c) if loose else F.col(f"`{c}`"))
-    return df.select(*names)
+        cells.append(f"round(`{c}`, {digits}) AS `{c}`" if loose else f"`{c}`")
+    return df.selectExpr(*cells)
 
 
 def event_scan(spark, sf):

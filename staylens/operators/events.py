@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylens import functions as fn
@@ -176,8 +176,6 @@ def merge_stats(parts: DataFrame, keys: list[str]) -> DataFrame:
     the sum of squares, which would cancel for large values. The combined mean
     and the second step group by the same keys, so one shuffle serves both.
     """
-    from pyspark.sql import Window
-
     group = Window.partitionBy(*keys)
     weighted = F.sum(F.col("mean") * F.col("count")).over(group) / F.sum("count").over(group)
     shifted = parts.withColumn("_mean", weighted).withColumn(
