@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from staylens.llm.decontaminate import decontaminate
+from staylens.llm.pii import find_pii
 from staylens.llm.quality_model import score_quality
 from staylens.llm.simhash import simhash_components
 from staylens.llm.text import read_table
@@ -12,6 +13,10 @@ def op1_decontaminate(spark, sf_dir):
     return decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_pii(spark, sf_dir):
+    return find_pii(read_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark, sf_dir):
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -20,7 +25,7 @@ def op8_simhash(spark, sf_dir):
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_quality_classifier, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_pii, op4_quality_classifier, op8_simhash)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
