@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from staylens.llm.decontaminate import decontaminate
+from staylens.llm.pieces import piece_digests
 from staylens.llm.pii import find_pii
 from staylens.llm.quality_model import score_quality
 from staylens.llm.simhash import simhash_components
 from staylens.llm.text import read_table
+from staylens.llm.token_counts import count_sections
 
 
 def op1_decontaminate(spark, sf_dir):
     return decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op2_token_counts(spark, sf_dir):
+    return count_sections(read_table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark, sf_dir):
     return find_pii(read_table(spark, sf_dir, "documents"))
 
@@ -21,11 +27,15 @@ def op4_quality_classifier(spark, sf_dir):
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op5_sentencepiece(spark, sf_dir):
+    return piece_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_pii, op4_quality_classifier, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_pii, op4_quality_classifier, op5_sentencepiece, op8_simhash)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
