@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from staylens.llm.decontaminate import decontaminate
+from staylens.llm.language import identify
 from staylens.llm.pieces import piece_digests
 from staylens.llm.pii import find_pii
 from staylens.llm.quality_model import score_quality
@@ -31,11 +32,15 @@ def op5_sentencepiece(spark, sf_dir):
     return piece_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark, sf_dir):
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_pii, op4_quality_classifier, op5_sentencepiece, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_pii, op4_quality_classifier, op5_sentencepiece, op6_language_id, op8_simhash)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
