@@ -7,6 +7,7 @@ from staylens.llm.language import identify
 from staylens.llm.pieces import piece_digests
 from staylens.llm.pii import find_pii
 from staylens.llm.quality_model import score_quality
+from staylens.llm.quality_rules import judge
 from staylens.llm.simhash import simhash_components
 from staylens.llm.text import read_table
 from staylens.llm.token_counts import count_sections
@@ -36,11 +37,15 @@ def op6_language_id(spark, sf_dir):
     return identify(read_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark, sf_dir):
+    return judge(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_pii, op4_quality_classifier, op5_sentencepiece, op6_language_id, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_pii, op4_quality_classifier, op5_sentencepiece, op6_language_id, op7_quality_rules, op8_simhash)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,5 +67,43 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN word USING (r) LEFT JOIN item USING (r)"""
 
 
+def _op7_sql():
+    rules = {"symbol_share": 0.10, "line_share": 0.30, "mean_chars": 2.0}
+    pairs = " UNION ALL ".join(
+        f"SELECT l, s, '{n}' AS name, CASE WHEN {n} > 0 THEN CAST(floor(ln({n}) / ln(CAST(1.1 AS DOUBLE))) AS INT) ELSE -100000 END AS bucket FROM good" for n in rules
+    )
+    slack = "CASE name " + " ".join(f"WHEN '{n}' THEN CAST({v} AS DOUBLE)" for n, v in rules.items()) + " END"
+
+    def fence(table, groups):
+        return f"""SELECT {groups}, name, size, q1 - (3 * (q3 - q1) + {slack}) AS low, q3 + 3 * (q3 - q1) + {slack} AS high
+FROM (SELECT {groups}, name, max(size) AS size, max(m) FILTER (below <= floor((size - 1) * 0.25) AND floor((size - 1) * 0.25) < below + n) AS q1,
+  max(m) FILTER (below <= floor((size - 1) * 0.75) AND floor((size - 1) * 0.75) < below + n) AS q3
+FROM (SELECT *, sum(n) OVER (PARTITION BY {groups}, name ORDER BY bucket) - n AS below, sum(n) OVER (PARTITION BY {groups}, name) AS size,
+  CASE WHEN bucket > -100000 THEN pow(CAST(1.1 AS DOUBLE), bucket + 0.5) ELSE 0 END AS m
+FROM (SELECT {groups}, name, bucket, sum(n) AS n FROM {table} GROUP BY {groups}, name, bucket)) GROUP BY {groups}, name)"""
+
+    checks = " AND ".join(
+        f"coalesce((SELECT bool_and({n} BETWEEN low AND high) FROM chosen c WHERE c.l = base.l AND c.s = base.s AND c.name = '{n}'), true)" for n in rules
+    )
+    return rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, chr(1)) AS l, coalesce(source, chr(1)) AS s, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda x: x <> '') AS w FROM d),
+run AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS t FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS c FROM run) WHERE c > 1),
+again AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r),
+line AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ 	-]') GROUP BY r),
+count AS (SELECT w.r, doc_id, l, s, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[ 	-]+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(line.n, 0) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN line USING (r) LEFT JOIN again USING (r)),
+base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CAST(n_symbols AS DOUBLE) / greatest(word_chars, 1) AS symbol_share,
+  CAST(n_dup_lines AS DOUBLE) / greatest(n_words, 1) AS line_share, CAST(word_chars AS DOUBLE) / greatest(n_words, 1) AS mean_chars FROM count),
+good AS (SELECT * FROM base WHERE NOT base_failed),
+sketch AS (SELECT l, s, name, bucket, count(*) AS n, 0 AS one FROM ({pairs}) GROUP BY l, s, name, bucket),
+own AS ({fence("sketch", "l, s")}), lan AS ({fence("sketch", "l")}), one AS ({fence("sketch", "one")}),
+chosen AS (SELECT own.l, own.s, own.name, CASE WHEN own.size >= 50 THEN own.low WHEN lan.size >= 50 THEN lan.low ELSE one.low END AS low,
+  CASE WHEN own.size >= 50 THEN own.high WHEN lan.size >= 50 THEN lan.high ELSE one.high END AS high
+  FROM own JOIN lan ON lan.l = own.l AND lan.name = own.name JOIN one ON one.name = own.name)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {checks} AS kept FROM base"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_decontaminate": _op1_sql()}
+    return {"op1_decontaminate": _op1_sql(), "op7_quality_rules": _op7_sql()}
