@@ -8,9 +8,11 @@ from staylens.llm.pieces import piece_digests
 from staylens.llm.pii import find_pii
 from staylens.llm.quality_model import score_quality
 from staylens.llm.quality_rules import judge
+from staylens.llm.secret_scan import scan_secrets
 from staylens.llm.simhash import simhash_components
 from staylens.llm.text import read_table
 from staylens.llm.token_counts import count_sections
+from staylens.llm.url_filter import filter_urls, spam_list
 
 
 def op1_decontaminate(spark, sf_dir):
@@ -45,7 +47,16 @@ def op8_simhash(spark, sf_dir):
     return simhash_components(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_pii, op4_quality_classifier, op5_sentencepiece, op6_language_id, op7_quality_rules, op8_simhash)}
+def op9_url_filter(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return filter_urls(pages, spam_list(pages))
+
+
+def op10_secret_scan(spark, sf_dir):
+    return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_pii, op4_quality_classifier, op5_sentencepiece, op6_language_id, op7_quality_rules, op8_simhash, op9_url_filter, op10_secret_scan)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -86,12 +97,15 @@ FROM (SELECT {groups}, name, bucket, sum(n) AS n FROM {table} GROUP BY {groups},
         f"coalesce((SELECT bool_and({n} BETWEEN low AND high) FROM chosen c WHERE c.l = base.l AND c.s = base.s AND c.name = '{n}'), true)" for n in rules
     )
     return rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, chr(1)) AS l, coalesce(source, chr(1)) AS s, coalesce(text, '') AS text FROM documents),
-w AS (SELECT *, list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda x: x <> '') AS w FROM d),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[ 	-
+]+'), lambda x: x <> '') AS w FROM d),
 run AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS t FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS c FROM run) WHERE c > 1),
 again AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r),
-line AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ 	-]') GROUP BY r),
-count AS (SELECT w.r, doc_id, l, s, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[ 	-]+', '', 'g')) AS BIGINT) AS word_chars,
+line AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ 	-
+]') GROUP BY r),
+count AS (SELECT w.r, doc_id, l, s, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[ 	-
+]+', '', 'g')) AS BIGINT) AS word_chars,
   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(line.n, 0) AS BIGINT) AS n_dup_lines,
   CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN line USING (r) LEFT JOIN again USING (r)),
 base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CAST(n_symbols AS DOUBLE) / greatest(word_chars, 1) AS symbol_share,
@@ -105,5 +119,20 @@ chosen AS (SELECT own.l, own.s, own.name, CASE WHEN own.size >= 50 THEN own.low
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {checks} AS kept FROM base"""
 
 
+_OP9_SQL = r"""WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '@U', '@L') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+  regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query FROM p),
+c AS (SELECT page_id, host, path, concat(regexp_replace(regexp_replace(host, '^(www|m|mobile|amp)\.([^.]+\.)', '\2'), ':(80|443)$', ''),
+  rtrim(regexp_replace(rtrim(path, '/'), '(/index)?(\.html?)?\z', ''), '/'), CASE WHEN len(kept) > 0 THEN '?' || array_to_string(list_sort(kept), '&') ELSE '' END) AS key
+  FROM (SELECT *, list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|\z)')) AS kept FROM q)),
+l AS (SELECT DISTINCT key FROM c WHERE key <> '' AND regexp_matches(host, '(^|[.-])(adult|casino|pills|spam)([.-]|$)')),
+r AS (SELECT *, key IN (SELECT key FROM l) AS listed, CASE
+  WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM c)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict, listed FROM r""".replace("@U", _UPPER).replace("@L", _LOWER)
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_decontaminate": _op1_sql(), "op7_quality_rules": _op7_sql()}
+    return {"op1_decontaminate": _op1_sql(), "op7_quality_rules": _op7_sql(), "op9_url_filter": _OP9_SQL}
