@@ -103,16 +103,18 @@ def decontaminate(
     item_text: str = "text",
     window: int = WINDOW_WORDS,
     hit_share: int = HIT_SHARE,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: how much of it stems from ``items``.
 
-    Columns: doc_id, n_words, n_hit, n_items, items_sha256, contaminated. NULL or
+    Columns: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the
+    narrow columns of ``docs`` named in ``carry``. NULL or
     empty texts have no words and are clean. An item without words is ignored; an
     item without an id hits words but is not counted or listed. Repeated
     documents each get a row, repeated items count once, and other columns of
     either table are not read. An empty table of items leaves everything clean.
     """
-    named = docs.select(F.col(doc_id).alias("doc_id"), item_words(F.col(text)).alias("w"))
+    named = docs.select(F.col(doc_id).alias("doc_id"), *carry, item_words(F.col(text)).alias("w"))
     cut = keep(item_windows(items, item_id, item_text, window), "item-windows")
     windows = keep(cut.select("words").distinct().withColumn("window_id", F.monotonically_increasing_id()), "windows")
     listed = keep(
@@ -140,9 +142,9 @@ def decontaminate(
     met = (
         lookup_join(rows, table, "key", "inner", prefixes.count(), 32 * window)
         .filter(F.col("window_id").isNull() | (fits & same))
-        .select("row", "doc_id", F.size("w").alias("n_words"), "window_id", start.alias("start"), (start + length).alias("stop"))
+        .select("row", "doc_id", *carry, F.size("w").alias("n_words"), "window_id", start.alias("start"), (start + length).alias("stop"))
     )
-    per_doc = met.groupBy("row", "doc_id").agg(
+    per_doc = met.groupBy("row", "doc_id", *carry).agg(
         F.max("n_words").cast("long").alias("n_words"),
         F.collect_set(F.when(F.col("window_id").isNotNull(), F.struct("start", "stop"))).alias("spans"),
         F.collect_set("window_id").alias("found"),
@@ -157,6 +159,7 @@ def decontaminate(
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     out = per_doc.join(named_items, "row", "left").select(
         "doc_id",
+        *carry,
         "n_words",
         F.when(F.size("spans") > 0, _covered(F.col("spans"))).otherwise(F.lit(0).cast("long")).alias("n_hit"),
         F.size(items_of).cast("long").alias("n_items"),
@@ -164,3 +167,16 @@ def decontaminate(
     )
     bad = (F.col("n_hit") > 0) & (F.col("n_hit") * hit_share >= F.col("n_words"))
     return out.withColumn("contaminated", bad)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
+    """``docs`` without the contaminated rows; all columns stay.
+
+    Rows are told apart by id and text, so of two texts with one id only the
+    contaminated one goes.
+    """
+    key = F.xxhash64(F.col(text)).alias("_text_hash")
+    judged = decontaminate(docs.select(doc_id, text, key), items, doc_id, text, carry=("_text_hash",), **names)
+    bad = keep(judged.filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash")).distinct(), "contaminated")
+    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_hash"))
+    return lookup_join(docs, bad, same, "left_anti", bad.count(), 48)

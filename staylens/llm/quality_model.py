@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.text import BLANKS, count_matching, crc_remainder, split_words
+from staylens.llm.text import BLANKS, count_matching, crc_remainder, let, lookup_join, split_words
 from staylens.session import keep
 
 TREES = 24
@@ -35,27 +35,30 @@ _REPEATED_WORD = r"(?<!\S)(\S++)(?=\s\1(?!\S))"
 _SHORT_WORD = r"(?<!\S)\S{1,3}(?!\S)"
 
 
-def text_statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text; all are 0 for a text without words."""
-    text = F.coalesce(text, F.lit(""))
-    words = split_words(text, BLANKS)
-    chars = F.greatest(F.length(text), F.lit(1))
-    n = F.greatest(F.size(words), F.lit(1))
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"\S"))
-    return {
-        "log_words": F.log1p(F.size(words).cast("double")),
-        "word_chars": F.length(F.regexp_replace(text, BLANKS, "")) / n,
-        "symbols": count_matching(text, r"[#*$%&|<>]+") / n,
-        "upper": count_matching(text, r"\p{Lu}+") / chars,
-        "digits": count_matching(text, r"[0-9]+") / chars,
-        "marks": count_matching(text, r"[!?]+") / n,
-        "stops": count_matching(text, r"[.,;:]+") / n,
-        "distinct_words": F.size(F.array_distinct(words)) / n,
-        "repeated": count_matching(text, _REPEATED_WORD) / chars,
-        "short_words": count_matching(text, _SHORT_WORD) / chars,
-        "line_words": n / F.greatest(F.size(lines), F.lit(1)),
-        "repeated_lines": (F.size(lines) - F.size(F.array_distinct(lines))) / F.greatest(F.size(lines), F.lit(1)),
-    }
+def text_statistics(text: Column) -> Column:
+    """Struct of statistics of a whole text; all are 0 for a text without words."""
+    full = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(full, "\n"), lambda x: x.rlike(r"\S"))
+
+    def fields(words: Column, lines: Column) -> Column:
+        chars, n, n_lines = (F.greatest(c, F.lit(1)) for c in (F.length(full), F.size(words), F.size(lines)))
+        values = {
+            "log_words": F.log1p(F.size(words).cast("double")),
+            "word_chars": F.length(F.regexp_replace(full, BLANKS, "")) / n,
+            "symbols": count_matching(full, r"[#*$%&|<>]+") / n,
+            "upper": count_matching(full, r"\p{Lu}+") / chars,
+            "digits": count_matching(full, r"[0-9]+") / chars,
+            "marks": count_matching(full, r"[!?]+") / n,
+            "stops": count_matching(full, r"[.,;:]+") / n,
+            "distinct_words": F.size(F.array_distinct(words)) / n,
+            "repeated": count_matching(full, _REPEATED_WORD) / chars,
+            "short_words": count_matching(full, _SHORT_WORD) / chars,
+            "line_words": F.size(words) / n_lines,
+            "repeated_lines": (F.size(lines) - F.size(F.array_distinct(lines))) / n_lines,
+        }
+        return F.struct(*[values[name].cast("double").alias(name) for name in STATISTICS])
+
+    return let(split_words(full, BLANKS), lambda w: let(lines, lambda x: fields(w, x)))
 
 
 STATISTICS = (
@@ -72,15 +75,20 @@ class RuleModel:
     intercept: float
     rules: tuple[tuple[Rule, float], ...] = ()
 
-    def score(self) -> Column:
+    def score(self, value=F.col) -> Column:
+        """``value`` gives the column of a statistic by its name."""
         odds = F.lit(self.intercept)
         for rule, weight in self.rules:
-            odds = odds + F.when(condition(rule), F.lit(weight)).otherwise(F.lit(0.0))
+            odds = odds + F.when(condition(rule, value), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
+    def score_of(self, text: Column) -> Column:
+        """Score of a text column; each statistic is computed once per text."""
+        return let(text_statistics(text), lambda s: self.score(s.getField))
 
-def condition(rule: Rule) -> Column:
-    tests = [F.col(name) <= limit if side == "<=" else F.col(name) > limit for name, side, limit in rule]
+
+def condition(rule: Rule, value=F.col) -> Column:
+    tests = [value(name) <= limit if side == "<=" else value(name) > limit for name, side, limit in rule]
     return reduce(lambda a, b: a & b, tests)
 
 
@@ -133,28 +141,53 @@ def fit_rules(rows: DataFrame, label: str = "label") -> RuleModel:
     return RuleModel(float(lasso.intercept), tuple((r, w) for r, w in zip(rules, weights) if w))
 
 
+def training_rows(rows: DataFrame, labels: DataFrame, doc_id: str, label: str) -> DataFrame:
+    """``rows`` outside the held-out fifth that have a label, as 0.0 or 1.0 in ``_label``."""
+    marks = labels.filter(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_labelled"))
+    marks = keep(marks.agg((F.avg(label) >= 0.5).cast("double").alias("_label")), "labels")
+    learn = rows.filter(crc_remainder(F.col(doc_id), FOLDS) != HELD_OUT)
+    same = F.col(doc_id) == F.col("_labelled")
+    return lookup_join(learn, marks, same, "inner", marks.count(), 40).drop("_labelled")
+
+
 def score_quality(
     docs: DataFrame,
     labels: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "quality",
-    carry: tuple[str, ...] = (),
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """Columns doc_id, held_out, score, predicted (and ``carry``), a row per row of ``docs``.
+    """Columns doc_id, held_out, score, predicted; a row per row of ``docs``.
 
     Learns only from labels of ids outside the held-out fifth; nothing but the
     text enters a score. NULL and empty texts have statistics 0 and a score like
     any other; NULL labels are ignored, an id labelled more than once counts with
     its average. Repeated rows repeat. Without labels every score is one half.
     """
-    held_out = crc_remainder(F.col(doc_id), FOLDS) == HELD_OUT
-    statistics = [c.cast("double").alias(n) for n, c in text_statistics(F.col(text)).items()]
-    table = keep(docs.select(F.col(doc_id).alias("doc_id"), *carry, held_out.alias("held_out"), *statistics), "statistics")
-    marks = labels.filter(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("doc_id"))
-    marks = marks.agg((F.avg(label) >= 0.5).cast("double").alias("label"))
-    train = keep(table.filter(~F.col("held_out")).join(marks, "doc_id").select(*STATISTICS, "label"), "labelled")
-    score = fit_rules(train).score()
-    out = table.select("doc_id", *carry, "held_out", score.alias("score"))
+    counted = docs.select(F.col(doc_id).alias("doc_id"), text_statistics(F.col(text)).alias("s"))
+    table = keep(counted.select("doc_id", "s.*"), "statistics")
+    train = training_rows(table, labels.withColumnRenamed(doc_id, "doc_id"), "doc_id", label)
+    model = fit_rules(keep(train.select(*STATISTICS, F.col("_label").alias("label")), "labelled"))
+    held_out = crc_remainder(F.col("doc_id"), FOLDS) == HELD_OUT
+    out = table.select("doc_id", held_out.alias("held_out"), model.score().alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def drop_rejected(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """``docs`` without the rows that score below ``threshold``; all columns stay.
+
+    Learns like ``score_quality``. Scores are computed where a text is read, so no
+    text is shuffled.
+    """
+    train = training_rows(docs.select(doc_id, text), labels, doc_id, label)
+    train = train.select(text_statistics(F.col(text)).alias("s"), F.col("_label").alias("label"))
+    model = fit_rules(keep(train, "labelled").select("s.*", "label"))
+    return docs.filter(model.score_of(F.col(text)) >= threshold)

@@ -11,6 +11,7 @@ radius are abandoned.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -61,17 +62,15 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """Columns doc_id, fp (bigint)."""
+def fingerprint_column(text: Column, shingle: int = SHINGLE_WORDS) -> Column:
+    """The fingerprint of a text column as a bigint; zero for NULL."""
 
-    def run(batches):
-        for batch in batches:
-            found = [fingerprint(shingle_hashes(t.as_py() or b"", shingle)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+    @F.arrow_udf("bigint")
+    def mark(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([fingerprint(shingle_hashes(t.as_py() or b"", shingle)) for t in texts], pa.int64())
 
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return mark(text.cast("binary"))
 
 
 def band_keys(fp: Column, bands: int) -> Column:
@@ -237,6 +236,14 @@ def link_edges(distinct_fps: DataFrame, radius: int = RADIUS, block_rows: int =
     return dealt.mapInArrow(_link_batches(radius, BUFFER_ROWS), "a bigint, b bigint")
 
 
+def fingerprint_roots(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Columns fp, root for every distinct ``fp`` of ``marked``: the least linked fingerprint."""
+    distinct = keep(marked.select("fp").distinct(), "distinct-fingerprints")
+    stars = connected_components(link_edges(distinct, radius)).withColumnRenamed("node", "fp")
+    rooted = distinct.join(stars, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return keep(rooted, "roots")
+
+
 def simhash_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS, radius: int = RADIUS
 ) -> DataFrame:
@@ -251,12 +258,28 @@ def simhash_components(
     """
     if not 0 <= radius <= 7:
         raise ValueError("the bit counters hold distances up to 7")
-    marked = keep(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    distinct = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    stars = connected_components(link_edges(distinct.select("fp"), radius))
-    rooted = distinct.join(stars.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = keep(rooted.join(least, "root").select("fp", "component_id"), "components")
+    marked = docs.select(F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text), shingle).alias("fp"))
+    marked = keep(marked, "fingerprints")
+    roots = fingerprint_roots(marked, radius)
+    firsts = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")).join(roots, "fp")
+    least = firsts.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = keep(roots.join(least, "root").select("fp", "component_id"), "components")
     joined = lookup_join(marked, named, "fp", "inner", named.count(), 48)
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS, radius: int = RADIUS
+) -> DataFrame:
+    """``docs`` with one row of each component, that of the least id; all columns stay.
+
+    Of repeated ids one row stays; a component without any id keeps one row too.
+    """
+    marked = docs.withColumns({"_fp": fingerprint_column(F.col(text), shingle), "_row": F.monotonically_increasing_id()})
+    marked = keep(marked, "marked-texts")
+    narrow = marked.select("_fp", F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), "_row").alias("at"))
+    firsts = narrow.groupBy(F.col("_fp").alias("fp")).agg(F.min("at").alias("at"))
+    roots = fingerprint_roots(firsts, radius)
+    chosen = firsts.join(roots, "fp").groupBy("root").agg(F.min("at").alias("at")).select("at._row")
+    chosen = keep(chosen, "chosen-rows")
+    return lookup_join(marked, chosen, "_row", "left_semi", chosen.count(), 24).drop("_fp", "_row")
