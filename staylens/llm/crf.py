@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 
 OUTSIDE = 0
-RATE, ROUNDS, PENALTY = 0.1, 160, 1e-5
+RATE, ROUNDS, PENALTY = 0.2, 200, 1e-5
 
 _RUN = re.compile(r"[0-9]+|[A-Z]+|[a-z]+|[^\x00-\x7F]+|[^0-9A-Za-z]")
 
@@ -50,14 +50,16 @@ def shape_features(shape: str) -> list[str]:
     """Binary features of a shape: itself, without run lengths, digits, marks."""
     form, _, tail = shape.rpartition("/")
     core = form.strip(".,;:!?\"'*#%$&|<>")
-    return [
-        f"core={core}",
-        f"form={re.sub('[0-9]+', '', core)}",
-        f"digits={tail}",
-        f"first={form[:1]}",
-        f"at={'@' in form}",
-        f"quad={bool(re.fullmatch(r'd[123]([.]d[123]){3}', core))}",
-    ]
+    features = ["any", f"form={re.sub('[0-9]+', '', core)}"]
+    if tail != "0":
+        features += [f"digits={tail}", "digits"]
+    if form[:1] not in ("x", "X", ""):
+        features.append(f"first={form[:1]}")
+    if "@" in form[1:]:
+        features.append("at")
+    if re.fullmatch(r"d[123]([.]d[123]){3}", core):
+        features.append("quad")
+    return features
 
 
 def context_feature(shape: str) -> str:

@@ -177,6 +177,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id",
     """
     key = F.xxhash64(F.col(text)).alias("_text_hash")
     judged = decontaminate(docs.select(doc_id, text, key), items, doc_id, text, carry=("_text_hash",), **names)
-    bad = keep(judged.filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash")).distinct(), "contaminated")
-    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_hash"))
+    bad = keep(judged.filter("contaminated").select(F.col("doc_id").alias("_contaminated_id"), F.col("_text_hash").alias("_contaminated_hash")).distinct(), "contaminated")
+    same = F.col(doc_id).eqNullSafe(F.col("_contaminated_id")) & (F.xxhash64(F.col(text)) == F.col("_contaminated_hash"))
     return lookup_join(docs, bad, same, "left_anti", bad.count(), 48)

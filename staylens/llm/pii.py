@@ -25,11 +25,14 @@ LABELS = ["O", *(f"{place}-{kind}" for kind in KINDS for place in "BI")]
 SAMPLE_TEXTS = 3000
 SAMPLE_WINDOWS = 1500
 WINDOW_SIDE = 5
+# How often each fixed row enters the table, so that rare forms count.
+EXAMPLE_COPIES = 12
 
 # Fixed rows of the labelled table: text, then kind and exact wording of each span.
 EXAMPLES = (
     ("write to jane.doe@mail.example.org today", (("email", "jane.doe@mail.example.org"),)),
     ("mail <first_last+tag@example.com>, please", (("email", "first_last+tag@example.com"),)),
+    ("ask j.smith@example.edu or lee@example.net for it", (("email", "j.smith@example.edu"), ("email", "lee@example.net"))),
     ("the host 10.0.12.7 answered twice", (("ip", "10.0.12.7"),)),
     ("from 192.168.1.20 to 172.16.254.1 only", (("ip", "192.168.1.20"), ("ip", "172.16.254.1"))),
     ("version 10.12.3 of the file 1.2 is out", ()),
@@ -156,7 +159,7 @@ def labelled_table(docs: DataFrame, doc_id: str, text: str) -> list[tuple[list[s
             spans.append((at, KINDS.index(kind), at + len(words)))
             at += len(words)
         words, tags, _ = tag_words(line, spans)
-        table.append(([word_shape(w) for w in words], tags))
+        table += [([word_shape(w) for w in words], tags)] * EXAMPLE_COPIES
     return table
 
 

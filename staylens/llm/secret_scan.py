@@ -30,6 +30,8 @@ BASE_KINDS = 3
 EXAMPLE_OWNERS = 4
 # A live-looking value has this many different characters.
 RANDOM_CHARACTERS = 10
+# A token without a pattern of its own changes this often between letters and digits.
+TOKEN_BORDERS = 3
 SPARED = r"(?i)example|sample|changeme|placeholder|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
 
 
@@ -111,6 +113,8 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ow
     rows = keep(candidates(docs, doc_id, text, owner), "matches")
     spans = uncovered(place_spans(rows.filter(F.size("found") > 0)))
     varied = F.size(F.array_distinct(F.split("value", ""))) >= RANDOM_CHARACTERS
+    borders = F.size(F.regexp_extract_all("value", F.lit(r"[A-Za-z][0-9]|[0-9][A-Za-z]"), F.lit(0)))
+    varied = varied & ((F.col("kind") < BASE_KINDS) | (borders >= TOKEN_BORDERS))
     spans = keep(
         spans.select(
             "row", "doc_id", "owner", "kind", "start", "stop",

@@ -275,11 +275,16 @@ def keep_one_of_each(
 
     Of repeated ids one row stays; a component without any id keeps one row too.
     """
-    marked = docs.withColumns({"_fp": fingerprint_column(F.col(text), shingle), "_row": F.monotonically_increasing_id()})
+    marked = docs.select(
+        F.struct("*").alias("doc"),
+        F.col(doc_id).alias("id"),
+        fingerprint_column(F.col(text), shingle).alias("fp"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     marked = keep(marked, "marked-texts")
-    narrow = marked.select("_fp", F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), "_row").alias("at"))
-    firsts = narrow.groupBy(F.col("_fp").alias("fp")).agg(F.min("at").alias("at"))
+    at = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    firsts = marked.groupBy("fp").agg(F.min(at).alias("at"))
     roots = fingerprint_roots(firsts, radius)
-    chosen = firsts.join(roots, "fp").groupBy("root").agg(F.min("at").alias("at")).select("at._row")
+    chosen = firsts.join(roots, "fp").groupBy("root").agg(F.min("at").alias("at")).select("at.row")
     chosen = keep(chosen, "chosen-rows")
-    return lookup_join(marked, chosen, "_row", "left_semi", chosen.count(), 24).drop("_fp", "_row")
+    return lookup_join(marked, chosen, "row", "left_semi", chosen.count(), 24).select("doc.*")
