@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import sqltext as q
-from checks.standins import standin_tables
+from checks.standins import MANY_CODES, STANDINS, standin_tables
 from staylens import functions as fn
 from staylens.operators import events as ev
 from staylens.operators import quality as ql
@@ -73,9 +73,9 @@ def drug_features(spark, sf):
     return ev.drug_counts(_linked(t, DRUG))
 
 
-def _top_query(family):
+def _top_query(family, variant=None):
     def run(spark, sf):
-        return ft.selected_codes(standin_tables(spark, sf), family)
+        return ft.selected_codes(standin_tables(spark, sf, variant), family)
 
     return run
 
@@ -86,13 +86,34 @@ def merge_stats(spark, sf):
     return _rounded(ev.merge_stats(daily, [STAY, ev.ITEM]))
 
 
+def _cells(df: DataFrame) -> DataFrame:
+    """Every cell of a wide table as (ICUSTAY_ID, feature, number, text), NULLs too."""
+    kinds = {c: kind for c, kind in df.dtypes if c != STAY}
+    numbers = [c for c, kind in kinds.items() if kind != "string"]
+    texts = [c for c, kind in kinds.items() if kind == "string"]
+    every = [F.col(f"`{c}`").cast("double") for c in numbers] + [F.lit(None).cast("double")] * len(texts)
+    names = F.array(*[F.lit(c) for c in numbers + texts])
+    text = F.get(F.col("texts"), F.col("at") - len(numbers)) if texts else F.lit(None)
+    cells = df.select(STAY, F.array(*[F.col(c) for c in texts]).alias("texts"), F.posexplode(F.array(*every)).alias("at", "number"))
+    return cells.select(
+        STAY, F.get(names, F.col("at")).alias("feature"), F.round("number", 6).alias("number"), text.cast("string").alias("text")
+    )
+
+
+def _cells_query(group, name=None):
+    def run(spark, sf):
+        return _cells(ft.build_features(standin_tables(spark, sf, name), group).features)
+
+    return run
+
+
 def pivot_query(spark, sf):
     t = standin_tables(spark, sf)
     group = ft.GROUPS["7"]
     windows = stay_windows(_stays(t), HOURS)
     long = ft.long_statistics(t, group, windows, Settings())
     selected, _ = ft.select_features(long, group, Settings())
-    return _rounded(pivot_features(long, selected))
+    return _cells(pivot_features(long, selected))
 
 
 def context_query(spark, sf):
@@ -226,9 +247,14 @@ QUERIES = {
     "context_features": context_query,
     "age_exact": age_exact,
     "features_5": _features_query("5"),
-    "features_7": _features_query("7"),
-    "features_9": _features_query("9"),
-    "features_more": _features_query("more"),
+    "features_7": _cells_query("7"),
+    "features_9": _cells_query("9"),
+    "features_more": _cells_query("more"),
+    "features_5_cut": _cells_query("5", "many"),
+    "features_more_cut": _cells_query("more", "many"),
+    "top_codes_cut": _top_query(CHART, "many"),
+    "top_outputs_cut": _top_query(OUTPUT, "many"),
+    "top_inputs_cut": _top_query(INPUT, "many"),
     "quality_5": quality_5,
     "quality_more": quality_more,
     "quality_local": quality_local,
@@ -270,13 +296,17 @@ def _top_sql(family):
     return q.cte(*parts) + f"SELECT t.*, {columns} FROM {family}_top t LEFT JOIN {table} USING (ITEMID)"
 
 
-def _features_parts(group, mode="plain"):
-    return q.features(group, mode)
+def _cells_sql(group):
+    parts, final = q.feature_cells(group)
+    return q.cte(*parts) + final
 
 
-def _features_sql(group):
-    parts, final = _features_parts(group)
-    return q.cte(*parts) + f"SELECT * REPLACE (round(LOS, 9) AS LOS) FROM ({final})"
+def _many(text):
+    """The same SQL over the stand-ins with many codes."""
+    for name, many in MANY_CODES.items():
+        assert STANDINS[name] in text or name not in text
+        text = text.replace(STANDINS[name], many)
+    return text
 
 
 def _metrics(rows):
@@ -317,7 +347,7 @@ CHART_CODES = (1, 2, 3, 4, 5)  # the stand-in maps event types to these items
 
 def static_features_5() -> list[tuple[str, str]]:
     """The 5-table features with the five known items spelled out (no PIVOT)."""
-    parts, _ = q.features("5")
+    parts = q.features("5")
     columns = ", ".join(
         f"max(CASE WHEN ITEMID = {k} THEN {s} END) AS item_{k}_{s}" for k in CHART_CODES for s in q.STATS["chart"]
     )
@@ -352,7 +382,7 @@ def _quality_group_rows(group):
 
 
 def _quality_more_sql():
-    parts, _ = q.features("more")
+    parts = q.features("more")
     body = " UNION ALL ".join(
         f"SELECT '{g}' AS table_group, metric, value FROM ({_metrics(_quality_group_rows(g))})" for g in ("7", "9", "more")
     )
@@ -390,13 +420,14 @@ def _sweep_sql():
 
 
 def _pivot_sql():
-    parts, pivots = _stay_parts("chartevents", "labevents"), []
+    parts, cells = _stay_parts("chartevents", "labevents"), []
     for f in ("chart", "lab"):
         parts += q.linked(f) + q.family_stats(f) + q.top(f)
-        stats = ", ".join(f"x.{s}" for s in q.STATS[f])
-        pivots.append(f"SELECT x.ICUSTAY_ID, concat('{f}_', x.ITEMID) AS stem, {stats} FROM {f}_stats x JOIN {f}_top t USING (ITEMID)")
-    using = ", ".join(f"{q.rounded(s, f'max({s})')} AS {s}" for s in q.STATS["chart"])
-    return q.cte(*parts) + f"SELECT * FROM (PIVOT ({' UNION ALL '.join(pivots)}) ON stem USING {using} GROUP BY ICUSTAY_ID)"
+        cells += q._family_cells(f, f, "kept")
+    kept = " UNION ".join(f"SELECT ICUSTAY_ID FROM {f}_stats JOIN {f}_top USING (ITEMID)" for f in ("chart", "lab"))
+    parts.append(("kept", kept))
+    columns = "SELECT ICUSTAY_ID, feature, number, CAST(text AS VARCHAR) AS text"
+    return q.cte(*parts) + f"{columns} FROM ({' UNION ALL '.join(cells)})"
 
 
 def _load_typed_sql():
@@ -498,5 +529,9 @@ FROM range(40) r(i) CROSS JOIN edge LEFT JOIN hit ON hit.bin = r.i""",
     for key, family in (("top_codes", "chart"), ("top_labs", "lab"), ("top_outputs", "output"), ("top_inputs", "input"), ("top_drugs", "drug")):
         out[key] = _top_sql(family)
     for group in ("7", "9", "more"):
-        out[f"features_{group}"] = _features_sql(group)
+        out[f"features_{group}"] = _cells_sql(group)
+    for group in ("5", "more"):
+        out[f"features_{group}_cut"] = _many(_cells_sql(group))
+    for key, family in (("top_codes_cut", "chart"), ("top_outputs_cut", "output"), ("top_inputs_cut", "input")):
+        out[key] = _many(_top_sql(family))
     return out

@@ -128,11 +128,11 @@ def model_mean(spark, sf):
 
 
 def regression_metrics(spark, sf):
-    """Metrics per first care unit of the mean model's test predictions."""
+    """Metrics per gender (NULL for stays without patient) of the mean model."""
     train, test = sp.group_split(keep(_features(spark, sf), "features"))
     scored = md.fit_mean(train).transform(test).withColumn(em.TRUTH, F.col(TARGET))
-    out = em.regression_metrics(scored, ["FIRST_CAREUNIT"], test.count())
-    return out.select("FIRST_CAREUNIT", *[F.round(m, 6).alias(m) for m in ("MAE", "RMSE", "R2", "MedianAE")])
+    out = em.regression_metrics(scored, ["GENDER"], test.count())
+    return out.select("GENDER", *[F.round(m, 6).alias(m) for m in ("MAE", "RMSE", "R2", "MedianAE")])
 
 
 def cv_mean(spark, sf):
@@ -289,7 +289,7 @@ def oracles() -> dict[str, str]:
     hot = """SELECT s.side, concat('{c}_', v.v) AS feature, CAST(count_if(coalesce(s.{c}, m.mode) = v.v) AS BIGINT) AS rows
 FROM sided s CROSS JOIN (SELECT DISTINCT {c} AS v FROM train WHERE {c} IS NOT NULL) v
 CROSS JOIN (SELECT {c} AS mode FROM train WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) m GROUP BY ALL"""
-    errors = """SELECT FIRST_CAREUNIT, LOS AS y, LOS - (SELECT avg(LOS) FROM train) AS e FROM test"""
+    errors = """SELECT GENDER, LOS AS y, LOS - (SELECT avg(LOS) FROM train) AS e FROM test"""
     folds = [
         ("folded", f"SELECT *, {FOLD_SQL} AS fold FROM train"),
         ("fold_means", "SELECT f.fold, avg(t.LOS) AS mean FROM (SELECT DISTINCT fold FROM folded) f JOIN folded t ON t.fold <> f.fold GROUP BY f.fold"),
@@ -338,7 +338,7 @@ FROM (SELECT CAST(coalesce({c}, (SELECT median({c}) FROM train)) AS DOUBLE) AS v
         "log_target": q.cte(*sides) + "SELECT ICUSTAY_ID, round(ln(1 + LOS), 9) AS log_los, round(LOS, 9) AS LOS FROM final_features",
         "model_mean": q.cte(*sides)
         + "SELECT SUBJECT_ID, HADM_ID, ICUSTAY_ID, round(LOS, 9) AS y_true, round((SELECT avg(LOS) FROM train), 9) AS prediction FROM test",
-        "regression_metrics": q.cte(*sides, ("errors", errors)) + f"SELECT FIRST_CAREUNIT, {_metric_sql()} FROM errors GROUP BY FIRST_CAREUNIT",
+        "regression_metrics": q.cte(*sides, ("errors", errors)) + f"SELECT GENDER, {_metric_sql()} FROM errors GROUP BY GENDER",
         "cv_mean": q.cte(*sides, *folds)
         + """SELECT 'Mean' AS model, round(avg(mae), 6) AS cv_mae_mean, round(stddev_pop(mae), 6) AS cv_mae_std,
   round(avg(rmse), 6) AS cv_rmse_mean, round(stddev_pop(rmse), 6) AS cv_rmse_std, round(avg(r2), 6) AS cv_r2_mean,

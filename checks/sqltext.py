@@ -165,28 +165,49 @@ GROUP_FAMILIES = {
 }
 
 
-def features(group: str, mode: str = "plain") -> tuple[list[tuple[str, str]], str]:
-    """CTEs and final SELECT of a feature table; PIVOT finds the code columns."""
+def feature_cells(group: str) -> tuple[list[tuple[str, str]], str]:
+    """CTEs and SELECT of every cell (ICUSTAY_ID, feature, number, text) of a feature table.
+
+    Each kept stay meets each selected code, so cells without events are NULL rows.
+    """
+    families = GROUP_FAMILIES[group]
+    tables = [t for f in families for t in FAMILY_TABLES[f]]
+    parts = standin("icustays", *dict.fromkeys(tables), "patients", "admissions") + [unit_table()] + context()
+    for f in families:
+        parts += linked(f) + family_stats(f) + top(f)
+    anchor = "" if group == "more" else "SEMI JOIN (SELECT ICUSTAY_ID FROM chart_stats JOIN chart_top USING (ITEMID)) c USING (ICUSTAY_ID)"
+    parts.append(("kept", f"SELECT * FROM context {anchor}"))
+    cells = [
+        f"SELECT ICUSTAY_ID, '{c}' AS feature, CAST(NULL AS DOUBLE) AS number, {c} AS text FROM kept"
+        for c in ("DBSOURCE", *STAY_CATEGORIES[1:], "GENDER", *ADMISSION_CATEGORIES)
+    ]
+    cells += [
+        f"SELECT ICUSTAY_ID, '{c}', round(CAST({c} AS DOUBLE), 6), NULL FROM kept"
+        for c in ("SUBJECT_ID", "HADM_ID", "LOS", "AGE", "HAS_CHARTEVENTS_DATA", "ED_LOS_HOURS")
+    ]
+    for f in families:
+        prefix = "item" if group == "5" and f == "chart" else f
+        cells.append(f"SELECT ICUSTAY_ID, 'no_{f}_features', NULL, NULL FROM kept WHERE NOT EXISTS (SELECT 1 FROM {f}_top)")
+        cells += _family_cells(f, prefix, "kept")
+    return parts, " UNION ALL ".join(cells)
+
+
+def _family_cells(family: str, prefix: str, stays: str) -> list[str]:
+    code = "DRUG_KEY" if family == "drug" else "ITEMID"
+    own = "stem" if family == "drug" else "ITEMID"
+    stem = "t.DRUG_KEY" if family == "drug" else f"concat('{prefix}_', t.ITEMID)"
+    return [
+        f"""SELECT k.ICUSTAY_ID, concat({stem}, '_{s}') AS feature, round(CAST(x.{s} AS DOUBLE), 6) AS number, NULL AS text
+FROM {stays} k CROSS JOIN {family}_top t LEFT JOIN {family}_stats x ON x.ICUSTAY_ID = k.ICUSTAY_ID AND x.{own} = t.{code}"""
+        for s in STATS[family]
+    ]
+
+
+def features(group: str, mode: str = "plain") -> list[tuple[str, str]]:
+    """CTEs of a feature table up to the statistics and selected codes."""
     families = GROUP_FAMILIES[group]
     tables = [t for f in families for t in FAMILY_TABLES[f]]
     parts = standin("icustays", *dict.fromkeys(tables), "patients", "admissions") + [unit_table(mode)] + context(mode)
-    joins, columns = [], []
     for f in families:
         parts += linked(f) + family_stats(f) + top(f)
-        prefix = "item" if (group == "5" and f == "chart") else f
-        if f == "drug":
-            source = "SELECT d.ICUSTAY_ID, d.stem, d.count FROM drug_stats d JOIN drug_top t ON d.stem = t.DRUG_KEY"
-            using = "max(count) AS count, max(1) AS one"
-            columns.append("drug_wide.* EXCLUDE (ICUSTAY_ID) ")
-        else:
-            stats = ", ".join(f"x.{s}" for s in STATS[f])
-            source = f"SELECT x.ICUSTAY_ID, concat('{prefix}_', x.ITEMID) AS stem, {stats} FROM {f}_stats x JOIN {f}_top t USING (ITEMID)"
-            using = ", ".join(f"{rounded(s, f'max({s})')} AS {s}" for s in STATS[f])
-            columns.append(f"{f}_wide.* EXCLUDE (ICUSTAY_ID)")
-        kind = "JOIN" if f == "chart" and group != "more" else "LEFT JOIN"
-        joins.append(f"{kind} (PIVOT ({source}) ON stem USING {using} GROUP BY ICUSTAY_ID) {f}_wide ON {f}_wide.ICUSTAY_ID = context.ICUSTAY_ID")
-    final = f"SELECT context.*, {', '.join(columns)}\nFROM context\n" + "\n".join(joins)
-    if "drug" in families:
-        # A pivot with one aggregate would not name it, hence the helper column.
-        final = f"SELECT COLUMNS(lambda c: NOT (c LIKE 'drug\\_%\\_one' ESCAPE '\\')) FROM ({final})"
-    return parts, final
+    return parts

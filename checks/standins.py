@@ -76,9 +76,32 @@ FROM lineitem JOIN part ON l_partkey = p_partkey""",
 }
 
 
-def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy clinical tables over ``sf_dir``; the session works in UTC."""
+# Event tables with more codes than the limits select; many codes tie at the cut.
+MANY_CODES = {
+    "chartevents": """
+SELECT user_id AS SUBJECT_ID, user_id AS HADM_ID, user_id * 100 + EXTRACT(week FROM ts) AS ICUSTAY_ID,
+  CAST(event_id % 97 AS BIGINT) AS ITEMID, ts AS CHARTTIME,
+  CASE WHEN event_id % 13 = 0 THEN 'n/a' ELSE CAST(value AS STRING) END AS VALUENUM
+FROM events""",
+    "outputevents": """
+SELECT user_id * 100 + EXTRACT(week FROM ts) AS ICUSTAY_ID, CAST(event_id % 31 AS BIGINT) AS ITEMID, ts AS CHARTTIME, value AS VALUE
+FROM events""",
+    "inputevents_cv": """
+SELECT user_id * 100 + EXTRACT(week FROM ts) AS ICUSTAY_ID, CAST(event_id % 41 AS BIGINT) AS ITEMID, ts AS CHARTTIME, value AS AMOUNT
+FROM events WHERE event_id % 2 = 0""",
+    "inputevents_mv": """
+SELECT user_id * 100 + EXTRACT(week FROM ts) AS ICUSTAY_ID, CAST(event_id % 43 AS BIGINT) AS ITEMID, ts AS STARTTIME, value AS AMOUNT
+FROM events WHERE event_id % 2 = 1""",
+}
+
+
+def standin_tables(spark: SparkSession, sf_dir: str, variant: str | None = None) -> dict[str, DataFrame]:
+    """Lazy clinical tables over ``sf_dir``; the session works in UTC.
+
+    ``variant="many"`` reads the event tables with many codes.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for name in BASE_TABLES:
         spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
-    return {name: spark.sql(text) for name, text in STANDINS.items()}
+    texts = STANDINS | (MANY_CODES if variant == "many" else {})
+    return {name: spark.sql(text) for name, text in texts.items()}

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens import functions as fn
-from staylens.operators.joins import keyed_join
+from staylens.operators.joins import keyed_join, null_safe_join
 from staylens.operators.stays import StayWindows
 from staylens.schemas import ADMISSION, STAY
 from staylens.settings import Family, JoinLimits, Source
@@ -173,22 +173,23 @@ def merge_stats(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Combine summary rows of disjoint parts (days, files) to final statistics.
 
     Squared deviations are merged around the combined mean rather than through
-    the sum of squares, which would cancel for large values. The combined mean
-    and the second step group by the same keys, so one shuffle serves both.
+    the sum of squares, which would cancel for large values. The first grouping
+    finds the combined means and the second shifts each part by a join with them;
+    both combine rows before they are shuffled, so a key with very many parts
+    costs one row per task.
     """
-    group = Window.partitionBy(*keys)
-    weighted = F.sum(F.col("mean") * F.col("count")).over(group) / F.sum("count").over(group)
-    shifted = parts.withColumn("_mean", weighted).withColumn(
-        "_m2", F.col("m2") + F.col("count") * (F.col("mean") - F.col("_mean")) ** 2
-    )
-    merged = shifted.groupBy(*keys).agg(
-        F.max("_mean").alias("mean"),
+    means = parts.groupBy(*keys).agg(
+        (F.sum(F.col("mean") * F.col("count")) / F.sum("count")).alias("_mean"),
         F.min("min").alias("min"),
         F.max("max").alias("max"),
-        F.sum("_m2").alias("_m2"),
         F.sum("count").alias("count"),
         F.sum("sum").alias("sum"),
         F.max_by("last", F.struct("last_time", "last")).alias("last"),
     )
+    shifted = null_safe_join(parts.select(*keys, "m2", "count", "mean"), means.select(*keys, "_mean"), keys)
+    spread = shifted.groupBy(*keys).agg(
+        F.sum(F.col("m2") + F.col("count") * (F.col("mean") - F.col("_mean")) ** 2).alias("_m2")
+    )
+    merged = null_safe_join(means, spread, keys)
     std = F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - 1)))
-    return merged.select(*keys, "mean", "min", "max", std.alias("std"), "count", "sum", "last")
+    return merged.select(*keys, F.col("_mean").alias("mean"), "min", "max", std.alias("std"), "count", "sum", "last")

@@ -18,6 +18,13 @@ def hot_keys(facts: DataFrame, key: str, share: float) -> list:
     return [k for k in row[0] if k is not None]
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which a NULL key meets a NULL key."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys]
+    return left.join(renamed, same, "inner").drop(*(f"_right_{k}" for k in keys))
+
+
 def keyed_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -33,16 +40,25 @@ def keyed_join(
     depends on the row and on its partition number only: copies of one row
     spread too, and a task that is run again produces the same salts.
     """
+    return _salted_join(facts, lookup, keys, lookup_rows, limits, "inner")
+
+
+def left_join(facts: DataFrame, lookup: DataFrame, key: str, lookup_rows: int, limits: JoinLimits) -> DataFrame:
+    """Like ``keyed_join`` but keeps facts without a partner."""
+    return _salted_join(facts, lookup, [key], lookup_rows, limits, "left")
+
+
+def _salted_join(facts, lookup, keys, lookup_rows, limits, how) -> DataFrame:
     if lookup_rows <= limits.broadcast_rows:
-        return facts.join(F.broadcast(lookup), keys, "inner")
+        return facts.join(F.broadcast(lookup), keys, how)
     key = keys[0]
     hot = hot_keys(facts, key, limits.hot_share)
     if not hot:
-        return facts.join(lookup, keys, "inner")
+        return facts.join(lookup, keys, how)
     salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in facts.columns]), F.lit(salts))
     salted_facts = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)).cast("int"))
     replicas = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_lookup = lookup.withColumn("_salt", F.explode(replicas))
-    return salted_facts.join(salted_lookup, [*keys, "_salt"], "inner").drop("_salt")
+    return salted_facts.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from staylens.operators.joins import null_safe_join
 from staylens.session import keep
 
 # Up to this many values per group the built-in exact percentile is used: its
@@ -71,7 +72,7 @@ def _bracketed(
     side = F.broadcast(marks) if marks.count() <= BRACKET_ROWS_BROADCAST else marks
     # Values below the bracket fall into one NULL cell: only their number matters.
     cells = (
-        rows.join(side, keys)
+        null_safe_join(rows, side, keys)
         .filter(F.col(value) <= F.col("hi"))
         .groupBy(*keys, "q", "_n", F.when(F.col(value) >= F.col("lo"), F.col(value)).alias("_cell"))
         .agg(F.count(F.lit(1)).alias("_rows"))

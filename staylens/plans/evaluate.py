@@ -17,6 +17,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from staylens.operators.joins import null_safe_join
 from staylens.operators.quantiles import exact_quantiles
 from staylens.operators.split import FOLD, with_folds
 from staylens.plans.models import PREDICTION, ModelSpec, boosted, forest, tree_input
@@ -25,11 +26,12 @@ from staylens.schemas import ID_COLUMNS, STAY, TARGET
 from staylens.session import keep
 
 TRUTH = "y_true"
-SHUFFLE_BLOCK = 20_000
+# Rows are permuted within this many hashed blocks, whatever the size of the data.
+SHUFFLE_BLOCKS = 8
 
 
 def regression_metrics(predictions: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """MAE, RMSE, R2 and median absolute error per group of ``keys``.
+    """MAE, RMSE, R2 and median absolute error per group of ``keys``, NULL included.
 
     Needs ``y_true`` and ``prediction``. ``rows`` bounds the size of a group
     and only decides how the exact median is computed.
@@ -45,7 +47,7 @@ def regression_metrics(predictions: DataFrame, keys: list[str], rows: int) -> Da
     medians = exact_quantiles(scored, keys, "_ae", [0.5], rows).select(
         *keys, F.col("value").alias("MedianAE")
     )
-    return means.join(medians, keys)
+    return null_safe_join(means, medians, keys)
 
 
 def predict(model, df: DataFrame) -> DataFrame:
@@ -277,7 +279,7 @@ def tune(
         foldCol=FOLD,
         parallelism=parallelism,
     )
-    fitted = search.fit(with_folds(tree_input(train, train.count()), folds, seed))
+    fitted = search.fit(with_folds(tree_input(train), folds, seed))
     scores = list(fitted.avgMetrics)
     best = min(range(len(scores)), key=lambda i: scores[i])
     return Tuned(kind, scores[best], settings[best], fitted.bestModel, list(zip(settings, scores)))
@@ -299,19 +301,16 @@ def permutation_importance(
     names: tuple[str, ...],
     repeats: int = 10,
     seed: int = 42,
-    rows: int | None = None,
-    block: int = SHUFFLE_BLOCK,
+    blocks: int = SHUFFLE_BLOCKS,
 ) -> DataFrame:
     """Drop in R2 when one feature is shuffled: mean and deviation over repeats.
 
-    Rows are put in random order once per repeat, by a hash, within random
-    blocks of bounded size; every row then borrows the features of the next row
+    Rows are put in random order once per repeat, by a hash, within ``blocks``
+    random blocks (a task sorts one block of one repeat); every row then borrows the features of the next row
     of its block (the last one of the first). All features of a repeat use the
     same order, so a row travels once per repeat and the per-feature copies
     exist only inside the task that scores them.
     """
-    rows = data.count() if rows is None else rows
-    blocks = max(1, math.ceil(rows / block))
     spread = data.agg((F.var_pop(TARGET) * F.count(TARGET)).alias("s")).first()["s"]
     if not spread:
         raise ValueError("permutation importance needs a target that varies")

@@ -113,11 +113,12 @@ def assemble(
     context = context.drop(*exclude)
     chart = [f for f in selected if f.family == "chart"]
     if selected:
-        wide = pivot_features(long, selected)
+        wide = pivot_features(long, selected).withColumnRenamed(STAY, "_stay")
         if group.needs_chart:
-            present = [F.col(f"{f.stem}_count") for f in chart]
-            wide = wide.filter(F.coalesce(*present).isNotNull() if present else F.lit(False))
-        wide = wide.withColumnRenamed(STAY, "_stay")
+            # A test over the pivoted columns would make the optimizer try all
+            # combinations of their aliases; the long rows say the same.
+            anchors = long.filter((F.col("family") == "chart") & F.col("code").isin([f.code for f in chart]))
+            context = context.join(anchors.select(STAY).distinct(), STAY, "left_semi")
         kind = "inner" if group.needs_chart else "left"
         out = context.join(wide, context[STAY] == wide["_stay"], kind).drop("_stay")
     else:
@@ -132,13 +133,14 @@ def build_features(
     group: str | TableGroup = "5",
     settings: Settings = Settings(),
     codes: Mapping[str, list] | None = None,
-    validate: bool = False,
+    validate: bool = True,
 ) -> FeatureRun:
     """The feature table of a table group.
 
     ``codes`` (family to code list) applies an earlier selection instead of a
     new one, for example the codes chosen on training stays only. ``validate``
-    first makes sure that no stay, patient or admission has several rows.
+    first makes sure that no stay, patient or admission has several rows, which
+    would double features; switch it off only for tables known to be clean.
     """
     group = GROUPS[group] if isinstance(group, str) else group
     if validate:

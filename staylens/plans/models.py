@@ -16,10 +16,10 @@ from staylens.plans.prepare import FEATURES
 from staylens.schemas import STAY, TARGET
 
 PREDICTION = "prediction"
+# The library's limit for its closed-form solver.
 NORMAL_SOLVER_FEATURES = 4096
-EARLY_STOP_ROWS = 10_000
-EARLY_STOP_SHARE = 0.1
-ROWS_PER_TREE_TASK = 1_000
+# Tree fits are dealt to this many tasks by a hash of the stay.
+TREE_TASKS = 16
 
 
 def with_log_target(df: DataFrame) -> DataFrame:
@@ -38,9 +38,12 @@ def fit_mean(train: DataFrame) -> PipelineModel:
     return PipelineModel([SQLTransformer(statement=f"SELECT *, {mean!r}D AS {PREDICTION} FROM __THIS__")])
 
 
-def fit_ridge(train: DataFrame, alpha: float = 1.0) -> PipelineModel:
+def fit_ridge(train: DataFrame, alpha: float = 1.0, solver: str = "normal") -> PipelineModel:
     """Ridge regression on standardised features.
 
+    ``solver="normal"`` is the closed form; beyond the library's limit of features
+    it is refused, and ``"l-bfgs"`` must be asked for.
+
     The library minimises mean squared error with the target scaled to unit
     deviation and standardises with the sample deviation, while ``alpha``
     belongs to the sum of squares over population-standardised features. Both
@@ -49,6 +52,8 @@ def fit_ridge(train: DataFrame, alpha: float = 1.0) -> PipelineModel:
     n, spread, width = train.agg(
         F.count(TARGET), F.stddev_pop(TARGET), F.max(F.size("prepared"))
     ).first()
+    if solver == "normal" and width > NORMAL_SOLVER_FEATURES:
+        raise ValueError(f"the closed form takes {NORMAL_SOLVER_FEATURES} features, not {width}; use solver='l-bfgs'")
     penalty = alpha * (n - 1) / n * spread / n
     scaler = StandardScaler(inputCol=FEATURES, outputCol="scaled", withMean=True, withStd=True)
     ridge = LinearRegression(
@@ -57,7 +62,7 @@ def fit_ridge(train: DataFrame, alpha: float = 1.0) -> PipelineModel:
         regParam=penalty,
         elasticNetParam=0.0,
         standardization=False,
-        solver="normal" if width <= NORMAL_SOLVER_FEATURES else "l-bfgs",
+        solver=solver,
     )
     return Pipeline(stages=[scaler, ridge]).fit(train)
 
@@ -110,29 +115,27 @@ def boosted(
     )
 
 
-def tree_input(train: DataFrame, rows: int) -> DataFrame:
-    """Fewer partitions for a small training set, unchanged for a large one.
+def tree_input(train: DataFrame, tasks: int = TREE_TASKS) -> DataFrame:
+    """Rows in an order that depends on the stays alone.
 
-    Every task of a tree level sends bins x features statistics per node,
-    whatever its number of rows, so tasks with few rows only add shuffle.
+    Bootstrap draws follow partitions and positions, so the same rows give the
+    same trees however the table was laid out.
     """
-    return train.coalesce(max(1, rows // ROWS_PER_TREE_TASK))
+    return train.repartition(tasks, STAY).sortWithinPartitions(STAY)
 
 
-def fit_forest(train: DataFrame, rows: int | None = None, **options):
-    rows = train.count() if rows is None else rows
-    return forest(**options).fit(tree_input(train, rows))
+def fit_forest(train: DataFrame, tasks: int = TREE_TASKS, **options):
+    return forest(**options).fit(tree_input(train, tasks))
 
 
-def fit_boosted(train: DataFrame, rows: int | None = None, **options):
-    """Boosting that stops early on a hashed tenth of a large training set."""
+def fit_boosted(train: DataFrame, early_stop_share: float | None = None, tasks: int = TREE_TASKS, **options):
+    """Boosting on all rows; ``early_stop_share`` holds out that hashed share and stops early."""
     estimator = boosted(**options)
-    rows = train.count() if rows is None else rows
-    if rows > EARLY_STOP_ROWS:
-        held_out = fn.hash_fraction(F.col(STAY), options.get("seed", 42)) < EARLY_STOP_SHARE
+    if early_stop_share:
+        held_out = fn.hash_fraction(F.col(STAY), options.get("seed", 42)) < early_stop_share
         train = train.withColumn("_held_out", held_out)
         estimator = estimator.setValidationIndicatorCol("_held_out")
-    return estimator.fit(tree_input(train, rows))
+    return estimator.fit(tree_input(train, tasks))
 
 
 @dataclass(frozen=True)

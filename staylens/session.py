@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,21 +29,27 @@ def build_session(app: str = "staylens", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The folder intermediate tables are written to.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a temporary folder of its own.
+    It is the one the cluster names in ``spark.checkpoint.dir``; without that
+    setting it lies in the warehouse, which all executors share too.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="staylens-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staylens-scratch"
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/staylens-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/staylens-{app}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written to the scratch folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keep(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

@@ -9,15 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from staylens.schemas import RAW_TABLES
 
 
-def load_raw_table(spark: SparkSession, table: str, path: str, quoted_newlines: bool = True) -> DataFrame:
+# The event tables hold codes and numbers; their files may split.
+SPLITTING = frozenset(
+    ("chartevents", "labevents", "outputevents", "inputevents_cv", "inputevents_mv", "icustays", "patients")
+)
+
+
+def load_raw_table(spark: SparkSession, table: str, path: str, quoted_newlines: bool | None = None) -> DataFrame:
     """Typed scan of one CSV or CSV.gz table; a malformed row stops the job.
 
     The fixed schema applies by position and the header line is skipped. With
-    ``quoted_newlines`` a file is read by one task, so pass many files or switch
-    it off for tables without free text, which lets plain CSV split.
+    ``quoted_newlines`` a file is read by one task; by default only tables with
+    free text are read that way, so a plain event file is split.
     """
     if table not in RAW_TABLES:
         raise ValueError(f"no schema is known for table {table!r}; known: {sorted(RAW_TABLES)}")
+    if quoted_newlines is None:
+        quoted_newlines = table not in SPLITTING
     return (
         spark.read.schema(RAW_TABLES[table])
         .option("header", True)
@@ -33,7 +41,7 @@ def load_raw_tables(
     paths: Mapping[str, str],
     target: str,
     only: Iterable[str] | None = None,
-    quoted_newlines: bool = True,
+    quoted_newlines: bool | None = None,
 ) -> dict[str, DataFrame]:
     """Convert CSV tables to parquet under ``target``, replacing what is there.
 

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from staylens.session import build_session  # noqa: E402
+from staylens.session import build_session, drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,6 +21,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -142,10 +142,35 @@ def test_models_rank_above_the_mean(spark):
     assert summary["best_model"] == em.best_model(ranked) and summary["train_rows"] == 200 and summary["n_features"] == 3
 
 
-def test_early_stopping_uses_a_held_out_tenth(spark, monkeypatch):
+def test_early_stopping_is_asked_for(spark):
     df, _, _ = vectors(spark)
-    monkeypatch.setattr(md, "EARLY_STOP_ROWS", 10)
-    assert md.fit_boosted(df, rounds=3, max_depth=2).transform(df).count() == 200
+    assert md.fit_boosted(df, rounds=3, max_depth=2).getNumTrees == 3
+    assert md.fit_boosted(df, early_stop_share=0.1, rounds=3, max_depth=2).transform(df).count() == 200
+
+
+def test_trees_do_not_depend_on_the_layout(spark):
+    df, _, _ = vectors(spark)
+    for fit in (lambda d: md.fit_forest(d, trees=5, max_depth=4), lambda d: md.fit_boosted(d, rounds=4, max_depth=3, min_leaf=2)):
+        one, eight = (
+            [r["prediction"] for r in fit(df.repartition(n)).transform(df).orderBy("ICUSTAY_ID").collect()] for n in (1, 8)
+        )
+        assert one == eight
+
+
+def test_closed_form_is_refused_beyond_its_limit(spark, monkeypatch):
+    df, _, _ = vectors(spark)
+    monkeypatch.setattr(md, "NORMAL_SOLVER_FEATURES", 2)
+    with pytest.raises(ValueError, match="l-bfgs"):
+        md.fit_ridge(df)
+    assert md.fit_ridge(df, solver="l-bfgs").transform(df).count() == 200
+
+
+@pytest.mark.parametrize("rows", [1000, 10**6])
+def test_metrics_keep_the_null_group(spark, rows):
+    data = [("a", 1.0, 2.0), ("a", 3.0, 2.0), (None, 5.0, 1.0), (None, 7.0, 1.0), (None, 9.0, 1.0)]
+    scored = spark.createDataFrame(data, "g string, y_true double, prediction double")
+    got = {r["g"]: (r["MAE"], r["MedianAE"]) for r in em.regression_metrics(scored, ["g"], rows).collect()}
+    assert got == {"a": (1.0, 1.0), None: (6.0, 6.0)}
 
 
 def test_trials_stay_in_range():
@@ -155,12 +180,12 @@ def test_trials_stay_in_range():
     assert {t["trees"] % 50 for t in forest} == {0} and forest == em.draw_trials("forest", 50)
 
 
-@pytest.mark.parametrize("block", [100_000, 30])
-def test_permutation_importance_finds_the_strong_feature(spark, block):
+@pytest.mark.parametrize("blocks", [1, 8])
+def test_permutation_importance_finds_the_strong_feature(spark, blocks):
     df, x, y = vectors(spark)
     model = md.fit_ridge(df)
     # The ridge model reads "features" through its scaler, so replacing it works.
-    got = em.permutation_importance(model, df, ("one", "two", "three"), repeats=5, block=block).collect()
+    got = em.permutation_importance(model, df, ("one", "two", "three"), repeats=5, blocks=blocks).collect()
     assert [r["feature"] for r in got][0] == "two" and all(r["importance_std"] >= 0 for r in got)
     # Shuffling a coefficient's column costs about 2 * beta^2 * var(x) / var(y).
     share = 2 * 0.25 * x[:, 1].var() / y.var()
