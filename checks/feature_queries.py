@@ -17,6 +17,7 @@ from staylens.schemas import ADMISSION_CATEGORIES, ID_COLUMNS, RAW_TABLES, STAY,
 from staylens.session import new_path
 from staylens.settings import CHART, DRUG, INPUT, LAB, OUTPUT, Settings
 from staylens.sources import export_csv, load_projected, load_raw_tables
+from staylens.sources.sinks import replace_table, write_report
 
 HOURS = 24
 
@@ -100,9 +101,9 @@ def _cells(df: DataFrame) -> DataFrame:
     )
 
 
-def _cells_query(group, name=None):
+def _cells_query(group, name=None, settings=Settings()):
     def run(spark, sf):
-        return _cells(ft.build_features(standin_tables(spark, sf, name), group).features)
+        return _cells(ft.build_features(standin_tables(spark, sf, name), group, settings).features)
 
     return run
 
@@ -143,6 +144,20 @@ def quality_5(spark, sf):
     return ql.quality_base(t, ft.build_features(t, "5"))
 
 
+def replace_table_query(spark, sf):
+    """The stays, written over an older table and read again."""
+    rows, path = unit(spark, sf), new_path(spark, "replaced")
+    replace_table(rows.limit(1), path)
+    return replace_table(rows, path)
+
+
+def write_report_query(spark, sf):
+    """A small report as CSV, read again."""
+    path = new_path(spark, "report")
+    write_report(stays_per_patient(spark, sf), path)
+    return spark.read.option("header", True).schema("metric string, value double").csv(path)
+
+
 def quality_more(spark, sf):
     t = standin_tables(spark, sf)
     out = None
@@ -250,6 +265,9 @@ QUERIES = {
     "features_7": _cells_query("7"),
     "features_9": _cells_query("9"),
     "features_more": _cells_query("more"),
+    "features_9_empty": _cells_query("9", settings=Settings(top_n_output=0)),
+    "replace_table": replace_table_query,
+    "write_report": write_report_query,
     "features_5_cut": _cells_query("5", "many"),
     "features_more_cut": _cells_query("more", "many"),
     "top_codes_cut": _top_query(CHART, "many"),
@@ -530,6 +548,11 @@ FROM range(40) r(i) CROSS JOIN edge LEFT JOIN hit ON hit.bin = r.i""",
         out[key] = _top_sql(family)
     for group in ("7", "9", "more"):
         out[f"features_{group}"] = _cells_sql(group)
+    out["replace_table"], out["write_report"] = out["unit_table"], out["stays_per_patient"]
+    limit = f"LIMIT {q.TOP_N['output']}"
+    parts, final = q.feature_cells("9")
+    parts = [(n, t.replace(limit, "LIMIT 0") if n == "output_top" else t) for n, t in parts]
+    out["features_9_empty"] = q.cte(*parts) + final
     for group in ("5", "more"):
         out[f"features_{group}_cut"] = _many(_cells_sql(group))
     for key, family in (("top_codes_cut", "chart"), ("top_outputs_cut", "output"), ("top_inputs_cut", "input")):

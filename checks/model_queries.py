@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import feature_queries as fq
@@ -149,6 +152,52 @@ def _model_query(fit):
     return run
 
 
+def ridge_gradient(spark, sf):
+    """Slope of the penalised mean loss at the fitted ridge weights: zero only there."""
+    data, train, _ = _prepared(spark, sf)
+    train = keep(train, "vectors")
+    model = md.fit_ridge(train, 1.0)
+    weights = model.stages[-1].coefficients.toArray().tolist()
+    n = train.count()
+    shrink = (n / (n - 1)) ** 0.5  # the scaler divides by the sample deviation
+    error = F.col(TARGET) - F.col("prediction")
+    cells = model.transform(train).select(error.alias("e"), F.posexplode(vector_to_array("scaled")).alias("at", "z"))
+    names = F.array(*[F.lit(x) for x in data.preparation.names])
+    slope = F.get(F.array(*[F.lit(w / shrink) for w in weights]), F.col("at")) - F.col("dot") * shrink
+    sums = cells.groupBy("at").agg(F.sum(F.col("z") * F.col("e")).alias("dot"))
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return sums.select(F.get(names, F.col("at")).alias("feature"), (F.round(slope / n, 6) + 0.0).alias("slope"))
+
+
+def forest_bounds(spark, sf):
+    """A forest averages training targets, so it stays within their range."""
+    _, train, test = _prepared(spark, sf)
+    low, high = train.agg(F.min(TARGET), F.max(TARGET)).first()
+    scored = em.predict(md.fit_forest(train, **FOREST), test)
+    inside = F.col(em.PREDICTION).between(low - 1e-9, high + 1e-9)
+    return scored.select(*ID_COLUMNS, F.round(em.TRUTH, 9).alias(em.TRUTH), inside.alias("inside"))
+
+
+def _two_means(spark, sf):
+    train, test = sp.group_split(keep(_features(spark, sf), "features"))
+    high = train.agg(F.max(TARGET)).first()[0]
+    highest = SQLTransformer(statement=f"SELECT *, {high!r}D AS {em.PREDICTION} FROM __THIS__")
+    models = [md.ModelSpec("Mean", md.fit_mean), md.ModelSpec("Highest", lambda _: PipelineModel([highest]))]
+    return em.evaluate_on_test(train, test, models)
+
+
+def compare_means(spark, sf):
+    """Ranked comparison of two models that SQL can replay."""
+    out = em.compare_models(_two_means(spark, sf).results)
+    return out.select("model", "rank", *[F.round(m, 6).alias(m) for m in ("MAE", "RMSE", "R2", "MedianAE")])
+
+
+def observed_vs_predicted(spark, sf):
+    done = _two_means(spark, sf)
+    out = em.observed_vs_predicted(done.predictions, em.best_model(done.results))
+    return out.select(STAY, *[F.round(c, 9).alias(c) for c in (em.TRUTH, "y_pred")])
+
+
 def cv_benchmark(spark, sf):
     _, train, _ = _prepared(spark, sf)
     return em.cv_benchmark(keep(train, "vectors"), md.baseline_models(FOREST, BOOSTED), folds=3)
@@ -212,6 +261,10 @@ QUERIES = {
     "model_ridge": _model_query(md.fit_ridge),
     "model_forest": _model_query(lambda train: md.fit_forest(train, **FOREST)),
     "model_boosted": _model_query(lambda train: md.fit_boosted(train, **BOOSTED)),
+    "ridge_gradient": ridge_gradient,
+    "forest_bounds": forest_bounds,
+    "compare_means": compare_means,
+    "observed_vs_predicted": observed_vs_predicted,
     "cv_benchmark": cv_benchmark,
     "test_predictions": test_predictions,
     "tune": tune,
@@ -300,7 +353,23 @@ CROSS JOIN (SELECT {c} AS mode FROM train WHERE {c} IS NOT NULL GROUP BY {c} ORD
   CASE WHEN var_pop(y) > 0 THEN 1 - sum(e * e) / (var_pop(y) * count(*)) END AS r2, median(abs(e)) AS medae FROM fold_errors GROUP BY fold""",
         ),
     ]
+    indicator = "SELECT 'missingindicator_{c}' AS feature FROM train HAVING count(*) > count({c})"
+    names = " UNION ALL ".join(f"SELECT '{c}' AS feature" for c in NUMERIC)
+    hot_names = _each("SELECT DISTINCT concat('{c}_', {c}) AS feature FROM train WHERE {c} IS NOT NULL", CATEGORICAL)
+    scored = [
+        ("constant", "SELECT 'Mean' AS model, avg(LOS) AS p FROM train UNION ALL SELECT 'Highest', max(LOS) FROM train"),
+        ("errors", "SELECT model, LOS AS y, LOS - p AS e FROM test CROSS JOIN constant"),
+        ("metrics", f"SELECT model, {_metric_sql()} FROM errors GROUP BY model"),
+    ]
     return {
+        "ridge_gradient": q.cte(*sides)
+        + f"SELECT feature, CAST(0 AS DOUBLE) AS slope FROM ({names} UNION ALL {_each(indicator, NUMERIC)} UNION ALL {hot_names})",
+        "forest_bounds": q.cte(*sides) + "SELECT SUBJECT_ID, HADM_ID, ICUSTAY_ID, round(LOS, 9) AS y_true, true AS inside FROM test",
+        "compare_means": q.cte(*sides, *scored)
+        + "SELECT model, CAST(row_number() OVER (ORDER BY MAE, model) AS INT) AS rank, MAE, RMSE, R2, MedianAE FROM metrics",
+        "observed_vs_predicted": q.cte(*sides, *scored)
+        + """SELECT ICUSTAY_ID, round(LOS, 9) AS y_true, round(p, 9) AS y_pred FROM test CROSS JOIN constant
+WHERE model = (SELECT model FROM metrics ORDER BY MAE, model LIMIT 1)""",
         "group_split": q.cte(*sides) + "SELECT SUBJECT_ID, HADM_ID, ICUSTAY_ID, side FROM sided",
         "leakage_check": q.cte(*sides)
         + fq._metrics(

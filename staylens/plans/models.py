@@ -18,6 +18,7 @@ from staylens.schemas import STAY, TARGET
 PREDICTION = "prediction"
 # The library's limit for its closed-form solver.
 NORMAL_SOLVER_FEATURES = 4096
+RIDGE_TOLERANCE, RIDGE_ITERATIONS = 1e-15, 3_000
 # Tree fits are dealt to this many tasks by a hash of the stay.
 TREE_TASKS = 16
 
@@ -63,6 +64,10 @@ def fit_ridge(train: DataFrame, alpha: float = 1.0, solver: str = "normal") -> P
         elasticNetParam=0.0,
         standardization=False,
         solver=solver,
+        # Constant columns make the normal equations singular; the library then
+        # iterates, and these bounds make that as good as the closed form.
+        tol=RIDGE_TOLERANCE,
+        maxIter=RIDGE_ITERATIONS,
     )
     return Pipeline(stages=[scaler, ridge]).fit(train)
 
