@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 
 OUTSIDE = 0
+SETTLING_ROUNDS = 6
 RATE, ROUNDS, PENALTY = 0.2, 200, 1e-5
 
 _RUN = re.compile(r"[0-9]+|[A-Z]+|[a-z]+|[^\x00-\x7F]+|[^0-9A-Za-z]")
@@ -176,6 +177,7 @@ class Decoder:
         k = len(model.labels)
         self.own, self.before, self.after = (np.zeros((0, k)) for _ in range(3))
         self.settled = np.zeros(0, bool)
+        self.border = self.shapes.setdefault("", 0)  # stands between texts, scores nothing
         zero = np.zeros(k)
 
         def worst(rows):
@@ -183,9 +185,11 @@ class Decoder:
             return (table[:, [OUTSIDE]] - table).min(axis=0)
 
         moves = model.moves
-        inwards = (moves[:, [OUTSIDE]] - moves).min(axis=0)
-        outwards = (moves[[OUTSIDE]] - moves).min(axis=1)
-        self.slack = worst(model.before) + worst(model.after) + inwards + outwards
+        # What replacing a label by outside gains at least on the move into it and
+        # out of it: for any neighbours, and for neighbours that are outside.
+        self.any_in, self.any_out = (moves[:, [OUTSIDE]] - moves).min(axis=0), (moves[[OUTSIDE]] - moves).min(axis=1)
+        self.out_in, self.out_out = moves[OUTSIDE, OUTSIDE] - moves[OUTSIDE], moves[OUTSIDE, OUTSIDE] - moves[:, OUTSIDE]
+        self.slack = worst(model.before) + worst(model.after) + self.any_in + self.any_out
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         """Shape numbers of the words."""
@@ -208,13 +212,15 @@ class Decoder:
         fresh = list(self.shapes)[len(self.own) :]
         if not fresh:
             return
-        own, before, after = zip(*(self.model.rows(s) for s in fresh))
+        zero = np.zeros(len(self.model.labels))
+        own, before, after = zip(*(self.model.rows(s) if s else (zero, zero, zero) for s in fresh))
         self.own, self.before, self.after = (
             np.concatenate([a, np.array(b)]) for a, b in ((self.own, own), (self.before, before), (self.after, after))
         )
         margin = self.own[:, [OUTSIDE]] - self.own + self.slack
         margin[:, OUTSIDE] = np.inf
         self.settled = margin.min(axis=1) > 0
+        self.settled[self.border] = True
 
     def decode(self, texts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text the word positions that are not outside, and their labels."""
@@ -222,13 +228,10 @@ class Decoder:
         if len(self.shapes) > self.limit:
             raise MemoryError("more word shapes than the decoder holds")
         lengths: dict[int, list[tuple[int, int]]] = {}
-        for n, ids in enumerate(texts):
-            open_ = np.flatnonzero(~self.settled[ids]) if len(ids) else ids
-            if not len(open_):
-                continue
-            breaks = np.flatnonzero(np.diff(open_) > 1) + 1
-            for part in np.split(open_, breaks):
-                lengths.setdefault(len(part), []).append((n, int(part[0])))
+        for n, open_ in enumerate(self._open(texts)):
+            if len(open_):
+                for part in np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1):
+                    lengths.setdefault(len(part), []).append((n, int(part[0])))
         found: list[list[tuple[int, int]]] = [[] for _ in texts]
         for length, places in lengths.items():
             scores = np.array([self._scores(texts[n], i, i + length) for n, i in places])
@@ -236,6 +239,32 @@ class Decoder:
                 found[n] += [(i + t, int(tags[t])) for t in np.flatnonzero(tags)]
         return [tuple(np.array(sorted(f), np.int64).reshape(-1, 2).T) for f in found]
 
+    def _open(self, texts: list[np.ndarray]) -> list[np.ndarray]:
+        """Positions of each text that are not proven to be outside.
+
+        First by shape, then with the scores of the actual neighbours, then with
+        the knowledge that a neighbour is outside, as long as that settles more.
+        """
+        border = np.array([self.border])
+        ids = np.concatenate([border, *(x for t in texts for x in (t, border))])
+        settled = self.settled[ids]
+        at = np.flatnonzero(~settled)
+        scores = self.own[ids[at]] + self.before[ids[at - 1]] + self.after[ids[at + 1]]
+        margin = scores[:, [OUTSIDE]] - scores
+        for _ in range(SETTLING_ROUNDS):
+            left = np.where(settled[at - 1][:, None], self.out_in, self.any_in)
+            right = np.where(settled[at + 1][:, None], self.out_out, self.any_out)
+            gain = margin + left + right
+            gain[:, OUTSIDE] = np.inf
+            sure = gain.min(axis=1) > 0
+            if not sure.any():
+                break
+            settled[at[sure]] = True
+            at, margin = at[~sure], margin[~sure]
+        starts = np.cumsum([1, *(len(t) + 1 for t in texts)])
+        cuts = np.searchsorted(at, starts)
+        return [at[a:b] - s for a, b, s in zip(cuts, cuts[1:], starts)]
+
     def _scores(self, ids: np.ndarray, lo: int, hi: int) -> np.ndarray:
         scores = self.own[ids[lo:hi]].copy()
         left = max(lo, 1)
