@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +29,8 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE_PARTS = 300_000
 CACHED_CHARS = 48
+# Remembered moves over failure links.
+JUMPS = 500_000
 # A byte costs this much more than the least likely ordinary piece.
 BYTE_PENALTY = 10.0
 NEVER = -1e8  # pieces scored below this do not set the price of a byte
@@ -91,15 +94,28 @@ class Automaton:
                 self.fail[child] = self.moves.get(target << 21 | c, 0)
                 queue.append(child)
 
-    def step(self, state: int, c: int) -> int:
-        moves = self.moves
-        while True:
-            found = moves.get(state << 21 | c)
-            if found is not None:
-                return found
-            if not state:
-                return 0
-            state = self.fail[state]
+        # What ends in a state, longest first, by following its output links once.
+        self.ends = [self._chain(state) for state in range(len(self.size))]
+        self.jumps: dict[int, int] = {}
+
+    def _chain(self, state: int) -> tuple[tuple[int, float, int], ...]:
+        out = []
+        node = state if self.piece[state] >= 0 else self.output[state]
+        while node:
+            out.append((self.size[node], self.score[node], self.piece[node]))
+            node = self.output[node]
+        return tuple(out)
+
+    def jump(self, key: int) -> int:
+        """Target of (state, character) over failure links, remembered for known characters."""
+        moves, fail = self.moves, self.fail
+        state, c = key >> 21, key & 0x1FFFFF
+        while state and state << 21 | c not in moves:
+            state = fail[state]
+        found = moves.get(state << 21 | c, 0)
+        if found and len(self.jumps) < JUMPS:
+            self.jumps[key] = found
+        return found
 
 
 class Coder:
@@ -125,20 +141,19 @@ class Coder:
     def best_path(self, text: str) -> list[int]:
         """Ids of the best scored segmentation; of equals, the longer last piece."""
         a = self.automaton
-        size, score, output, piece = a.size, a.score, a.output, a.piece
+        moves, jumps, ends, single = a.moves, a.jumps, a.ends, self.single
         best, came = [0.0], [(0, -1)]
-        state = 0
+        state, lowest = 0, -np.inf
         for end, char in enumerate(text, 1):
-            state = a.step(state, ord(char))
-            top, step = -np.inf, (end - 1, -1)
-            if char not in self.single:
+            key = state << 21 | ord(char)
+            state = moves.get(key) or jumps.get(key) or a.jump(key)
+            top, step = lowest, (end - 1, -1)
+            if char not in single:
                 top = best[end - 1] + self.byte_score * len(char.encode())
-            node = state if piece[state] >= 0 else output[state]
-            while node:
-                value = best[end - size[node]] + score[node]
+            for size, score, piece in ends[state]:
+                value = best[end - size] + score
                 if value > top:
-                    top, step = value, (end - size[node], piece[node])
-                node = output[node]
+                    top, step = value, (end - size, piece)
             best.append(top)
             came.append(step)
         ids: list[int] = []
@@ -152,7 +167,7 @@ class Coder:
     def _part(self, part: str) -> bytes:
         found = self.known.get(part)
         if found is None:
-            found = np.array(self.best_path(part), "<i4").tobytes()
+            found = array("i", self.best_path(part)).tobytes()
             if len(part) <= CACHED_CHARS:
                 if len(self.known) >= CACHE_PARTS:
                     self.known.clear()
