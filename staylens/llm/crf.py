@@ -168,17 +168,18 @@ def fit_crf(sequences: list[tuple[list[str], list[str]]], labels: list[str]) ->
 
 
 class Decoder:
-    """Viterbi for many texts given as words; keeps at most ``limit`` word shapes."""
+    """Viterbi for many texts given as words.
+
+    ``tag`` keeps the scores of at most ``limit`` word shapes (of 20 or more) and
+    forgets all of them when the next words could pass that; a longer text is
+    scored in parts. Neither changes a label.
+    """
 
     def __init__(self, model: Crf, limit: int = 400_000):
         self.model, self.limit = model, limit
-        self.words: dict[bytes, int] = {}
-        self.shapes: dict[str, int] = {}
-        k = len(model.labels)
-        self.own, self.before, self.after = (np.zeros((0, k)) for _ in range(3))
-        self.settled = np.zeros(0, bool)
-        self.border = self.shapes.setdefault("", 0)  # stands between texts, scores nothing
-        zero = np.zeros(k)
+        self.part = max(1, limit // 4)  # words scored at once
+        self._forget()
+        zero = np.zeros(len(model.labels))
 
         def worst(rows):
             table = np.array([zero, *rows.values()])
@@ -191,8 +192,21 @@ class Decoder:
         self.out_in, self.out_out = moves[OUTSIDE, OUTSIDE] - moves[OUTSIDE], moves[OUTSIDE, OUTSIDE] - moves[:, OUTSIDE]
         self.slack = worst(model.before) + worst(model.after) + self.any_in + self.any_out
 
+    def _forget(self) -> None:
+        """Empty tables; shape numbers given before no longer hold."""
+        self.words: dict[bytes, int] = {}
+        self.shapes: dict[str, int] = {}
+        k = len(self.model.labels)
+        self.own, self.before, self.after = (np.zeros((0, k)) for _ in range(3))
+        self.settled = np.zeros(0, bool)
+        self.border = self.shapes.setdefault("", 0)  # stands between texts, scores nothing
+
+    def _make_room(self, words: int) -> None:
+        if len(self.shapes) + words > self.limit:
+            self._forget()
+
     def ids(self, words: list[bytes]) -> np.ndarray:
-        """Shape numbers of the words."""
+        """Shape numbers of the words, good until the next ``tag``."""
         known = self.words
         try:
             return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
@@ -222,34 +236,78 @@ class Decoder:
         self.settled = margin.min(axis=1) > 0
         self.settled[self.border] = True
 
+    def tag(self, texts: list[list[bytes]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text, given as words, the positions that are not outside, and their labels."""
+        found, lo = [], 0
+        while lo < len(texts):
+            hi, size = lo + 1, len(texts[lo])
+            while hi < len(texts) and size + len(texts[hi]) <= self.part:
+                size += len(texts[hi])
+                hi += 1
+            if size > self.part:
+                found.append(self._tag_in_parts(texts[lo]))
+            else:
+                self._make_room(size)
+                found += self.decode([self.ids(words) for words in texts[lo:hi]])
+            lo = hi
+        return found
+
+    def _tag_in_parts(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``tag`` for one long text: only its open words keep scores between the parts."""
+        settled = np.ones(len(words) + 2, bool)
+        places, scores = [], []
+        for lo in range(0, len(words), self.part):
+            part = words[max(lo - 1, 0) : lo + self.part + 1]
+            self._make_room(len(part))
+            ids = self.ids(part)
+            if lo == 0:
+                ids = np.concatenate([[self.border], ids])
+            if lo + self.part >= len(words):
+                ids = np.concatenate([ids, [self.border]])
+            self._grow()
+            own, at, score = self._by_shape(ids)
+            settled[lo + 1 : lo + len(ids) - 1] = own[1:-1]
+            places.append(at + lo)
+            scores.append(score)
+        return self._paths(settled, np.concatenate(places), np.concatenate(scores), [len(words)])[0]
+
     def decode(self, texts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text the word positions that are not outside, and their labels."""
+        """``tag`` for texts given as shape numbers."""
         self._grow()
-        if len(self.shapes) > self.limit:
-            raise MemoryError("more word shapes than the decoder holds")
-        lengths: dict[int, list[tuple[int, int]]] = {}
-        for n, open_ in enumerate(self._open(texts)):
-            if len(open_):
-                for part in np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1):
-                    lengths.setdefault(len(part), []).append((n, int(part[0])))
-        found: list[list[tuple[int, int]]] = [[] for _ in texts]
-        for length, places in lengths.items():
-            scores = np.array([self._scores(texts[n], i, i + length) for n, i in places])
-            for (n, i), tags in zip(places, viterbi(scores, self.model.moves)):
-                found[n] += [(i + t, int(tags[t])) for t in np.flatnonzero(tags)]
-        return [tuple(np.array(sorted(f), np.int64).reshape(-1, 2).T) for f in found]
-
-    def _open(self, texts: list[np.ndarray]) -> list[np.ndarray]:
-        """Positions of each text that are not proven to be outside.
-
-        First by shape, then with the scores of the actual neighbours, then with
-        the knowledge that a neighbour is outside, as long as that settles more.
-        """
         border = np.array([self.border])
         ids = np.concatenate([border, *(x for t in texts for x in (t, border))])
+        return self._paths(*self._by_shape(ids), [len(t) for t in texts])
+
+    def _by_shape(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which words their shape settles; places and scores of the others but the two ends."""
         settled = self.settled[ids]
-        at = np.flatnonzero(~settled)
-        scores = self.own[ids[at]] + self.before[ids[at - 1]] + self.after[ids[at + 1]]
+        at = np.flatnonzero(~settled[1:-1]) + 1
+        return settled, at, self.own[ids[at]] + self.before[ids[at - 1]] + self.after[ids[at + 1]]
+
+    def _paths(self, settled: np.ndarray, at: np.ndarray, scores: np.ndarray, sizes: list[int]):
+        """Labels of the texts of these sizes that lie in a row with a border around each."""
+        open_ = self._open(settled, at, scores)
+        at, scores = at[open_], scores[open_]
+        starts = np.cumsum([1, *(n + 1 for n in sizes)])
+        lengths: dict[int, list[int]] = {}
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > 1) + 1):
+            if len(part):
+                lengths.setdefault(len(part), []).append(int(part[0]))
+        labels = np.zeros(len(at), np.int64)
+        for length, firsts in lengths.items():
+            rows = np.array(firsts)[:, None] + np.arange(length)
+            labels[rows] = viterbi(scores[rows], self.model.moves)
+        at, labels = at[labels > 0], labels[labels > 0]
+        cuts = np.searchsorted(at, starts)
+        return [(at[a:b] - s, labels[a:b]) for a, b, s in zip(cuts, cuts[1:], starts)]
+
+    def _open(self, settled: np.ndarray, at: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Which of the words ``at`` are not proven to be outside.
+
+        With the scores of the actual neighbours, then with the knowledge that a
+        neighbour is outside, as long as that settles more.
+        """
+        settled, kept = settled.copy(), np.arange(len(at))
         margin = scores[:, [OUTSIDE]] - scores
         for _ in range(SETTLING_ROUNDS):
             left = np.where(settled[at - 1][:, None], self.out_in, self.any_in)
@@ -260,10 +318,8 @@ class Decoder:
             if not sure.any():
                 break
             settled[at[sure]] = True
-            at, margin = at[~sure], margin[~sure]
-        starts = np.cumsum([1, *(len(t) + 1 for t in texts)])
-        cuts = np.searchsorted(at, starts)
-        return [at[a:b] - s for a, b, s in zip(cuts, cuts[1:], starts)]
+            at, margin, kept = at[~sure], margin[~sure], kept[~sure]
+        return kept
 
     def _scores(self, ids: np.ndarray, lo: int, hi: int) -> np.ndarray:
         scores = self.own[ids[lo:hi]].copy()

@@ -227,8 +227,8 @@ def _finder(model: Crf, masking: bool):
             # Word lists of a few texts at a time keep the memory of a batch small.
             for at in range(0, len(column), 256):
                 texts = [t or "" for t in column.slice(at, 256).to_pylist()]
-                ids = [decoders[0].ids(t.encode().split()) for t in texts]
-                for text, tagged in zip(texts, decoders[0].decode(ids)):
+                words = [t.encode().split() for t in texts]
+                for text, tagged in zip(texts, decoders[0].tag(words)):
                     base = base_spans(text)
                     spans = sorted(base + _added(text, base, tagged))
                     counts = [sum(k == kind for _, k, _ in base) for kind in range(4)]

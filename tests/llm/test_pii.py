@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from staylens.llm import pii
@@ -109,3 +110,22 @@ def test_query_equals_patterns_and_awkward_rows(spark):
 def test_masking(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co or +1 (415) 555-2671."), (2, None)], "doc_id bigint, text string")
     assert [r.text for r in pii.mask_pii(docs).orderBy("doc_id").collect()] == ["mail [EMAIL] or [PHONE].", None]
+
+
+def test_more_shapes_than_the_limit(model, monkeypatch):
+    rng = random.Random(3)
+    known = ["4111111111111111", "415-555-2671", "(415)", "555-2671", "jane@localhost", "word", "of", "10.0.0.7"]
+    odd = lambda: hashlib.sha1(str(rng.random()).encode()).hexdigest()
+    texts = [" ".join(rng.choice(known) if rng.random() < 0.6 else odd() for _ in range(n)) for n in (0, 3, 30, 400, 7, 12, 13, 1, 90)]
+    words = [t.encode().split() for t in texts]
+    wide = Decoder(model)
+    wanted = wide.decode([wide.ids(w) for w in words])
+    assert len(wide.shapes) > 150 and sum(len(at) for at, _ in wanted) > 50
+    small = Decoder(model, limit=50)
+    for _ in range(2):
+        for got, want in zip(small.tag(words), wanted, strict=True):
+            assert np.array_equal(got[0], want[0]) and np.array_equal(got[1], want[1])
+        assert len(small.shapes) <= 50
+    whole = list(pii._finder(model, True)(iter([pa.array(texts)])))
+    monkeypatch.setattr(pii, "Decoder", lambda m: Decoder(m, limit=50))
+    assert list(pii._finder(model, True)(iter([pa.array(texts)]))) == whole
