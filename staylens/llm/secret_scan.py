@@ -2,8 +2,8 @@
 
 Patterns find candidate secrets in every text. The hash of each candidate's value
 is then counted over the whole corpus by distinct repositories (documents) and
-distinct owners (sources): a value that many owners hold was copied from some
-example, a value of few owners that looks random may be live. The patterns give
+distinct owners (sources): a value that many owners or very many repositories hold
+was copied from some example, a value of few that looks random may be live. The patterns give
 the base spans; live tokens that no pattern covers are added.
 """
 
@@ -26,8 +26,10 @@ TOKEN = r"(?<![A-Za-z0-9_-])(?=(?:[A-Za-z_-]*+[0-9]){4})(?=[0-9_-]*+[A-Za-z])[A-
 KINDS = (("assign", ASSIGN, 2, 8), ("access", ACCESS, 0, 16), ("hex", HEX, 0, 32), ("token", TOKEN, 0, 20))
 BASE_KINDS = 3
 
-# Values held by this many owners or more are widely copied examples.
+# Values held by this many owners or more, or by this many repositories of whatever
+# owner or none, are widely copied examples.
 EXAMPLE_OWNERS = 4
+EXAMPLE_REPOSITORIES = 16
 # A live-looking value has this many different characters.
 RANDOM_CHARACTERS = 10
 # A token without a pattern of its own changes this often between letters and digits.
@@ -101,14 +103,16 @@ def _count(kind: int) -> Column:
 
 def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256,
-    spans, n_live, n_example.
+    spans, held, n_live, n_example.
 
     Counts and digest cover the base spans, ``spans`` also added tokens, by start
-    and then kind, as kind:start:end in code points. n_example counts base spans
+    and then kind, as kind:start:end in code points, and ``held`` for each of these
+    the corpus counts of its value as repositories:owners. n_example counts base spans
     whose value is widely copied or names itself an example, n_live the others and
     the added ones that look random. NULL and empty texts have none; a NULL owner
-    or id is not counted as one. Repeated rows repeat and count once in ownership;
-    other columns are not read.
+    or id is not counted as one, so values of documents without an owner are judged
+    by their repositories. Repeated rows repeat and count once in ownership; other
+    columns are not read.
     """
     rows = keep(candidates(docs, doc_id, text, owner), "matches")
     spans = uncovered(place_spans(rows.filter(F.size("found") > 0)))
@@ -125,13 +129,16 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ow
     )
     owners = keep(ownership(spans), "ownership")
     judged = lookup_join(spans, owners, "value_hash", "inner", owners.count(), 160)
-    judged = judged.withColumn("live", F.col("random") & (F.col("owners") < EXAMPLE_OWNERS))
+    copied = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    judged = judged.withColumn("live", F.col("random") & ~copied)
     judged = judged.filter((F.col("kind") < BASE_KINDS) | F.col("live"))
     per_row = judged.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("start", "kind", "stop", "live"))).alias("all")
+        F.array_sort(F.collect_list(F.struct("start", "kind", "stop", "live", "repositories", "owners"))).alias("all")
     )
     joined = rows.select("row", "doc_id").join(per_row, "row", "left")
-    every = F.coalesce("all", F.array().cast("array<struct<start:bigint,kind:int,stop:bigint,live:boolean>>"))
+    span = "struct<start:bigint,kind:int,stop:bigint,live:boolean,repositories:bigint,owners:bigint>"
+    every = F.coalesce("all", F.array().cast(f"array<{span}>"))
+    held = F.transform("all", lambda s: F.concat_ws(":", s["repositories"].cast("string"), s["owners"].cast("string")))
     joined = joined.select("doc_id", every.alias("all"), F.filter(every, lambda s: s["kind"] < BASE_KINDS).alias("base"))
     counts = [_count(n).alias(f"n_{KINDS[n][0]}") for n in range(BASE_KINDS)]
     return joined.select(
@@ -139,6 +146,7 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ow
         *counts,
         F.sha2(_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         _listed(F.col("all")).alias("spans"),
+        F.array_join(held, ",").alias("held"),
         F.size(F.filter("all", lambda s: s["live"])).cast("bigint").alias("n_live"),
         F.size(F.filter("base", lambda s: ~s["live"])).cast("bigint").alias("n_example"),
     )

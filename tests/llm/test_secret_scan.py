@@ -60,3 +60,14 @@ def test_awkward_rows_and_documents(spark):
     assert scan_secrets(docs.limit(0)).count() == 0
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     check(scan_secrets(docs).collect(), {r.doc_id: r.text for r in docs.collect()})
+
+
+def test_repositories_separate_examples_from_live(spark):
+    pasted, orphan, live = "Zq8rT3vW6yB1nM4kL7pX2", "Hd5sG9jK2wE7rY4uI1oP8", "Bv3nC6xZ1lK8jH5gF2dS9"
+    rows = [(i, f"use {pasted} here", "hot") for i in range(20)] + [(20 + i, f"token={orphan}", None) for i in range(20)]
+    rows += [(40, f"my {live} here", None), (41, f"token={live}", "hot"), (0, f"use {pasted} here", "hot")]
+    found = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()}
+    assert all((found[i].spans, found[i].held, found[i].n_live) == ("", "", 0) for i in range(20))
+    assert all((found[i].held, found[i].n_live, found[i].n_example) == ("20:0", 0, 1) for i in range(20, 40))
+    assert (found[40].spans, found[40].held, found[40].n_live) == ("token:3:24", "2:1", 1)
+    assert (found[41].spans, found[41].held, found[41].n_live, found[41].n_example) == ("assign:0:27", "2:1", 1, 0)
