@@ -18,6 +18,9 @@ OUTSIDE = 0
 SETTLING_ROUNDS = 6
 RATE, ROUNDS, PENALTY = 0.2, 200, 1e-5
 
+# Longer words are cut before the field sees them.
+LONG = 80
+
 _RUN = re.compile(r"[0-9]+|[A-Z]+|[a-z]+|[^\x00-\x7F]+|[^0-9A-Za-z]")
 
 
@@ -31,7 +34,7 @@ def luhn(digits: str) -> bool:
 
 def word_shape(word: str) -> str:
     """Runs of characters by kind: 555-7713 becomes d3-d4, Ab becomes Xx."""
-    if len(word) > 80:
+    if len(word) > LONG:
         return "long"
     parts = []
     for run in _RUN.findall(word):

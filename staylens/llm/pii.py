@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.crf import Crf, Decoder, fit_crf, luhn, word_shape
+from staylens.llm.crf import LONG, Crf, Decoder, fit_crf, luhn, word_shape
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *(f"{place}-{kind}" for kind in KINDS for place in "BI")]
@@ -53,6 +53,14 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# How words of more than LONG characters are cut, and pieces that stay as long: at
+# marks and at borders between ASCII and other letters, with area codes in brackets
+# kept; then at marks that do not join numbers; then at all marks.
+_CUTS = (
+    re.compile(r"(?:\+[0-9]{1,3})?\([0-9]{1,4}\)[0-9.-]+|[A-Za-z0-9._%+@-]+|[^\x00-\x7F]+"),
+    re.compile(r"[0-9]+(?:[._%+-][0-9]+)+|[A-Za-z0-9@]+|[^\x00-\x7F]+"),
+    re.compile(r"[A-Za-z0-9]+|[^\x00-\x7F]+"),
+)
 _EDGE = "\"'<>()[]{}.,;:!?*#%$&|"
 
 
@@ -89,19 +97,40 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _pieces(text: str, start: int, end: int, cuts=_CUTS) -> Iterator[tuple[int, int]]:
+    if end - start <= LONG or not cuts:
+        yield start, end
+    else:
+        for m in cuts[0].finditer(text, start, end):
+            yield from _pieces(text, *m.span(), cuts[1:])
+
+
+def word_places(text: str) -> list[tuple[int, int]]:
+    """Places of the words as the field takes them: unspaced runs in short pieces."""
+    return [p for m in _WORD.finditer(text) for p in _pieces(text, *m.span())]
+
+
+def field_words(text: str) -> list[bytes]:
+    """The words at ``word_places``; cut one by one only where a word is long."""
+    words = text.encode().split()
+    if max(map(len, words), default=0) > LONG:
+        words = [text[a:b].encode() for a, b in word_places(text)]
+    return words
+
+
 def tag_words(text: str, spans: list[tuple[int, int, int]]) -> tuple[list[str], list[str], list[tuple[int, int]]]:
     """Words, their labels by the spans they touch, and their places."""
     words, tags, places, k, last = [], [], [], 0, -1
-    for m in _WORD.finditer(text):
-        while k < len(spans) and spans[k][2] <= m.start():
+    for start, end in word_places(text):
+        while k < len(spans) and spans[k][2] <= start:
             k += 1
         tag = "O"
-        if k < len(spans) and spans[k][0] < m.end():
+        if k < len(spans) and spans[k][0] < end:
             tag = ("I-" if last == k else "B-") + KINDS[spans[k][1]]
             last = k
-        words.append(m[0])
+        words.append(text[start:end])
         tags.append(tag)
-        places.append(m.span())
+        places.append((start, end))
     return words, tags, places
 
 
@@ -181,10 +210,12 @@ def _added(text: str, base: list[tuple[int, int, int]], tagged) -> list[tuple[in
     at, labels = tagged
     if not len(at):
         return []
-    places = [m.span() for m in _WORD.finditer(text)]
+    places = word_places(text)
     runs: list[list[int]] = []
     for i, label in zip(at.tolist(), labels.tolist()):
         kind, begins = (label - 1) // 2, label % 2 == 1
+        # Pieces of one word are parted by marks or by nothing, words by blanks.
+        begins = begins or not text[places[i - 1][1] : places[i][0]].isspace()
         if runs and not begins and runs[-1][2] == i - 1 and runs[-1][0] == kind:
             runs[-1][2] = i
         else:
@@ -227,7 +258,7 @@ def _finder(model: Crf, masking: bool):
             # Word lists of a few texts at a time keep the memory of a batch small.
             for at in range(0, len(column), 256):
                 texts = [t or "" for t in column.slice(at, 256).to_pylist()]
-                words = [t.encode().split() for t in texts]
+                words = [field_words(t) for t in texts]
                 for text, tagged in zip(texts, decoders[0].tag(words)):
                     base = base_spans(text)
                     spans = sorted(base + _added(text, base, tagged))

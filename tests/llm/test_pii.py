@@ -129,3 +129,23 @@ def test_more_shapes_than_the_limit(model, monkeypatch):
     whole = list(pii._finder(model, True)(iter([pa.array(texts)])))
     monkeypatch.setattr(pii, "Decoder", lambda m: Decoder(m, limit=50))
     assert list(pii._finder(model, True)(iter([pa.array(texts)]))) == whole
+
+
+def test_unspaced_text_is_cut_for_the_field(model):
+    def added(text):
+        words = pii.field_words(text)
+        assert words == [text[a:b].encode() for a, b in pii.word_places(text)]
+        return [text[s:e] for s, _, e in pii._added(text, pii.base_spans(text), Decoder(model).tag([words])[0])]
+
+    card = "4111111111111111"
+    json = '{"name":"some","items":[{"kind":"abcdef","value":"abcdefabcdef"}],"phone":"415-555-2671","rest":"abcdef"}'
+    assert len(json) > 80 and "415-555-2671" in added(json)
+    assert "415-555-2671" in added("\u6211" * 60 + "415-555-2671" + "\u4f60" * 60)
+    assert "(415)555-2671" in [t.decode() for t in pii.field_words("word," * 30 + "(415)555-2671")]
+    assert "jane@localhost" in [t.decode() for t in pii.field_words("https://x.org/" + "a/" * 60 + "?to=jane@localhost&b=1")]
+    assert added("see " + "a1" * 60 + " there") == [] and pii.field_words("a1" * 60) == [b"a1" * 60]
+    assert pii.field_words("a.b-" * 40 + "1.2") == [b"a", b"b"] * 40 + [b"1.2"]
+    spaced = f"numbers {card} 5555555555554444 here"
+    assert added(spaced) == [card, "5555555555554444"]
+    for text in ("a," * 200_000, "(1" * 200_000, "1." * 200_000, "+1" * 200_000, "=" * 400_000, ""):
+        pii.field_words(text)
