@@ -26,8 +26,6 @@ from staylens.schemas import ID_COLUMNS, STAY, TARGET
 from staylens.session import keep
 
 TRUTH = "y_true"
-# Rows are permuted within this many hashed blocks, whatever the size of the data.
-SHUFFLE_BLOCKS = 8
 
 
 def regression_metrics(predictions: DataFrame, keys: list[str], rows: int) -> DataFrame:
@@ -301,15 +299,16 @@ def permutation_importance(
     names: tuple[str, ...],
     repeats: int = 10,
     seed: int = 42,
-    blocks: int = SHUFFLE_BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Drop in R2 when one feature is shuffled: mean and deviation over repeats.
 
-    Rows are put in random order once per repeat, by a hash, within ``blocks``
-    random blocks (a task sorts one block of one repeat); every row then borrows the features of the next row
-    of its block (the last one of the first). All features of a repeat use the
-    same order, so a row travels once per repeat and the per-feature copies
-    exist only inside the task that scores them.
+    All rows are put in random order once per repeat, by a hash; every row then
+    borrows the features of the next one (the last one of the first), found by its
+    rank. The sort is cut into ``blocks`` ranges, by default the session's shuffle
+    partitions, which change nothing but the size of a task. All features of a
+    repeat use the same order, and the per-feature copies exist only inside the
+    task that scores them.
     """
     spread = data.agg((F.var_pop(TARGET) * F.count(TARGET)).alias("s")).first()["s"]
     if not spread:
@@ -320,14 +319,28 @@ def permutation_importance(
     shuffled = data.select(STAY, TARGET, PREPARED).withColumn(
         "repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
     )
-    shuffled = shuffled.withColumn("_draw", draw).withColumn(
-        "_block", F.pmod(F.xxhash64(F.lit(seed + 1), "repeat", STAY), F.lit(blocks))
+    order = ["repeat", "_draw", STAY]
+    blocks = blocks or int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = shuffled.withColumn("_draw", draw).repartitionByRange(blocks, *order).sortWithinPartitions(*order)
+    ordered = keep(
+        ordered.select(
+            TARGET, PREPARED, "repeat", F.monotonically_increasing_id().alias("_row"), F.spark_partition_id().alias("_part")
+        ),
+        "permuted",
     )
-    order = Window.partitionBy("repeat", "_block").orderBy("_draw", STAY)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    donors = shuffled.withColumn(
-        "_donor", F.coalesce(F.lead(PREPARED).over(order), F.first(PREPARED).over(whole))
+    # Row numbers rise by one within a range; one row per range makes ranks of them.
+    parts = ordered.groupBy("repeat", "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    repeat = Window.partitionBy("repeat")
+    parts = parts.select(
+        "repeat",
+        "_part",
+        (F.sum("_n").over(repeat.orderBy("_part")) - F.col("_n") - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(repeat).alias("_rows"),
     )
+    ranked = ordered.join(F.broadcast(parts), ["repeat", "_part"]).withColumn("_rank", F.col("_row") + F.col("_shift"))
+    before = F.pmod(F.col("_rank") - 1, F.col("_rows"))
+    lent = ranked.select("repeat", before.alias("_rank"), F.col(PREPARED).alias("_donor"))
+    donors = ranked.join(lent, ["repeat", "_rank"])
     width = len(names)
     each = donors.select(
         TARGET, "repeat", PREPARED, "_donor", F.explode(F.sequence(F.lit(1), F.lit(width))).alias("_at")

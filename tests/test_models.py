@@ -192,6 +192,18 @@ def test_permutation_importance_finds_the_strong_feature(spark, blocks):
     assert got[0]["importance_mean"] == pytest.approx(share, rel=0.35)
 
 
+def test_permutation_spans_the_whole_table(spark):
+    df, _, _ = vectors(spark)
+    model = md.fit_ridge(df)
+    one, many = (
+        {r["feature"]: r for r in em.permutation_importance(model, df, ("one", "two", "three"), repeats=3, blocks=b).collect()}
+        for b in (1, 7)
+    )
+    for name, r in one.items():
+        assert r["importance_mean"] == pytest.approx(many[name]["importance_mean"], rel=1e-9, abs=1e-12)
+        assert r["importance_std"] == pytest.approx(many[name]["importance_std"], rel=1e-9, abs=1e-12)
+
+
 def test_log_target_round_trip(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 6.5)], "ICUSTAY_ID bigint, LOS double")
     back = md.without_log(md.with_log_target(df), "LOS").orderBy("ICUSTAY_ID").collect()
