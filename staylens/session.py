@@ -48,7 +48,11 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application has written to the scratch folder."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    drop_path(spark, scratch_folder(spark))
+
+
+def drop_path(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -58,10 +62,13 @@ def keep(df: DataFrame, label: str, partition_by: str | None = None) -> DataFram
     Later steps then start from files that outlive any executor, and read only
     the columns they need.
     """
-    spark = df.sparkSession
-    path = new_path(spark, label)
+    return keep_at(df, new_path(df.sparkSession, label), partition_by)
+
+
+def keep_at(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """``keep`` under a given new path, for callers that drop the table themselves."""
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
