@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from staylens.llm.decontaminate import decontaminate
 from staylens.llm.language import identify
+from staylens.llm.order_minhash import fingerprint_documents
 from staylens.llm.pieces import piece_digests
 from staylens.llm.pii import find_pii
+from staylens.llm.prefix_trie import prefix_trie
 from staylens.llm.quality_model import score_quality
 from staylens.llm.quality_rules import judge
 from staylens.llm.secret_scan import scan_secrets
 from staylens.llm.simhash import simhash_components
+from staylens.llm.sphere_kmeans import CLUSTERS, ROUNDS, cluster_vectors
 from staylens.llm.text import read_table
 from staylens.llm.token_counts import count_sections
 from staylens.llm.url_filter import filter_urls, spam_list
@@ -56,7 +59,36 @@ def op10_secret_scan(spark, sf_dir):
     return scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_counts, op3_pii, op4_quality_classifier, op5_sentencepiece, op6_language_id, op7_quality_rules, op8_simhash, op9_url_filter, op10_secret_scan)}
+def op11_order_minhash(spark, sf_dir):
+    return fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op12_sphere_kmeans(spark, sf_dir):
+    return cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontaminate,
+        op2_token_counts,
+        op3_pii,
+        op4_quality_classifier,
+        op5_sentencepiece,
+        op6_language_id,
+        op7_quality_rules,
+        op8_simhash,
+        op9_url_filter,
+        op10_secret_scan,
+        op11_order_minhash,
+        op12_sphere_kmeans,
+        op13_prefix_trie,
+    )
+}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -134,5 +166,54 @@ r AS (SELECT *, key IN (SELECT key FROM l) AS listed, CASE
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict, listed FROM r""".replace("@U", _UPPER).replace("@L", _LOWER)
 
 
+def _op12_sql(clusters: int = CLUSTERS, rounds: int = ROUNDS) -> str:
+    """Lloyd's rounds written out: every vector against every centroid, whole numbers only."""
+    whole = "list_transform(embedding, lambda x: CAST(least(greatest(floor(1024 * CAST(x AS DOUBLE)), -67108864), 67108864) AS BIGINT))"
+    ctes = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, {whole} AS w FROM embeddings
+  WHERE len(embedding) = 64 AND list_count(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: isfinite(x))))""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, w) - 1 AS c, w AS p
+  FROM (SELECT w, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM v) ORDER BY h, w LIMIT {clusters})""",
+    ]
+    square = "list_sum(list_transform(range(1, 65), lambda i: (v.w[i] - c.p[i]) * (v.w[i] - c.p[i])))"
+    for n in range(rounds + 1):
+        ctes.append(
+            f"""a{n} AS MATERIALIZED (SELECT r, c, CAST(d AS BIGINT) AS d FROM (SELECT v.r, c.c, {square} AS d FROM v, c{n} c) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+        )
+        if n < rounds:
+            ctes.append(
+                f"""m{n} AS MATERIALIZED (SELECT c, list(CAST((s - ((s % k) + k) % k) // k AS BIGINT) ORDER BY i) AS p
+  FROM (SELECT c, i, sum(w[i]) AS s, count(*) AS k FROM (SELECT a.c, v.w, unnest(range(1, 65)) AS i FROM a{n} a JOIN v USING (r)) GROUP BY c, i) GROUP BY c),
+c{n + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.p, o.p) AS p FROM c{n} o LEFT JOIN m{n} m USING (c))"""
+            )
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(p, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (c) JOIN v USING (r)"""
+
+
+_CRC = "list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda s, k: xor(s >> 1, (s & 1) * 3988292384)))"
+
+_OP13_SQL = f"""WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || x)) AS k, length(r) || ':' || r || x AS w, length(x) AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+o AS (SELECT c, xor({_CRC}, 4294967295) % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+b AS (SELECT o.c, t.k, t.w, t.n FROM o JOIN t ON t.c = o.c - o.c % 100 WHERE t.k <= o.h UNION ALL SELECT o.c, t.k, t.w, t.n FROM o JOIN t ON t.c = o.c WHERE t.k > o.h),
+z AS (SELECT c, w, n, row_number() OVER (PARTITION BY c ORDER BY k) AS k FROM b),
+s AS MATERIALIZED (SELECT o.c, coalesce(q.w, []) AS w, coalesce(q.n, []) AS n FROM o LEFT JOIN (SELECT c, list(w ORDER BY k) AS w, list(n ORDER BY k) AS n FROM z GROUP BY c) q USING (c)),
+p AS MATERIALIZED (SELECT c, w[1:d] AS w, CASE WHEN d > 0 THEN n[d] ELSE 0 END AS n, d, len(w) = d AS last FROM (SELECT *, unnest(range(0, len(w) + 1)) AS d FROM s)),
+e AS MATERIALIZED (SELECT w, d, any_value(n) AS n, min(c) AS c, count(*) AS convs, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends FROM p GROUP BY w, d),
+up AS (SELECT e.*, a.c AS parent FROM e LEFT JOIN e a ON e.d > 0 AND a.d = e.d - 1 AND a.w = e.w[1:e.d - 1]),
+kids AS (SELECT w[1:d - 1] AS w, count(*) AS k FROM e WHERE d > 0 GROUP BY 1),
+f AS MATERIALIZED (SELECT up.*, coalesce(kids.k, 0) AS k FROM up LEFT JOIN kids USING (w)),
+below AS (SELECT w[1:i] AS w, sum((convs - 1) * n) AS saved, count(*) FILTER (k = 0) AS leaves FROM (SELECT *, unnest(range(0, d + 1)) AS i FROM f) GROUP BY 1)
+SELECT c AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, CAST(convs AS BIGINT) AS n_convs, CAST(k AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256 FROM f JOIN below USING (w)"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_decontaminate": _op1_sql(), "op7_quality_rules": _op7_sql(), "op9_url_filter": _OP9_SQL}
+    return {
+        "op1_decontaminate": _op1_sql(),
+        "op7_quality_rules": _op7_sql(),
+        "op9_url_filter": _OP9_SQL,
+        "op12_sphere_kmeans": _op12_sql(),
+        "op13_prefix_trie": _OP13_SQL,
+    }
