@@ -84,7 +84,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out += [
         (m.start(), 1, m.end())
         for m in _IP.finditer(text)
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (part.lstrip("0") for part in m[0].split(".")))
     ]
     for m in _CARD.finditer(text):
         digits = re.sub("[ -]", "", m[0]) if m.end() - m.start() < 64 else ""

@@ -49,6 +49,18 @@ def test_long_runs_take_linear_time():
         pii.base_spans(text)
 
 
+def test_long_numbers_in_every_pattern(spark):
+    zeros, digits = "0" * 1_000_000, "7" * 1_000_000
+    for run in (zeros, digits):
+        for text in (f"{run}.1.2.3", f"1.{run}.2.3", f"1.2.3.{run}", f"+{run}", f"a@{run}.{run}", run, f"{run} {run}-{run}", f"+1 ({run}) {run}"):
+            spans = pii.base_spans(text)
+            assert [s[1] for s in spans if s[1] == 1] == ([1] if run == zeros and ".1.2.3" in text or run == zeros and "1." in text else [])
+    assert pii.base_spans("000.00000.0255.1") == [(0, 1, 16)]
+    assert pii.base_spans("0.0.0.0256") == []
+    got = pii.find_pii(awkward_docs(spark, [(1, f"{zeros}.1.2.3"), (2, "mail a@b.cd or 10.0.0.1")])).collect()
+    assert {r.doc_id: r.n_ip for r in got} == {1: 1, 2: 1}
+
+
 def test_viterbi_equals_enumeration():
     rng = np.random.default_rng(2)
     for steps in (1, 2, 4):
