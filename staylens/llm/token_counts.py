@@ -13,6 +13,7 @@ overlap or leave gaps; each counts what starts in it.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,11 @@ RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The split pattern these ranks were made with (a fixed value).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Runs of so many blanks are encoded outside the pattern, whose look-ahead steps
+# back through them one by one. These are the characters that its \s stands for.
+LONG_RUN = 1_000
+_BLANKS = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
 SECTIONS = "array<struct<start:bigint,stop:bigint,n_tokens:bigint>>"
 
 
@@ -35,15 +41,32 @@ def load_ranks(path: str = RANKS_PATH) -> dict[bytes, int]:
 
 
 class Counter:
-    def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
+    def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN, long_run: int = LONG_RUN):
         self.encoding = tiktoken.Encoding("sections", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.whole = tiktoken.Encoding("runs", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+        self.runs = re.compile(f"{_BLANKS}{{{long_run},}}") if pattern == PATTERN else None
         self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.sizes[rank] = len(token)
 
+    def tokens(self, text: str) -> list[int]:
+        """Token ids of the whole text.
+
+        The pattern cuts a run of blanks before its last one, or after the run where
+        the text ends, and never across its start. So a long run is one piece of its
+        own, and what is before and after it can be encoded apart.
+        """
+        out, at = [], 0
+        for m in self.runs.finditer(text) if self.runs else ():
+            stop = m.end() - (m.end() < len(text))
+            out += self.encoding.encode_ordinary(text[at : m.start()])
+            out += self.whole.encode_ordinary(text[m.start() : stop])
+            at = stop
+        return out + self.encoding.encode_ordinary(text[at:]) if at else self.encoding.encode_ordinary(text)
+
     def starts(self, text: str) -> np.ndarray:
         """Character in which each token of the whole text starts, ascending."""
-        ids = np.array(self.encoding.encode_ordinary(text), np.int64)
+        ids = np.array(self.tokens(text), np.int64)
         sizes = self.sizes[ids]
         at = np.cumsum(sizes) - sizes
         raw = text.encode()

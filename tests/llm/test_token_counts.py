@@ -1,7 +1,10 @@
+import random
+
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from staylens.llm.token_counts import PATTERN, count_sections, load_ranks
+from staylens.llm.token_counts import PATTERN, Counter, count_sections, load_ranks
 
 from .words import AWKWARD, awkward_docs
 
@@ -49,3 +52,28 @@ def test_documents_add_up(spark):
     found = {r.doc_id: (r.n, r.d) for r in sums.collect()}
     want = {r.doc_id: len(ENCODING.encode_ordinary(r.text or "")) for r in docs.collect()}
     assert found == {i: (n, n) for i, n in want.items()}
+
+
+def test_runs_apart_give_the_same_tokens():
+    rng = random.Random(6)
+    ranks = load_ranks()
+    counters = [Counter(ranks, long_run=n) for n in (1, 2, 5)]
+    for _ in range(3_000):
+        text = "".join(rng.choice(["a", "é", "1", "!", "'s", " ", "  ", "\n", "\t", "\x85", "\u3000", "\x1c", "\r\n", " " * 9]) for _ in range(rng.randint(0, 14)))
+        want = ENCODING.encode_ordinary(text)
+        assert all(c.tokens(text) == want for c in counters), repr(text)
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\t", " \n\t", "\u3000"])
+def test_millions_of_blanks(run):
+    counter = Counter(load_ranks())
+    for text in (run * 1_000_000, "a" + run * 5_000_000 + "b"):
+        tokens = counter.tokens(text)
+        assert counter.encoding.decode_bytes(tokens) == text.encode()
+        assert counter.starts(text)[-1] <= len(text)
+
+
+def test_long_blanks_in_the_query(spark):
+    docs = spark.createDataFrame([(1, " " * 20_000_000), (2, "a" + "\n" * 400_000 + "b")], "doc_id int, text string")
+    rows = {r.doc_id: r for r in count_sections(docs).groupBy("doc_id", "doc_tokens").agg(F.sum("n_tokens").alias("n")).collect()}
+    assert all(r.n == r.doc_tokens > 0 for r in rows.values())
