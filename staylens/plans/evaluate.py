@@ -11,17 +11,16 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staylens.operators.joins import null_safe_join
 from staylens.operators.quantiles import exact_quantiles
 from staylens.operators.split import FOLD, with_folds
-from staylens.plans.models import PREDICTION, ModelSpec, boosted, forest, tree_input
+from staylens.plans.models import PREDICTION, ModelSpec
 from staylens.plans.prepare import FEATURES, PREPARED
+from staylens.plans.trees import Boost, Forest, bin_rows, boost, boosted_model, forest_model, held_mae, plant
 from staylens.schemas import ID_COLUMNS, STAY, TARGET
 from staylens.session import keep
 
@@ -79,22 +78,34 @@ def cross_validate(
     """
     data = with_folds(train, folds, seed)
 
+    def scored(spec: ModelSpec, model, fold: int) -> DataFrame:
+        rows = predict(model, data.filter(F.col(FOLD) == fold))
+        return keep(rows.select(F.lit(spec.name).alias("model"), F.lit(fold).alias(FOLD), TRUTH, PREDICTION), "oof")
+
+    def together(spec: ModelSpec):
+        def task():
+            start = time.time()
+            fitted = spec.fit_folds(data, FOLD, list(range(folds)))
+            return spec.name, [scored(spec, model, fold) for fold, model in enumerate(fitted)], time.time() - start
+
+        return task
+
     def one(spec: ModelSpec, fold: int):
         def task():
             start = time.time()
             model = spec.fit(data.filter(F.col(FOLD) != fold).drop(FOLD))
-            scored = predict(model, data.filter(F.col(FOLD) == fold)).select(
-                F.lit(spec.name).alias("model"), F.lit(fold).alias(FOLD), TRUTH, PREDICTION
-            )
-            return spec.name, keep(scored, "oof"), time.time() - start
+            return spec.name, [scored(spec, model, fold)], time.time() - start
 
         return task
 
-    done = _at_once(train.sparkSession, [one(spec, fold) for spec in models for fold in range(folds)], parallelism)
+    tasks = []
+    for spec in models:
+        tasks += [together(spec)] if spec.fit_folds else [one(spec, fold) for fold in range(folds)]
+    done = _at_once(train.sparkSession, tasks, parallelism)
     seconds: dict[str, float] = {}
     for name, _, took in done:
         seconds[name] = seconds.get(name, 0.0) + took
-    return _union([part for _, part, _ in done]), seconds
+    return _union([part for _, parts, _ in done for part in parts]), seconds
 
 
 def cv_benchmark(
@@ -197,7 +208,7 @@ def observed_vs_predicted(predictions: DataFrame, model: str) -> DataFrame:
 # ------------------------------------------------------------------- tuning
 
 # The ranges that trials are drawn from.
-BOOSTED_RANGES = {"rate": (0.01, 0.2), "max_depth": (3, 12), "rounds": (100, 400), "min_leaf": (10, 80)}
+BOOSTED_RANGES = {"rate": (0.01, 0.2), "max_depth": (3, 12), "rounds": (100, 400), "min_leaf": (10, 80), "l2": (1e-6, 10.0)}
 FOREST_RANGES = {
     "trees": (100, 400, 50),
     "max_depth": (5, 30),
@@ -213,15 +224,9 @@ def draw_trials(kind: str, trials: int, seed: int = 42, ranges: Mapping | None =
     for _ in range(trials):
         if kind == "boosted":
             r = {**BOOSTED_RANGES, **(ranges or {})}
-            low, high = r["rate"]
-            out.append(
-                {
-                    "rate": math.exp(rng.uniform(math.log(low), math.log(high))),
-                    "max_depth": rng.randint(*r["max_depth"]),
-                    "rounds": rng.randint(*r["rounds"]),
-                    "min_leaf": rng.randint(*r["min_leaf"]),
-                }
-            )
+            rate, l2 = (math.exp(rng.uniform(*map(math.log, r[name]))) for name in ("rate", "l2"))
+            whole = {name: rng.randint(*r[name]) for name in ("max_depth", "rounds", "min_leaf")}
+            out.append({"rate": rate, **whole, "l2": l2})
         elif kind == "forest":
             r = {**FOREST_RANGES, **(ranges or {})}
             low, high, step = r["trees"]
@@ -256,31 +261,35 @@ def tune(
     parallelism: int = 2,
     ranges: Mapping | None = None,
 ) -> Tuned:
-    """Random search with grouped folds; the best setting is fitted on all of train."""
+    """Random search with grouped folds; the best setting is fitted on all of train.
+
+    Rows are binned once for all trials and folds. All boosting trials and folds
+    advance in the same jobs, so their number is that of the longest fit.
+    """
     settings = draw_trials(kind, trials, seed, ranges)
+    rows = bin_rows(with_folds(train, folds, seed), FOLD)
     if kind == "boosted":
-        base = boosted(seed=seed)
-        params = {"rate": base.stepSize, "max_depth": base.maxDepth, "rounds": base.maxIter, "min_leaf": base.minInstancesPerNode}
+        fits = boost(rows, [Boost(seed=seed, held=fold, **s) for s in settings for fold in range(folds)])
+        maes = [x.held_mae for x in fits]
     else:
-        base = forest(seed=seed)
-        params = {
-            "trees": base.numTrees,
-            "max_depth": base.maxDepth,
-            "min_leaf": base.minInstancesPerNode,
-            "subset": base.featureSubsetStrategy,
-        }
-    search = CrossValidator(
-        estimator=base,
-        estimatorParamMaps=[{params[k]: v for k, v in s.items()} for s in settings],
-        evaluator=RegressionEvaluator(labelCol=TARGET, predictionCol=PREDICTION, metricName="mae"),
-        numFolds=folds,
-        foldCol=FOLD,
-        parallelism=parallelism,
-    )
-    fitted = search.fit(with_folds(tree_input(train), folds, seed))
-    scores = list(fitted.avgMetrics)
+
+        def trial(s: dict, fold: int):
+            def task():
+                forest = Forest(seed=seed, held=fold, **s)
+                return held_mae(rows, forest_model(rows, plant(rows, forest)), fold)
+
+            return task
+
+        maes = _at_once(train.sparkSession, [trial(s, fold) for s in settings for fold in range(folds)], parallelism)
+    # A fold without a patient has no error and does not count.
+    by_trial = [[m for m in maes[i * folds : (i + 1) * folds] if m is not None and not math.isnan(m)] for i in range(len(settings))]
+    scores = [sum(m) / len(m) for m in by_trial]
     best = min(range(len(scores)), key=lambda i: scores[i])
-    return Tuned(kind, scores[best], settings[best], fitted.bestModel, list(zip(settings, scores)))
+    if kind == "boosted":
+        model = boosted_model(rows, boost(rows, [Boost(seed=seed, **settings[best])])[0])
+    else:
+        model = forest_model(rows, plant(rows, Forest(seed=seed, **settings[best])))
+    return Tuned(kind, scores[best], settings[best], model, list(zip(settings, scores)))
 
 
 def tuning_results(train: DataFrame, tuned: list[Tuned]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Regression models of the benchmark, as Spark ML estimators on ``features``."""
+"""Regression models of the benchmark, fitted on ``features``."""
 
 from __future__ import annotations
 
@@ -7,20 +7,21 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens import functions as fn
 from staylens.plans.prepare import FEATURES
+from staylens.plans.trees import Boost, Forest, TreeModel, bin_rows, boost, boosted_model, forest_model, plant
 from staylens.schemas import STAY, TARGET
 
 PREDICTION = "prediction"
 # The library's limit for its closed-form solver.
 NORMAL_SOLVER_FEATURES = 4096
 RIDGE_TOLERANCE, RIDGE_ITERATIONS = 1e-15, 3_000
-# Tree fits are dealt to this many tasks by a hash of the stay.
-TREE_TASKS = 16
+# Boosting that stops early does so after this many rounds without a better error.
+PATIENCE = 10
 
 
 def with_log_target(df: DataFrame) -> DataFrame:
@@ -72,92 +73,60 @@ def fit_ridge(train: DataFrame, alpha: float = 1.0, solver: str = "normal") -> P
     return Pipeline(stages=[scaler, ridge]).fit(train)
 
 
-def forest(
-    trees: int = 250,
-    max_depth: int = 30,
-    min_leaf: int = 1,
-    subset: str = "all",
-    max_bins: int = 64,
-    seed: int = 42,
-) -> RandomForestRegressor:
-    """Random forest; 30 is the deepest tree the library grows."""
-    return RandomForestRegressor(
-        featuresCol=FEATURES,
-        labelCol=TARGET,
-        numTrees=trees,
-        maxDepth=max_depth,
-        minInstancesPerNode=min_leaf,
-        featureSubsetStrategy=subset,
-        maxBins=max_bins,
-        maxMemoryInMB=1024,
-        seed=seed,
-    )
-
-
-def boosted(
-    rate: float = 0.05,
-    rounds: int = 250,
-    max_depth: int = 5,
-    min_leaf: int = 20,
-    max_bins: int = 64,
-    seed: int = 42,
-) -> GBTRegressor:
-    """Gradient boosting on binned features.
-
-    A depth of five gives up to 32 leaves, close to the 31 leaves of leaf-wise
-    growth. There is no L2 penalty on leaf values here.
-    """
-    return GBTRegressor(
-        featuresCol=FEATURES,
-        labelCol=TARGET,
-        stepSize=rate,
-        maxIter=rounds,
-        maxDepth=max_depth,
-        minInstancesPerNode=min_leaf,
-        maxBins=max_bins,
-        maxMemoryInMB=1024,
-        seed=seed,
-    )
+def fit_forest(train: DataFrame, **options) -> TreeModel:
+    """Random forest; ``options`` are those of ``Forest`` (250 trees of any depth)."""
+    rows, forest = bin_rows(train), Forest(**options)
+    return forest_model(rows, plant(rows, forest))
 
 
-def tree_input(train: DataFrame, tasks: int = TREE_TASKS) -> DataFrame:
-    """Rows in an order that depends on the stays alone.
+def fit_boosted(train: DataFrame, early_stop_share: float | None = None, **options) -> TreeModel:
+    """Boosting on all rows; ``options`` are those of ``Boost`` (250 rounds of 31 leaves).
 
-    Bootstrap draws follow partitions and positions, so the same rows give the
-    same trees however the table was laid out.
+    ``early_stop_share`` holds out that hashed share of the stays and stops after
+    ``PATIENCE`` rounds without a better error on it.
     """
-    return train.repartition(tasks, STAY).sortWithinPartitions(STAY)
+    if not early_stop_share:
+        rows = bin_rows(train)
+        return boosted_model(rows, boost(rows, [Boost(**options)])[0])
+    held_out = fn.hash_fraction(F.col(STAY), options.get("seed", 42)) < early_stop_share
+    rows = bin_rows(train.withColumn("_held_out", held_out.cast("int")), "_held_out")
+    return boosted_model(rows, boost(rows, [Boost(held=1, patience=PATIENCE, **options)])[0])
 
 
-def fit_forest(train: DataFrame, tasks: int = TREE_TASKS, **options):
-    return forest(**options).fit(tree_input(train, tasks))
+def fit_forest_folds(train: DataFrame, fold: str, folds: list[int], **options) -> list[TreeModel]:
+    """A forest per held fold; rows are binned once."""
+    rows = bin_rows(train, fold)
+    forests = [Forest(held=f, **options) for f in folds]
+    return [forest_model(rows, plant(rows, x)) for x in forests]
 
 
-def fit_boosted(train: DataFrame, early_stop_share: float | None = None, tasks: int = TREE_TASKS, **options):
-    """Boosting on all rows; ``early_stop_share`` holds out that hashed share and stops early."""
-    estimator = boosted(**options)
-    if early_stop_share:
-        held_out = fn.hash_fraction(F.col(STAY), options.get("seed", 42)) < early_stop_share
-        train = train.withColumn("_held_out", held_out)
-        estimator = estimator.setValidationIndicatorCol("_held_out")
-    return estimator.fit(tree_input(train, tasks))
+def fit_boosted_folds(train: DataFrame, fold: str, folds: list[int], **options) -> list[TreeModel]:
+    """A boosted model per held fold; all folds advance in the same jobs."""
+    rows = bin_rows(train, fold)
+    return [boosted_model(rows, x) for x in boost(rows, [Boost(held=f, **options) for f in folds])]
 
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A named way to fit a model on prepared vectors."""
+    """A named way to fit a model on prepared vectors.
+
+    ``fit_folds(train, fold column, folds)`` gives one model per held fold where
+    that is cheaper than one fit after the other.
+    """
 
     name: str
     fit: Callable[[DataFrame], object]
+    fit_folds: Callable[[DataFrame, str, list[int]], list] | None = None
 
 
 def baseline_models(
     forest_options: dict | None = None, boosted_options: dict | None = None, alpha: float = 1.0
 ) -> list[ModelSpec]:
     """The four baselines in order of complexity."""
+    trees, rounds = forest_options or {}, boosted_options or {}
     return [
         ModelSpec("Mean", fit_mean),
         ModelSpec("Ridge", lambda train: fit_ridge(train, alpha)),
-        ModelSpec("RandomForest", lambda train: fit_forest(train, **(forest_options or {}))),
-        ModelSpec("GradientBoosting", lambda train: fit_boosted(train, **(boosted_options or {}))),
+        ModelSpec("RandomForest", lambda train: fit_forest(train, **trees), lambda *a: fit_forest_folds(*a, **trees)),
+        ModelSpec("GradientBoosting", lambda train: fit_boosted(train, **rounds), lambda *a: fit_boosted_folds(*a, **rounds)),
     ]
