@@ -16,7 +16,7 @@ from staylens.plans import features as ft
 from staylens.schemas import ADMISSION_CATEGORIES, ID_COLUMNS, RAW_TABLES, STAY, STAY_CATEGORIES, TARGET
 from staylens.session import new_path
 from staylens.settings import CHART, DRUG, INPUT, LAB, OUTPUT, Settings
-from staylens.sources import export_csv, load_projected, load_raw_tables
+from staylens.sources import export_csv, load_projected, load_raw_tables, read_export
 from staylens.sources.sinks import replace_table, write_report
 
 HOURS = 24
@@ -238,7 +238,7 @@ def export_features(spark, sf):
     run = ft.build_features(standin_tables(spark, sf), "5")
     path = new_path(spark, "csv-features")
     export_csv(run.features, path)
-    back = spark.read.option("header", True).schema(run.features.schema).csv(path)
+    back = read_export(spark, path, run.features.schema)
     return _rounded(back.withColumn(TARGET, F.round(TARGET, 9)))
 
 
@@ -533,9 +533,9 @@ FROM range(40) r(i) CROSS JOIN edge LEFT JOIN hit ON hit.bin = r.i""",
         "load_typed": _load_typed_sql(),
         "load_projected": q.cte(*q.standin("admissions"))
         + f"SELECT SUBJECT_ID, HADM_ID, ADMISSION_TYPE, {q.category('INSURANCE', 'strip')} AS INSURANCE FROM admissions",
-        # CSV has one form for an empty text and for NULL; both are read back as NULL.
+        # NULL and the empty text stay apart in the export.
         "export_features": q.cte(*base5)
-        + f"SELECT * REPLACE (round(LOS, 9) AS LOS, nullif(INSURANCE, '') AS INSURANCE, {ITEM_ROUNDED}) FROM final_features",
+        + f"SELECT * REPLACE (round(LOS, 9) AS LOS, {ITEM_ROUNDED}) FROM final_features",
         "features_5": q.cte(*base5) + f"SELECT * REPLACE (round(LOS, 9) AS LOS, {ITEM_ROUNDED}) FROM final_features",
     }
     for key, family in (("window_link", "chart"), ("window_link_admission", "lab")):

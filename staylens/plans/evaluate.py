@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import random
@@ -11,16 +12,19 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from staylens import functions as fn
 from staylens.operators.joins import null_safe_join
 from staylens.operators.quantiles import exact_quantiles
 from staylens.operators.split import FOLD, with_folds
 from staylens.plans.models import PREDICTION, ModelSpec
-from staylens.plans.prepare import FEATURES, PREPARED
-from staylens.plans.trees import Boost, Forest, bin_rows, boost, boosted_model, forest_model, held_mae, plant
+from staylens.plans.artifacts import publish
+from staylens.plans.linear import LinearModel
+from staylens.plans.prepare import FEATURES
+from staylens.plans.trees import Boost, Forest, TreeModel, bin_rows, boost, boosted_model, forest_model, held_mae, permuted_errors, plant
 from staylens.schemas import ID_COLUMNS, STAY, TARGET
 from staylens.session import keep
 
@@ -302,76 +306,81 @@ def tuning_results(train: DataFrame, tuned: list[Tuned]) -> DataFrame:
 # --------------------------------------------------------------- importance
 
 
+def ranked_rows(data: DataFrame, seed: int = 42, blocks: int | None = None) -> DataFrame:
+    """``data`` in a random order that only the stays and the seed decide: column _rank from 0.
+
+    The order is a hash of the stay. ``blocks`` ranges (by default the session's
+    shuffle partitions) are sorted apart and change nothing but the size of a task;
+    one row per range turns positions inside the ranges into ranks.
+    """
+    blocks = blocks or int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = data.withColumn("_draw", fn.hash_fraction(F.coalesce(F.col(STAY), F.lit(-1)), f"{seed}:order"))
+    ordered = drawn.repartitionByRange(blocks, "_draw", STAY).sortWithinPartitions("_draw", STAY).drop("_draw")
+    ordered = keep(ordered.withColumns({"_row": F.monotonically_increasing_id(), "_part": F.spark_partition_id()}), "ordered")
+    parts = ordered.groupBy("_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # One row per range: a single partition is all these few rows need.
+    before = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part")) - F.col("_n")
+    shifts = parts.select("_part", (before - F.col("_first")).alias("_shift"))
+    return ordered.join(F.broadcast(shifts), "_part").withColumn("_rank", F.col("_row") + F.col("_shift")).drop("_row", "_part", "_shift")
+
+
+def donor_steps(rows: int, repeats: int, seed: int = 42) -> list[int]:
+    """How many ranks further each repeat finds its donor: at least 1, below ``rows``."""
+    if rows < 2:
+        return [0] * repeats
+    return [1 + int(hashlib.md5(f"{seed}:step:{r}".encode()).hexdigest()[:8], 16) % (rows - 1) for r in range(repeats)]
+
+
 def permutation_importance(
-    model,
-    data: DataFrame,
-    names: tuple[str, ...],
-    repeats: int = 10,
-    seed: int = 42,
-    blocks: int | None = None,
+    model, data: DataFrame, names: tuple[str, ...], repeats: int = 10, seed: int = 42, blocks: int | None = None
 ) -> DataFrame:
     """Drop in R2 when one feature is shuffled: mean and deviation over repeats.
 
-    All rows are put in random order once per repeat, by a hash; every row then
-    borrows the features of the next one (the last one of the first), found by its
-    rank. The sort is cut into ``blocks`` ranges, by default the session's shuffle
-    partitions, which change nothing but the size of a task. All features of a
-    repeat use the same order, and the per-feature copies exist only inside the
-    task that scores them.
+    All rows are put in one random order; in each repeat a row borrows the value of
+    the row some ranks further on (around the end), a different number in each. Only
+    values of features the model reads travel; the others have an importance of
+    exactly 0. A row is scored where it lies with all its donors, so no copy of it
+    is made for a feature, and only sums per feature and repeat leave a task.
     """
-    spread = data.agg((F.var_pop(TARGET) * F.count(TARGET)).alias("s")).first()["s"]
+    if not isinstance(model, (LinearModel, TreeModel)):
+        raise TypeError(f"importance is defined for linear and tree models, not {type(model).__name__}")
+    data = data.filter(F.col(TARGET).isNotNull())
+    rows, spread = data.agg(F.count(F.lit(1)), F.var_pop(TARGET) * F.count(TARGET)).first()
     if not spread:
         raise ValueError("permutation importance needs a target that varies")
-    base = model.transform(data).agg(F.sum((F.col(TARGET) - F.col(PREDICTION)) ** 2)).first()[0]
-
-    draw = F.xxhash64(F.lit(seed), F.col("repeat"), F.col(STAY))
-    shuffled = data.select(STAY, TARGET, PREPARED).withColumn(
-        "repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
-    )
-    order = ["repeat", "_draw", STAY]
-    blocks = blocks or int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = shuffled.withColumn("_draw", draw).repartitionByRange(blocks, *order).sortWithinPartitions(*order)
-    ordered = keep(
-        ordered.select(
-            TARGET, PREPARED, "repeat", F.monotonically_increasing_id().alias("_row"), F.spark_partition_id().alias("_part")
-        ),
-        "permuted",
-    )
-    # Row numbers rise by one within a range; one row per range makes ranks of them.
-    parts = ordered.groupBy("repeat", "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    repeat = Window.partitionBy("repeat")
-    parts = parts.select(
-        "repeat",
-        "_part",
-        (F.sum("_n").over(repeat.orderBy("_part")) - F.col("_n") - F.col("_first")).alias("_shift"),
-        F.sum("_n").over(repeat).alias("_rows"),
-    )
-    ranked = ordered.join(F.broadcast(parts), ["repeat", "_part"]).withColumn("_rank", F.col("_row") + F.col("_shift"))
-    before = F.pmod(F.col("_rank") - 1, F.col("_rows"))
-    lent = ranked.select("repeat", before.alias("_rank"), F.col(PREPARED).alias("_donor"))
-    donors = ranked.join(lent, ["repeat", "_rank"])
-    width = len(names)
-    each = donors.select(
-        TARGET, "repeat", PREPARED, "_donor", F.explode(F.sequence(F.lit(1), F.lit(width))).alias("_at")
-    )
-    at = F.col("_at")
-    changed = F.concat(
-        F.slice(PREPARED, F.lit(1), at - 1),
-        F.array(F.element_at("_donor", at)),
-        F.slice(PREPARED, at + 1, F.lit(width)),
-    )
-    scored = model.transform(each.select(TARGET, "repeat", "_at", array_to_vector(changed).alias(FEATURES)))
-    loss = scored.groupBy("_at", "repeat").agg(
-        (F.sum((F.col(TARGET) - F.col(PREDICTION)) ** 2) - F.lit(float(base))).alias("_extra")
-    )
-    label = F.array(*[F.lit(n) for n in names])
-    drop = F.col("_extra") / F.lit(float(spread))
-    return (
-        loss.groupBy("_at")
-        .agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
-        .select(F.element_at(label, F.col("_at")).alias("feature"), "importance_mean", "importance_std")
-        .orderBy(F.desc("importance_mean"), "feature")
-    )
+    used = model.used_features()
+    spark = data.sparkSession
+    features = vector_to_array(F.col(FEATURES))
+    ranked = keep(ranked_rows(data.select(STAY, F.col(TARGET).cast("double").alias(TARGET), FEATURES), seed, blocks), "ranked")
+    steps = F.explode(F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit(s).alias("step")) for r, s in enumerate(donor_steps(rows, repeats, seed))]))
+    lent = ranked.select("_rank", F.transform(F.array(*[F.lit(i) for i in used]).cast("array<int>"), lambda i: F.get(features, i)).alias("values"), steps.alias("s"))
+    lent = lent.select(F.pmod(F.col("_rank") - F.col("s.step"), F.lit(rows)).alias("_rank"), F.struct(F.col("s.repeat").alias("repeat"), "values").alias("lent"))
+    # As many donors as repeats for each row.
+    lent = lent.groupBy("_rank").agg(F.array_sort(F.collect_list("lent")).alias("lent"))
+    joined = ranked.join(lent, "_rank").select(F.col(TARGET).alias("y"), features.alias("x"), F.col("lent.values").alias("donors"))
+    extra = _extra_losses(model, joined, used, repeats)
+    drop = F.col("extra") / F.lit(float(spread))
+    per_feature = extra.groupBy("at").agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
+    listed = spark.createDataFrame(list(enumerate(names)), "at int, feature string")
+    zero = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("importance_mean", "importance_std")]
+    return listed.join(per_feature, "at", "left").select("feature", *zero).orderBy(F.desc("importance_mean"), "feature")
+
+
+def _extra_losses(model, joined: DataFrame, used: list[int], repeats: int) -> DataFrame:
+    """Columns at, repeat, extra: how much the squared error grows."""
+    if isinstance(model, LinearModel):
+        # Only one term of the sum changes.
+        weights = {i: model.weights[i] for i in used}
+        products = F.zip_with("x", F.array(*[F.lit(w) for w in model.weights]), lambda x, w: x * w)
+        error = F.col("y") - F.aggregate(products, F.lit(model.intercept), lambda a, x: a + x)
+        cells = joined.select("x", error.alias("e"), F.posexplode("donors").alias("repeat", "values"))
+        pairs = F.array(*[F.struct(F.lit(i).alias("at"), (F.lit(w) * (F.get("values", F.lit(k)) - F.get("x", F.lit(i)))).alias("change")) for k, (i, w) in enumerate(weights.items())])
+        if not used:
+            return joined.sparkSession.createDataFrame([], "at int, repeat int, extra double")
+        each = cells.select("e", "repeat", F.explode(pairs).alias("p"))
+        grown = (F.col("e") - F.col("p.change")) ** 2 - F.col("e") ** 2
+        return each.groupBy("p.at", "repeat").agg(F.sum(grown).alias("extra"))
+    return joined.mapInArrow(permuted_errors(model, used, repeats, joined.sparkSession), "at int, repeat int, extra double").groupBy("at", "repeat").agg(F.sum("extra").alias("extra"))
 
 
 def run_summary(
@@ -398,3 +407,44 @@ def run_summary(
         F.lit(width).cast("bigint").alias("test_columns"),
         *extra,
     )
+
+
+@dataclass(frozen=True)
+class RunResults:
+    """The result tables of one run; ``tuning`` only where a search was made."""
+
+    cv: DataFrame
+    test: DataFrame
+    comparison: DataFrame
+    importance: DataFrame
+    predictions: DataFrame
+    tuning: DataFrame | None = None
+
+
+def publish_run(
+    folder: str, results: RunResults, names: tuple[str, ...], train_rows: int, test_rows: int, log_target: bool = False, model: str | None = None
+) -> int:
+    """Publish all tables and the summary as one new version of ``folder``.
+
+    ``model`` is where the best model was saved.
+    """
+    tables = {
+        "cv_results": results.cv,
+        "test_results": results.test,
+        "comparison": results.comparison,
+        "importance": results.importance,
+        "predictions": results.predictions,
+    }
+    if results.tuning is not None:
+        tables["tuning"] = results.tuning
+    width = len(names) + len(ID_COLUMNS) + 1
+    summary = {
+        "best_model": best_model(results.comparison),
+        "use_log_target": log_target,
+        "n_features": len(names),
+        "train_rows": train_rows,
+        "test_rows": test_rows,
+        "columns": width,
+        "saved_model": model,
+    }
+    return publish(folder, tables, summary, large=("predictions",))

@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylens import functions as fn
+from staylens.plans.artifacts import LogTargetModel, fit_log_target
+from staylens.plans.linear import LinearModel, fit_closed_form
 from staylens.plans.prepare import FEATURES
 from staylens.plans.trees import Boost, Forest, TreeModel, bin_rows, boost, boosted_model, forest_model, plant
 from staylens.schemas import STAY, TARGET
 
 PREDICTION = "prediction"
-# The library's limit for its closed-form solver.
+# The closed form returns a matrix of features squared to the driver.
 NORMAL_SOLVER_FEATURES = 4096
+# Bounds of the iterative solver.
 RIDGE_TOLERANCE, RIDGE_ITERATIONS = 1e-15, 3_000
 # Boosting that stops early does so after this many rounds without a better error.
 PATIENCE = 10
@@ -40,22 +43,19 @@ def fit_mean(train: DataFrame) -> PipelineModel:
     return PipelineModel([SQLTransformer(statement=f"SELECT *, {mean!r}D AS {PREDICTION} FROM __THIS__")])
 
 
-def fit_ridge(train: DataFrame, alpha: float = 1.0, solver: str = "normal") -> PipelineModel:
+def fit_ridge(train: DataFrame, alpha: float = 1.0, solver: str = "normal") -> LinearModel | PipelineModel:
     """Ridge regression on standardised features.
 
-    ``solver="normal"`` is the closed form; beyond the library's limit of features
-    it is refused, and ``"l-bfgs"`` must be asked for.
-
-    The library minimises mean squared error with the target scaled to unit
-    deviation and standardises with the sample deviation, while ``alpha``
-    belongs to the sum of squares over population-standardised features. Both
-    are constants for one training set and are folded into the penalty.
+    ``solver="normal"`` is the closed form; beyond its limit of features it is
+    refused, and ``"l-bfgs"`` must be asked for. That one minimises mean squared
+    error with the target scaled to unit deviation and standardises with the sample
+    deviation, while ``alpha`` belongs to the sum of squares over
+    population-standardised features. Both are constants for one training set and
+    are folded into the penalty.
     """
-    n, spread, width = train.agg(
-        F.count(TARGET), F.stddev_pop(TARGET), F.max(F.size("prepared"))
-    ).first()
-    if solver == "normal" and width > NORMAL_SOLVER_FEATURES:
-        raise ValueError(f"the closed form takes {NORMAL_SOLVER_FEATURES} features, not {width}; use solver='l-bfgs'")
+    if solver == "normal":
+        return fit_closed_form(train, alpha, NORMAL_SOLVER_FEATURES)
+    n, spread = train.agg(F.count(TARGET), F.stddev_pop(TARGET)).first()
     penalty = alpha * (n - 1) / n * spread / n
     scaler = StandardScaler(inputCol=FEATURES, outputCol="scaled", withMean=True, withStd=True)
     ridge = LinearRegression(
@@ -65,8 +65,6 @@ def fit_ridge(train: DataFrame, alpha: float = 1.0, solver: str = "normal") -> P
         elasticNetParam=0.0,
         standardization=False,
         solver=solver,
-        # Constant columns make the normal equations singular; the library then
-        # iterates, and these bounds make that as good as the closed form.
         tol=RIDGE_TOLERANCE,
         maxIter=RIDGE_ITERATIONS,
     )
@@ -119,6 +117,15 @@ class ModelSpec:
     fit_folds: Callable[[DataFrame, str, list[int]], list] | None = None
 
 
+def on_log_target(spec: ModelSpec) -> ModelSpec:
+    """The same model fitted on the logarithm; it predicts in the target's own unit."""
+
+    def folds(train: DataFrame, *rest):
+        return [LogTargetModel(m) for m in spec.fit_folds(with_log_target(train), *rest)]
+
+    return ModelSpec(spec.name, lambda train: fit_log_target(train, spec.fit), spec.fit_folds and folds)
+
+
 def baseline_models(
     forest_options: dict | None = None, boosted_options: dict | None = None, alpha: float = 1.0
 ) -> list[ModelSpec]:

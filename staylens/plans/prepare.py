@@ -6,14 +6,14 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from staylens import functions as fn
-from staylens.operators.quantiles import exact_quantiles
+from staylens.operators.quantiles import column_medians
 from staylens.operators.split import group_split, model_columns
 from staylens.schemas import ID_COLUMNS, TARGET
 from staylens.session import keep
@@ -31,12 +31,6 @@ def split_types(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str]
     return [c for c in columns if c not in text], [c for c in columns if c in text]
 
 
-def _cells(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
-    """(position, value) per cell; NULL cells are kept."""
-    values = ", ".join(f"CAST({fn.sql_name(c)} AS {kind})" for c in columns)
-    return df.select(F.expr(f"posexplode(array({values}))").alias("position", "value"))
-
-
 @dataclass(frozen=True)
 class NumericFit:
     column: str
@@ -57,66 +51,46 @@ class CategoryFit:
 def fit_numeric(train: DataFrame, columns: list[str]) -> list[NumericFit]:
     """Exact median, and mean and population deviation after imputing it.
 
-    Cells are regrouped by column, so the work of a wide table spreads over the
-    cluster. The moments after imputation follow from those before, because
-    imputation adds a block of equal values; one row per column returns.
+    The moments after imputation follow from those before, because imputation adds
+    a block of equal values; one row per column returns.
     """
-    if not columns:
-        return []
-    cells = _cells(train, columns, "double").withColumn(
-        "value", F.when(~F.isnan("value"), F.col("value"))
-    )
-    moments = {
-        r["position"]: r
-        for r in cells.groupBy("position")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count("value").alias("n"),
-            F.avg("value").alias("mean"),
-            F.var_pop("value").alias("var"),
-        )
-        .collect()
-    }
-    rows = max((r["rows"] for r in moments.values()), default=0)
-    medians = {
-        r["position"]: r["value"]
-        for r in exact_quantiles(cells, ["position"], "value", [0.5], rows).collect()
-    }
+    found = column_medians(train, columns)
     fits = []
-    for position, column in enumerate(columns):
-        r = moments.get(position)
-        if r is None or r["n"] == 0:
-            fits.append(NumericFit(column, None, 0.0, 0.0, rows, rows))
+    for column in columns:
+        r = found[column]
+        if not r["n"]:
+            fits.append(NumericFit(column, None, 0.0, 0.0, r["rows"], r["rows"]))
             continue
-        share = r["n"] / r["rows"]
-        median = medians[position]
+        share, median = r["n"] / r["rows"], r["median"]
         mean = share * r["mean"] + (1 - share) * median
         var = share * r["var"] + share * (1 - share) * (r["mean"] - median) ** 2
         fits.append(NumericFit(column, median, mean, var**0.5, r["rows"], r["rows"] - r["n"]))
     return fits
 
 
+def category_table(train: DataFrame, columns: list[str]) -> DataFrame:
+    """The dictionary: position, value, rows, and the value's place in its column."""
+    values = F.array(*[F.col(fn.sql_name(c)).cast("string") for c in columns])
+    counts = train.select(F.posexplode(values).alias("position", "value")).filter(F.col("value").isNotNull())
+    counts = counts.groupBy("position", "value").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.withColumn("place", F.row_number().over(Window.partitionBy("position").orderBy("value")) - 1)
+
+
 def fit_categories(train: DataFrame, columns: list[str]) -> list[CategoryFit]:
     """Most frequent value (lowest on a tie) and the known values per column.
 
-    The known values become output columns, so their number is bounded by the
-    schema of the result.
+    The dictionary is written as a table; a column's values become output columns,
+    so what returns is bounded by the schema of the result.
     """
     if not columns:
         return []
-    counts = (
-        _cells(train, columns, "string")
-        .filter(F.col("value").isNotNull())
-        .groupBy("position", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .collect()
-    )
-    fits = []
-    for position, column in enumerate(columns):
-        mine = [(r["value"], r["rows"]) for r in counts if r["position"] == position]
-        mode = min(mine, key=lambda v: (-v[1], v[0]))[0] if mine else None
-        fits.append(CategoryFit(column, mode, tuple(sorted(v for v, _ in mine))))
-    return fits
+    table = keep(category_table(train, columns), "categories")
+    order = F.struct(-F.col("rows"), "value")
+    known = F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"])
+    fits = table.groupBy("position").agg(F.min(order)["value"].alias("mode"), known.alias("known")).collect()
+    by_position = {r["position"]: r for r in fits}
+    empty = {"mode": None, "known": ()}
+    return [CategoryFit(c, r["mode"], tuple(r["known"])) for c, r in ((c, by_position.get(i, empty)) for i, c in enumerate(columns))]
 
 
 def _scaled(expression: str, mean: float, std: float) -> str:
@@ -133,17 +107,18 @@ class Preparation:
     names: tuple[str, ...]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Ids and target plus one ``prepared`` array of all output features."""
+        """Ids and target plus one ``features`` vector of all outputs, sparse where that is smaller."""
         return self.pipeline.transform(df)
 
     def vectors(self, prepared: DataFrame) -> DataFrame:
-        return prepared.withColumn(FEATURES, array_to_vector(F.col(PREPARED)))
+        """``prepared`` with the outputs as an array too."""
+        return prepared.withColumn(PREPARED, vector_to_array(F.col(FEATURES)))
 
     def flat(self, prepared: DataFrame, kind: str = "double") -> DataFrame:
         """One column per feature; ``float`` halves the size of an export."""
         keep_columns = [c for c in prepared.columns if c not in (PREPARED, FEATURES)]
         cells = [f"CAST({PREPARED}[{i}] AS {kind}) AS {fn.sql_name(n)}" for i, n in enumerate(self.names)]
-        return prepared.selectExpr(*keep_columns, *cells)
+        return self.vectors(prepared).selectExpr(*keep_columns, *cells)
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
@@ -159,13 +134,13 @@ class Preparation:
 
 
 def build_preparation(numeric: list[NumericFit], categories: list[CategoryFit]) -> Preparation:
-    """Turn fitted values into a pipeline stage made of plain SQL expressions.
+    """Turn fitted values into a pipeline of Spark ML stages.
 
     Outputs in order: imputed and scaled numbers, scaled missing indicators,
     one column per known category. A numeric column without any value in train
     has no median and gives only its indicator; an unseen category is all zero.
     """
-    names, exprs = [], []
+    names, numbers = [], []
     for f in numeric:
         if f.median is None:
             log.warning("column %s has no value in train and is left out", f.column)
@@ -173,24 +148,40 @@ def build_preparation(numeric: list[NumericFit], categories: list[CategoryFit])
         value = f"CAST({fn.sql_name(f.column)} AS DOUBLE)"
         filled = f"COALESCE(NANVL({value}, NULL), {f.median!r}D)"
         names.append(f.column)
-        exprs.append(_scaled(filled, f.mean, f.std))
+        numbers.append(_scaled(filled, f.mean, f.std))
     for f in numeric:
         if f.missing:
             share = f.missing / f.rows
             value = f"CAST({fn.sql_name(f.column)} AS DOUBLE)"
             flag = f"CAST(NANVL({value}, NULL) IS NULL AS DOUBLE)"
             names.append(f"missingindicator_{f.column}")
-            exprs.append(_scaled(flag, share, (share * (1 - share)) ** 0.5))
+            numbers.append(_scaled(flag, share, (share * (1 - share)) ** 0.5))
+    known = [c for c in categories if c.mode is not None]
     for c in categories:
         if c.mode is None:
             log.warning("column %s has no value in train and is left out", c.column)
-            continue
-        for v in c.values:
-            names.append(f"{c.column}_{v}")
-            exprs.append(f"CAST(COALESCE({fn.sql_name(c.column)}, {fn.sql_text(c.mode)}) = {fn.sql_text(v)} AS DOUBLE)")
+        names += [f"{c.column}_{v}" for v in c.values]
+    # The encoder takes no empty labels, so every value gets a mark in front.
+    filled = [f"CONCAT('=', COALESCE({fn.sql_name(c.column)}, {fn.sql_text(c.mode)}))" for c in known]
+    cells = [f"{x} AS _n{i}" for i, x in enumerate(numbers)] + [f"{x} AS _c{i}" for i, x in enumerate(filled)]
     kept = ", ".join([*ID_COLUMNS, TARGET])
-    statement = f"SELECT {kept}, ARRAY({', '.join(exprs)}) AS {PREPARED} FROM __THIS__"
-    return Preparation(PipelineModel([SQLTransformer(statement=statement)]), tuple(names))
+    stages = [SQLTransformer(statement=f"SELECT {', '.join([kept, *cells])} FROM __THIS__")]
+    inputs = [f"_n{i}" for i in range(len(numbers))]
+    if known:
+        columns = {tag: [f"_{tag}{i}" for i in range(len(known))] for tag in "cih"}
+        # An unseen value takes the place after the known ones, which is then dropped.
+        for c, shown, index in zip(known, columns["c"], columns["i"]):
+            stages.append(StringIndexerModel.from_labels([f"={v}" for v in c.values], shown, index, handleInvalid="keep"))
+        spark = SparkSession.getActiveSession()
+        empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns["c"]))
+        encoder = OneHotEncoder(inputCols=columns["i"], outputCols=columns["h"], dropLast=True)
+        stages.append(encoder.fit(PipelineModel(stages[1:]).transform(empty)))
+        inputs += columns["h"]
+    if not inputs:
+        raise ValueError("no column has a value in train")
+    stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
+    stages.append(SQLTransformer(statement=f"SELECT {kept}, {FEATURES} FROM __THIS__"))
+    return Preparation(PipelineModel(stages), tuple(names))
 
 
 def fit_preparation(train: DataFrame, exclude: tuple[str, ...] = ()) -> Preparation:
