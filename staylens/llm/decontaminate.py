@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staylens.llm.text import item_words, lookup_join
+from staylens.llm.bloom import BLOCK_BYTES, block_count, build_bloom, probe_bloom
+from staylens.llm.text import fits_broadcast, item_words, lookup_join, text_bytes
 from staylens.session import keep
 
 WINDOW_WORDS = 13
@@ -70,7 +71,10 @@ def rarest_prefix(windows: DataFrame, docs: DataFrame, sizes: list[int]) -> Data
     n = vocabulary.count()
     rows = _shingle_rows(docs, sizes).filter(F.col("at") >= 0)
     keys = rows.select(_shingle("w", F.col("at"), F.col("size")).alias("key"))
-    counts = lookup_join(keys, vocabulary, "key", "inner", n, 16).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    if fits_broadcast(16 * n):
+        counts = keys.join(F.broadcast(vocabulary), "key").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(vocabulary, "key")
     order = Window.partitionBy("window_id").orderBy(F.coalesce("n", F.lit(0)), "offset")
     return (
         candidates.join(counts, "key", "left")
@@ -94,6 +98,84 @@ def _covered(spans: Column) -> Column:
     return merged["n"]
 
 
+def _start() -> Column:
+    return F.col("at") - F.col("offset")
+
+
+def _hits_in_place(worded: DataFrame, table: DataFrame, sizes: list[int], carry: tuple[str, ...]) -> DataFrame:
+    """doc_id, carry, n_words, spans, found: every place meets the broadcast windows.
+
+    The row at -1 of every document meets one row without a window. A shingle whose
+    hash is 0 meets it too and only repeats the document's total.
+    """
+    total = table.sparkSession.range(1).select(
+        F.lit(TOTAL_KEY).cast("bigint").alias("key"),
+        F.lit(None).cast("bigint").alias("window_id"),
+        F.lit(None).cast("int").alias("offset"),
+        F.lit(None).cast("array<string>").alias("words"),
+    )
+    rows = _shingle_rows(worded.withColumn("row", F.monotonically_increasing_id()), sizes)
+    rows = rows.withColumn(
+        "key", F.when(F.col("at") < 0, F.lit(TOTAL_KEY)).otherwise(_shingle("w", F.col("at"), F.col("size")))
+    )
+    start, length = _start(), F.size("words")
+    fits = (start >= 0) & (start + length <= F.size("w"))
+    same = F.slice("w", F.greatest(start, F.lit(0)) + 1, length) == F.col("words")
+    met = (
+        rows.join(F.broadcast(table.unionByName(total)), "key")
+        .filter(F.col("window_id").isNull() | (fits & same))
+        .select("row", "doc_id", *carry, F.size("w").alias("n_words"), "window_id", start.alias("start"), (start + length).alias("stop"))
+    )
+    per_doc = met.groupBy("row", "doc_id", *carry).agg(
+        F.max("n_words").cast("long").alias("n_words"),
+        F.collect_set(F.when(F.col("window_id").isNotNull(), F.struct("start", "stop"))).alias("spans"),
+        F.collect_set("window_id").alias("found"),
+    )
+    return per_doc.drop("row")
+
+
+def _hits_by_shuffle(
+    named: DataFrame, table: DataFrame, windows: DataFrame, sizes: list[int], carry: tuple[str, ...]
+) -> DataFrame:
+    """The same for a window table of any size; words never travel with a place.
+
+    Places that pass a Bloom filter of the prefix keys (where that filter fits a
+    broadcast) shuffle as (document hash, place, key). Texts of documents with a
+    candidate are then joined once and compared word by word. Documents with equal id
+    and text share a result; should two others share the hash, each is compared itself.
+    """
+    ids = F.xxhash64("doc_id", "_text").alias("h")
+    own = F.xxhash64("_text", F.lit(1)).alias("t")
+    worded = named.select(ids, item_words(F.col("_text")).alias("w"))
+    places = _shingle_rows(worded, sizes).filter(F.col("at") >= 0)
+    places = places.select("h", "at", F.size("w").alias("n"), _shingle("w", F.col("at"), F.col("size")).alias("key"))
+    keys = keep(table.select("key", "window_id", "offset", F.size("words").alias("length")), "prefix-table")
+    blocks = block_count(keys.count())
+    if fits_broadcast(blocks * BLOCK_BYTES):
+        bloom = build_bloom(keys.select("key").distinct(), "key", blocks)
+        places = probe_bloom(places, "key", bloom, blocks).filter("possible").drop("possible")
+    fits = (_start() >= 0) & (_start() + F.col("length") <= F.col("n"))
+    candidates = places.join(keys, "key").filter(fits).select("h", F.struct("window_id", _start().alias("start"), "length").alias("c"))
+    candidates = keep(candidates.groupBy("h").agg(F.collect_set("c").alias("c")), "candidates")
+    holders = lookup_join(named.select(ids, own, "_text"), candidates.select("h"), "h", "left_semi", candidates.count(), 24)
+    holders = holders.dropDuplicates(["h", "t"]).join(candidates, "h").withColumn("w", item_words(F.col("_text")))
+    # Each place takes only its own words along.
+    cut = F.transform("c", lambda c: F.struct(c["window_id"].alias("window_id"), c["start"].alias("start"), F.slice("w", c["start"] + 1, c["length"]).alias("words")))
+    checked = holders.select("h", "t", F.explode(cut).alias("x")).select("h", "t", "x.*").join(windows, ["window_id", "words"])
+    hits = checked.groupBy("h", "t").agg(
+        F.collect_set(F.struct("start", (F.col("start") + F.size("words")).alias("stop"))).alias("spans"), F.collect_set("window_id").alias("found")
+    )
+    hits = keep(hits, "document-hits")
+    size = F.size(item_words(F.col("_text"))).cast("long").alias("n_words")
+    rows = named.select("doc_id", *carry, ids, own, size)
+    # The spans of the documents with a hit: 16 bytes each.
+    width = text_bytes(hits, F.lit(""), 64) + 32 * (hits.agg(F.sum(F.size("spans") + F.size("found"))).first()[0] or 0)
+    side = F.broadcast(hits) if fits_broadcast(width) else hits
+    none = (F.array().cast(hits.schema[n].dataType) for n in ("spans", "found"))
+    spans, found = (F.coalesce(F.col(n), e).alias(n) for n, e in zip(("spans", "found"), none))
+    return rows.join(side, ["h", "t"], "left").select("doc_id", *carry, "n_words", spans, found)
+
+
 def decontaminate(
     docs: DataFrame,
     items: DataFrame,
@@ -114,7 +196,8 @@ def decontaminate(
     documents each get a row, repeated items count once, and other columns of
     either table are not read. An empty table of items leaves everything clean.
     """
-    named = docs.select(F.col(doc_id).alias("doc_id"), *carry, item_words(F.col(text)).alias("w"))
+    named = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.col(text).alias("_text"))
+    worded = named.select("doc_id", *carry, item_words(F.col("_text")).alias("w"))
     cut = keep(item_windows(items, item_id, item_text, window), "item-windows")
     windows = keep(cut.select("words").distinct().withColumn("window_id", F.monotonically_increasing_id()), "windows")
     listed = keep(
@@ -122,34 +205,14 @@ def decontaminate(
     )
     # At most SHINGLE_WORDS different sizes.
     sizes = sorted(r[0] for r in windows.select(_size("words")).distinct().collect()) or [SHINGLE_WORDS]
-    prefixes = keep(rarest_prefix(windows, named, sizes), "prefixes")
-    # The row at -1 of every document meets this one row without a window. A
-    # shingle whose hash is 0 meets it too and only repeats the document's total.
-    total = docs.sparkSession.range(1).select(
-        F.lit(TOTAL_KEY).cast("bigint").alias("key"),
-        F.lit(None).cast("bigint").alias("window_id"),
-        F.lit(None).cast("int").alias("offset"),
-        F.lit(None).cast("array<string>").alias("words"),
-    )
-    table = prefixes.join(windows, "window_id").select(total.columns).unionByName(total)
-    rows = _shingle_rows(named.withColumn("row", F.monotonically_increasing_id()), sizes)
-    rows = rows.withColumn(
-        "key", F.when(F.col("at") < 0, F.lit(TOTAL_KEY)).otherwise(_shingle("w", F.col("at"), F.col("size")))
-    )
-    start, length = F.col("at") - F.col("offset"), F.size("words")
-    fits = (start >= 0) & (start + length <= F.size("w"))
-    same = F.slice("w", F.greatest(start, F.lit(0)) + 1, length) == F.col("words")
-    met = (
-        lookup_join(rows, table, "key", "inner", prefixes.count(), 32 * window)
-        .filter(F.col("window_id").isNull() | (fits & same))
-        .select("row", "doc_id", *carry, F.size("w").alias("n_words"), "window_id", start.alias("start"), (start + length).alias("stop"))
-    )
-    per_doc = met.groupBy("row", "doc_id", *carry).agg(
-        F.max("n_words").cast("long").alias("n_words"),
-        F.collect_set(F.when(F.col("window_id").isNotNull(), F.struct("start", "stop"))).alias("spans"),
-        F.collect_set("window_id").alias("found"),
-    )
-    per_doc = keep(per_doc, "hits")
+    prefixes = keep(rarest_prefix(windows, worded, sizes), "prefixes")
+    table = prefixes.join(windows, "window_id").select("key", "window_id", "offset", "words")
+    # A word in the broadcast table takes some 16 bytes besides its text.
+    if fits_broadcast(text_bytes(windows, F.array_join("words", " "), 64 + 16 * window)):
+        per_doc = _hits_in_place(worded, table, sizes, carry)
+    else:
+        per_doc = _hits_by_shuffle(named, table, windows, sizes, carry)
+    per_doc = keep(per_doc.withColumn("row", F.monotonically_increasing_id()), "hits")
     found = per_doc.filter(F.size("found") > 0).select("row", F.explode("found").alias("window_id"))
     named_items = (
         lookup_join(found, listed, "window_id", "inner", listed.count(), 32)

@@ -49,10 +49,19 @@ def crc_remainder(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def fits_broadcast(size: int) -> bool:
+    return size <= BROADCAST_BYTES
+
+
+def text_bytes(df: DataFrame, text: Column, per_row: int) -> int:
+    """Counted bytes of a table with one text and ``per_row`` bytes besides."""
+    return df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)) + F.count(F.lit(1)) * per_row).first()[0]
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str, rows: int, row_bytes: int) -> DataFrame:
     """Join with ``lookup``, broadcast only where its counted size is below the bound.
 
     Beyond the bound both sides shuffle; adaptive execution splits hot keys.
     """
-    side = F.broadcast(lookup) if rows * row_bytes <= BROADCAST_BYTES else lookup
+    side = F.broadcast(lookup) if fits_broadcast(rows * row_bytes) else lookup
     return facts.join(side, on, how)

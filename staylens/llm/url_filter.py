@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.text import lookup_join, lower_ascii
+from staylens.llm.bloom import block_count, build_bloom, probe_bloom
+from staylens.llm.text import lookup_join, lower_ascii, text_bytes
 from staylens.session import keep
 
 # Verdict, host, path; a rule also holds for all subdomains and longer paths.
@@ -24,8 +25,6 @@ RULES = (
 # Words that put the URLs of a host on the list.
 LISTED_WORDS = ("adult", "casino", "pills", "spam")
 
-BLOCK_LONGS = 4
-BITS_PER_URL = 12
 # Query parameters that do not change the page.
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|\z)"
 
@@ -66,41 +65,6 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _bits(key: str) -> list[Column]:
-    """Two bits in each long of the block."""
-    spread = F.xxhash64(F.lit("bits"), F.col(key))
-
-    def bit(shift):
-        at = F.shiftrightunsigned(spread, shift).bitwiseAND(F.lit(63)).cast("int")
-        return F.call_function("shiftleft", F.lit(1).cast("bigint"), at)
-
-    return [bit(12 * i).bitwiseOR(bit(12 * i + 6)) for i in range(BLOCK_LONGS)]
-
-
-def _block(key: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(blocks))
-
-
-def block_count(urls: int, bits_per_url: int = BITS_PER_URL) -> int:
-    return urls * bits_per_url // (64 * BLOCK_LONGS) + 1
-
-
-def build_bloom(listed: DataFrame, key: str, blocks: int) -> DataFrame:
-    """Columns block, b0..b3; only blocks with a URL are present."""
-    masks = [m.alias(f"b{i}") for i, m in enumerate(_bits(key))]
-    rows = listed.select(_block(key, blocks).alias("block"), *masks)
-    return rows.groupBy("block").agg(*[F.bit_or(f"b{i}").alias(f"b{i}") for i in range(BLOCK_LONGS)])
-
-
-def probe_bloom(rows: DataFrame, key: str, bloom: DataFrame, blocks: int) -> DataFrame:
-    """``rows`` with a column ``possible``: false only where the key is not listed."""
-    tested = rows.withColumn("block", _block(key, blocks))
-    joined = lookup_join(tested, bloom, "block", "left", blocks, 64)
-    held = [F.col(f"b{i}").bitwiseAND(m) == m for i, m in enumerate(_bits(key))]
-    possible = F.coalesce(held[0] & held[1] & held[2] & held[3], F.lit(False))
-    return joined.withColumn("possible", possible).drop("block", *(f"b{i}" for i in range(BLOCK_LONGS)))
-
-
 def spam_list(pages: DataFrame, url: str = "url", words: tuple[str, ...] = LISTED_WORDS) -> DataFrame:
     """Canonical URLs (column ``url``) on hosts with a listed word between marks."""
     host, _, _ = url_parts(F.col(url))

@@ -2,6 +2,9 @@ import hashlib
 import random
 import re
 
+import pytest
+
+from staylens.llm import text as tx
 from staylens.llm.decontaminate import decontaminate, drop_contaminated
 
 from .words import LONG, awkward_docs, collected
@@ -34,7 +37,10 @@ def brute(docs, items):
     return sorted(out, key=repr)
 
 
-def test_equals_brute_force(spark):
+@pytest.mark.parametrize("bound", [tx.BROADCAST_BYTES, 4_000, 0])
+def test_equals_brute_force(spark, monkeypatch, bound):
+    """In place, by a shuffle of what a Bloom filter passes, and by a shuffle of all places."""
+    monkeypatch.setattr(tx, "BROADCAST_BYTES", bound)
     rng = random.Random(3)
     vocabulary = ["alpha", "Beta", "gamma", "é1", "É1", "x", "y9"]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 4, 13, 15, 20])))) for i in range(25)]
@@ -53,7 +59,9 @@ def test_equals_brute_force(spark):
     assert collected(found) == brute(docs, items)
 
 
-def test_awkward_rows_and_empty_tables(spark):
+@pytest.mark.parametrize("bound", [tx.BROADCAST_BYTES, 0])
+def test_awkward_rows_and_empty_tables(spark, monkeypatch, bound):
+    monkeypatch.setattr(tx, "BROADCAST_BYTES", bound)
     docs = awkward_docs(spark)
     items = spark.createDataFrame([(1, " ".join(LONG.split()[100:140]), "z")], "item_id bigint, text string, row string")
     rows = {r.doc_id: r for r in decontaminate(docs, items).collect()}
@@ -63,7 +71,9 @@ def test_awkward_rows_and_empty_tables(spark):
     assert decontaminate(docs, items.limit(0)).filter("n_hit > 0 or contaminated").count() == 0
 
 
-def test_drop_keeps_clean_rows_and_columns(spark):
+@pytest.mark.parametrize("bound", [tx.BROADCAST_BYTES, 0])
+def test_drop_keeps_clean_rows_and_columns(spark, monkeypatch, bound):
+    monkeypatch.setattr(tx, "BROADCAST_BYTES", bound)
     docs = awkward_docs(spark)
     items = spark.createDataFrame([(1, "quick brown fox the lazy dog sleeps")], "item_id bigint, text string")
     left = drop_contaminated(docs, items)
