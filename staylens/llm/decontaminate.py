@@ -148,19 +148,19 @@ def _hits_by_shuffle(
     own = F.xxhash64("_text", F.lit(1)).alias("t")
     worded = named.select(ids, item_words(F.col("_text")).alias("w"))
     places = _shingle_rows(worded, sizes).filter(F.col("at") >= 0)
-    places = places.select("h", "at", F.size("w").alias("n"), _shingle("w", F.col("at"), F.col("size")).alias("key"))
+    places = places.select("h", "at", _shingle("w", F.col("at"), F.col("size")).alias("key"))
     keys = keep(table.select("key", "window_id", "offset", F.size("words").alias("length")), "prefix-table")
     blocks = block_count(keys.count())
     if fits_broadcast(blocks * BLOCK_BYTES):
         bloom = build_bloom(keys.select("key").distinct(), "key", blocks)
         places = probe_bloom(places, "key", bloom, blocks).filter("possible").drop("possible")
-    fits = (_start() >= 0) & (_start() + F.col("length") <= F.col("n"))
-    candidates = places.join(keys, "key").filter(fits).select("h", F.struct("window_id", _start().alias("start"), "length").alias("c"))
+    candidates = places.join(keys, "key").filter(_start() >= 0).select("h", F.struct("window_id", _start().alias("start"), "length").alias("c"))
     candidates = keep(candidates.groupBy("h").agg(F.collect_set("c").alias("c")), "candidates")
     holders = lookup_join(named.select(ids, own, "_text"), candidates.select("h"), "h", "left_semi", candidates.count(), 24)
     holders = holders.dropDuplicates(["h", "t"]).join(candidates, "h").withColumn("w", item_words(F.col("_text")))
     # Each place takes only its own words along.
-    cut = F.transform("c", lambda c: F.struct(c["window_id"].alias("window_id"), c["start"].alias("start"), F.slice("w", c["start"] + 1, c["length"]).alias("words")))
+    fitting = F.filter("c", lambda c: c["start"] + c["length"] <= F.size("w"))
+    cut = F.transform(fitting, lambda c: F.struct(c["window_id"].alias("window_id"), c["start"].alias("start"), F.slice("w", c["start"] + 1, c["length"]).alias("words")))
     checked = holders.select("h", "t", F.explode(cut).alias("x")).select("h", "t", "x.*").join(windows, ["window_id", "words"])
     hits = checked.groupBy("h", "t").agg(
         F.collect_set(F.struct("start", (F.col("start") + F.size("words")).alias("stop"))).alias("spans"), F.collect_set("window_id").alias("found")

@@ -8,25 +8,31 @@ Spark column expression that scores any number of texts where they are read.
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.plans.prepare import FEATURES
+from staylens.plans.splits import Tree
+from staylens.plans.trees import Forest, bin_rows, forest_model, plant
+from staylens.schemas import STAY, TARGET
 from staylens.llm.text import BLANKS, count_matching, crc_remainder, let, lookup_join, split_words
 from staylens.session import keep
 
 TREES = 24
 DEPTH = 3
-BINS = 64
+STATISTICS_SHARE = "0.34"
+LEAST_ROWS = 2
 LASSO = 3e-4
 MAX_ITERATIONS = 60
 SEED = 42
+# Weights are cut to so many digits: the sums behind them depend on the order of addition.
+DIGITS = 9
+PATTERN_PARTS = 8
 FOLDS = 5
 HELD_OUT = 0
 THRESHOLD = 0.3
@@ -92,17 +98,18 @@ def condition(rule: Rule, value=F.col) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def tree_rules(description: str, names: list[str]) -> list[Rule]:
-    """Every distinct path from a root to a node in a printed tree ensemble."""
+def tree_rules(trees: list[Tree], edges, names: list[str]) -> list[Rule]:
+    """Every distinct path from a root to a node, as bounds of statistics."""
     rules: dict[Rule, None] = {}
-    path: list[tuple[int, tuple[str, str, float]]] = []
-    for line in description.splitlines():
-        found = re.match(r"( *)(?:If|Else) \(feature (\d+) (<=|>) ([-+.\dEe]+)\)", line)
-        if not found:
-            continue
-        depth = len(found[1])
-        path = [p for p in path if p[0] < depth] + [(depth, (names[int(found[2])], found[3], float(found[4])))]
-        rules[tuple(sorted(tightest(test for _, test in path)))] = None
+    for tree in trees:
+        at = {int(p): i for i, p in enumerate(tree.path)}
+        for path in sorted(at)[1:]:
+            tests = []
+            for child in (path >> k for k in range(path.bit_length() - 1)):
+                i = at[child >> 1]
+                f = int(tree.feature[i])
+                tests.append((names[f], ">" if child & 1 else "<=", float(edges[f][tree.bin[i]])))
+            rules[tuple(sorted(tightest(tests)))] = None
     return list(rules)
 
 
@@ -118,27 +125,34 @@ def tightest(tests) -> list[tuple[str, str, float]]:
 def fit_rules(rows: DataFrame, label: str = "label") -> RuleModel:
     """Fit on a table of statistics with a 0/1 label; distributed, all rows count.
 
-    With one class only the score is that class; without rows it is one half.
+    Bootstraps follow a hash of the statistics and tree sums are whole numbers, so the
+    rules do not depend on how ``rows`` is laid out. The lasso sees each pattern of
+    rules once, with its number of rows. With one class only the score is that class;
+    without rows it is one half.
     """
     n, good = rows.agg(F.count(label), F.sum(F.col(label).cast("double"))).first()
     if not n:
         return RuleModel(0.0)
     if good in (0, n):
         return RuleModel(20.0 if good else -20.0)
-    vectors = VectorAssembler(inputCols=STATISTICS, outputCol="features").transform(rows)
-    forest = RandomForestClassifier(
-        labelCol=label, numTrees=TREES, maxDepth=DEPTH, maxBins=BINS, seed=SEED, featureSubsetStrategy="onethird"
-    ).fit(vectors.select("features", label))
-    rules = tree_rules(forest.toDebugString, STATISTICS)
+    vectors = rows.select(
+        F.xxhash64(*STATISTICS).alias(STAY), F.col(label).cast("double").alias(TARGET), array_to_vector(F.array(*STATISTICS)).alias(FEATURES)
+    )
+    binned = bin_rows(vectors)
+    forest = Forest(trees=TREES, max_depth=DEPTH, min_leaf=LEAST_ROWS, subset=STATISTICS_SHARE, seed=SEED)
+    trees = [t for part in forest_model(binned, plant(binned, forest)).parts() for t in part]
+    rules = tree_rules(trees, binned.edges, STATISTICS)
     if not rules:
         share = good / n
         return RuleModel(math.log(share / (1 - share)))
-    held = F.array(*[condition(r).cast("double") for r in rules])
+    held = F.array(*[condition(r).cast("double") for r in rules]).alias("held")
+    patterns = rows.select(held, F.col(label).cast("double").alias(label)).groupBy("held", label).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    patterns = keep(patterns.repartition(PATTERN_PARTS, "held", label).sortWithinPartitions("held", label), "patterns")
     lasso = LogisticRegression(
-        labelCol=label, elasticNetParam=1.0, regParam=LASSO, maxIter=MAX_ITERATIONS, standardization=False
-    ).fit(rows.select(array_to_vector(held).alias("features"), label))
-    weights = lasso.coefficients.toArray().tolist()
-    return RuleModel(float(lasso.intercept), tuple((r, w) for r, w in zip(rules, weights) if w))
+        labelCol=label, weightCol="n", elasticNetParam=1.0, regParam=LASSO, maxIter=MAX_ITERATIONS, standardization=False
+    ).fit(patterns.select(array_to_vector("held").alias("features"), label, "n"))
+    weights = [round(w, DIGITS) for w in lasso.coefficients.toArray().tolist()]
+    return RuleModel(round(float(lasso.intercept), DIGITS), tuple((r, w) for r, w in zip(rules, weights) if w))
 
 
 def training_rows(rows: DataFrame, labels: DataFrame, doc_id: str, label: str) -> DataFrame:

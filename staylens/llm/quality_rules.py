@@ -1,10 +1,12 @@
 """Quality rules whose thresholds follow each language and source.
 
-Every text gets a few exact statistics. Their distribution per language and
-source is kept as a quantile sketch: logarithmic buckets of fixed relative width
-with counts, which merge by addition, so partial counts combine in any order and
-a repeated task changes nothing. Quartiles read off the sketches give a fence per
-group and statistic, and texts are filtered by a join with the fences.
+Every text gets a few exact counts and three positive rates. Their distribution per
+language and source is kept as a quantile sketch: logarithmic buckets of fixed
+relative width with counts, which merge by addition, so partial counts combine in any
+order and a repeated task changes nothing. Quartile buckets read off the sketches give
+a fence per group and rate, and texts are filtered by a join with the fences. A
+group's sketch is blended with a small share of its language's, and that one with a
+small share of all texts', so few texts say little and no size is a border.
 """
 
 from __future__ import annotations
@@ -22,12 +24,13 @@ MIN_WORDS = 10
 MAX_REPEATED = 20  # per cent of the words
 # Buckets grow by this factor; a quantile is right to about a twentieth.
 GROWTH = 1.1
-FENCE = 3.0
-# Groups with fewer texts borrow the fences of their language, then of all texts.
-MIN_GROUP = 50
+# A fence lies this many quartile distances, in buckets, and one bucket beyond the quartiles.
+REACH, SLACK = 2, 1
+# As many texts of the wider sketch are blended into each sketch.
+PRIOR = 50
 
-# Statistic and the distance from the quartiles that is always allowed.
-RULES = {"symbol_share": 0.10, "line_share": 0.30, "mean_chars": 2.0}
+# Rates that are bad when high only, and one that is bad on both sides.
+RULES = {"symbol_rate": False, "line_ratio": False, "mean_chars": True}
 
 
 def _windows(words: Column) -> Column:
@@ -76,42 +79,49 @@ def _words_in_repeated(words: Column) -> Column:
 
 
 def text_counts(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (bigint)."""
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines (bigint).
+
+    n_lines counts the lines with a word; the others are the base counts.
+    """
     full = F.coalesce(F.col(text), F.lit(""))
     docs = docs.withColumn("_words", split_words(full, BLANKS)).withColumn("_runs", _windows(F.col("_words")))
     lines = let(
         F.filter(F.split(full, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-        lambda a: F.size(a) - F.size(F.array_distinct(a)),
+        lambda a: F.struct(F.size(a).alias("all"), F.size(F.array_distinct(a)).alias("different")),
     )
+    docs = docs.withColumn("_lines", lines)
     # Most texts repeat no window: then nothing is sorted.
     some = F.size("_runs") > F.size(F.array_distinct("_runs"))
     counts = {
         "n_words": F.size("_words"),
         "word_chars": F.length(F.regexp_replace(full, BLANKS, "")),
         "n_symbols": count_matching(full, r"[#*$%&|<>]+"),
-        "n_dup_lines": lines,
+        "n_dup_lines": F.col("_lines.all") - F.col("_lines.different"),
         "n_repeat_words": F.when(some, _words_in_repeated(F.col("_words"))).otherwise(F.lit(0)),
+        "n_lines": F.col("_lines.all"),
     }
-    plain = [c for c in docs.columns if c not in ("_words", "_runs", text)]
+    plain = [c for c in docs.columns if c not in ("_words", "_runs", "_lines", text)]
     return docs.select(*plain, *(c.cast("bigint").alias(n) for n, c in counts.items()))
 
 
-def _statistics(counts: DataFrame) -> DataFrame:
-    return (
-        counts.withColumn("symbol_share", F.col("n_symbols") / F.greatest("word_chars", F.lit(1)))
-        .withColumn("line_share", F.col("n_dup_lines") / F.greatest("n_words", F.lit(1)))
-        .withColumn("mean_chars", F.col("word_chars") / F.greatest("n_words", F.lit(1)))
-    )
-
+def rate_buckets(counts: DataFrame) -> DataFrame:
+    """``counts`` with a bucket number per rate of ``RULES``.
 
-def _bucket(value: Column) -> Column:
-    """Bucket of a value of at least 0; 0 has the lowest bucket of its own."""
-    return F.when(value > 0, F.floor(F.log(value) / F.log(F.lit(GROWTH))).cast("int")).otherwise(F.lit(-100_000))
+    The rates are never 0: one symbol more than there are, and half a line on both
+    sides. So a short text has a higher rate than a long one with as little evidence,
+    and quartiles tell groups apart also where most texts have no symbol at all.
+    """
+    rates = {
+        "symbol_rate": (F.col("n_symbols") + 1) / (F.col("word_chars") + 2),
+        "line_ratio": (F.col("n_dup_lines") + 0.5) / (F.col("n_lines") - F.col("n_dup_lines") + 0.5),
+        "mean_chars": F.greatest("word_chars", F.lit(1)) / F.greatest("n_words", F.lit(1)),
+    }
+    return counts.withColumns({n: F.floor(F.log(r) / F.log(F.lit(GROWTH))).cast("int") for n, r in rates.items()})
 
 
 def sketch(rows: DataFrame, names: list[str], groups: list[str]) -> DataFrame:
-    """Columns groups, name, bucket, n: mergeable quantile sketches of the statistics."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("name"), _bucket(F.col(n)).alias("bucket")) for n in names])
+    """Columns groups, name, bucket, n: mergeable quantile sketches of bucketed rates."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("bucket")) for n in names])
     return rows.select(*groups, F.explode(pairs).alias("p")).groupBy(*groups, "p.name", "p.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -119,47 +129,40 @@ def merge_sketches(sketches: DataFrame, groups: list[str]) -> DataFrame:
     return sketches.groupBy(*groups, "name", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketches: DataFrame, groups: list[str]) -> DataFrame:
-    """Columns groups, size and <statistic>_low / _high: quartiles widened by FENCE spans."""
-    upto = Window.partitionBy(*groups, "name").orderBy("bucket")
-    whole = Window.partitionBy(*groups, "name")
-    ranked = sketches.withColumn("below", F.sum("n").over(upto) - F.col("n")).withColumn("size", F.sum("n").over(whole))
-    middle = F.when(F.col("bucket") > -100_000, F.pow(F.lit(GROWTH), F.col("bucket") + 0.5)).otherwise(F.lit(0.0))
+def blend(sketches: DataFrame, groups: list[str], wider: DataFrame, on: list[str]) -> DataFrame:
+    """Columns groups, name, bucket, n (weight), total: own counts plus ``PRIOR`` texts of ``wider``.
 
-    def quartile(share):
-        rank = F.floor((F.col("size") - 1) * share)
-        return F.max(F.when((F.col("below") <= rank) & (rank < F.col("below") + F.col("n")), middle))
-
-    lows, highs = quartile(0.25), quartile(0.75)
-    per_name = ranked.groupBy(*groups, "name").agg(lows.alias("q1"), highs.alias("q3"), F.max("size").alias("size"))
-    reach = F.create_map(*[x for n, slack in RULES.items() for x in (F.lit(n), F.lit(slack))])[F.col("name")]
-    reach = (F.col("q3") - F.col("q1")) * FENCE + reach
-    rows = per_name.select(*groups, "name", "size", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
-    cells = [
-        F.max(F.when(F.col("name") == n, F.col(side))).alias(f"{n}_{side}") for n in RULES for side in ("low", "high")
-    ]
-    return rows.groupBy(*groups).agg(F.max("size").alias("size"), *cells)
+    ``wider`` has ``on``, name, bucket, n, total and every bucket of ``sketches``.
+    """
+    share = wider.select(*on, "name", "bucket", (F.col("n") / F.col("total")).alias("_share"))
+    cells = sketches.select(*groups, "name").distinct().join(share, [*on, "name"])
+    full = cells.join(sketches.select(*groups, "name", "bucket", "n"), [*groups, "name", "bucket"], "left")
+    own = F.coalesce("n", F.lit(0))
+    size = F.sum(own).over(Window.partitionBy(*groups, "name"))
+    return full.select(*groups, "name", "bucket", (own + F.lit(PRIOR) * F.col("_share")).alias("n"), (size + PRIOR).alias("total"))
+
+
+def fences(blended: DataFrame, groups: list[str]) -> DataFrame:
+    """Columns groups and <rate>_low / _high: the buckets between which a rate may lie."""
+    upto = F.sum("n").over(Window.partitionBy(*groups, "name").orderBy("bucket"))
+    # Weights are fractions; rounding makes their sums independent of the order of addition.
+    ranked = blended.withColumn("upto", F.round(upto / F.col("total"), 9))
+    q1, q3 = (F.min(F.when(F.col("upto") >= share, F.col("bucket"))) for share in (0.25, 0.75))
+    per_name = ranked.groupBy(*groups, "name").agg(q1.alias("q1"), q3.alias("q3"))
+    reach = (F.col("q3") - F.col("q1")) * REACH + SLACK
+    sides = {"low": F.col("q1") - reach, "high": F.col("q3") + reach}
+    cells = [F.max(F.when(F.col("name") == n, c)).alias(f"{n}_{side}") for n in RULES for side, c in sides.items()]
+    return per_name.groupBy(*groups).agg(*cells)
 
 
 def group_fences(rows: DataFrame) -> DataFrame:
-    """Fences of every (_lang, _source), those of small groups taken from wider ones."""
+    """Fences of every (_lang, _source) from the bucketed rates of ``rows``."""
     fine = keep(sketch(rows, list(RULES), ["_lang", "_source"]), "sketches")
-    by_lang = fences(merge_sketches(fine, ["_lang"]), ["_lang"])
-    overall = fences(merge_sketches(fine.withColumn("_all", F.lit(0)), ["_all"]), ["_all"])
-    own = fences(fine, ["_lang", "_source"])
-    names = [f"{n}_{side}" for n in RULES for side in ("low", "high")]
-    wide = own.withColumn("_all", F.lit(0))
-    for other, key, tag in ((by_lang, "_lang", "l"), (overall, "_all", "a")):
-        other = other.select(key, F.col("size").alias(f"size_{tag}"), *(F.col(n).alias(f"{n}_{tag}") for n in names))
-        wide = wide.join(other, key, "left")
-    chosen = [
-        F.when(F.col("size") >= MIN_GROUP, F.col(n))
-        .when(F.col("size_l") >= MIN_GROUP, F.col(f"{n}_l"))
-        .otherwise(F.col(f"{n}_a"))
-        .alias(n)
-        for n in names
-    ]
-    return wide.select("_lang", "_source", *chosen)
+    whole = merge_sketches(fine.withColumn("_all", F.lit(0)), ["_all"])
+    whole = whole.withColumn("total", F.sum("n").over(Window.partitionBy("_all", "name")))
+    by_lang = merge_sketches(fine, ["_lang"]).withColumn("_all", F.lit(0))
+    by_lang = blend(by_lang, ["_all", "_lang"], whole, ["_all"]).drop("_all")
+    return fences(blend(fine, ["_lang", "_source"], by_lang, ["_lang"]), ["_lang", "_source"])
 
 
 def judge(
@@ -183,10 +186,10 @@ def judge(
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     counts = text_counts(named, "_text").withColumn("base_failed", failed)
-    rows = _statistics(keep(counts, "text-counts"))
+    rows = rate_buckets(keep(counts, "text-counts"))
     limits = keep(group_fences(rows.filter(~F.col("base_failed"))), "fences")
     joined = lookup_join(rows, limits, ["_lang", "_source"], "left", limits.count(), 160)
-    inside = [F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high")) for n in RULES]
+    inside = [F.col(n) <= F.col(f"{n}_high") for n in RULES] + [F.col(n) >= F.col(f"{n}_low") for n, both in RULES.items() if both]
     kept = ~F.col("base_failed") & F.coalesce(reduce(lambda a, b: a & b, inside), F.lit(True))
     shown = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return joined.select(*shown, kept.alias("kept"))

@@ -15,7 +15,7 @@ from staylens.llm.simhash import simhash_components
 from staylens.llm.sphere_kmeans import CLUSTERS, ROUNDS, cluster_vectors
 from staylens.llm.text import read_table
 from staylens.llm.token_counts import count_sections
-from staylens.llm.url_filter import filter_urls, spam_list
+from staylens.llm.url_filter import filter_urls, marked_pages
 
 
 def op1_decontaminate(spark, sf_dir):
@@ -52,7 +52,7 @@ def op8_simhash(spark, sf_dir):
 
 def op9_url_filter(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
-    return filter_urls(pages, spam_list(pages))
+    return filter_urls(pages, marked_pages(pages))
 
 
 def op10_secret_scan(spark, sf_dir):
@@ -111,44 +111,39 @@ FROM d LEFT JOIN word USING (r) LEFT JOIN item USING (r)"""
 
 
 def _op7_sql():
-    rules = {"symbol_share": 0.10, "line_share": 0.30, "mean_chars": 2.0}
-    pairs = " UNION ALL ".join(
-        f"SELECT l, s, '{n}' AS name, CASE WHEN {n} > 0 THEN CAST(floor(ln({n}) / ln(CAST(1.1 AS DOUBLE))) AS INT) ELSE -100000 END AS bucket FROM good" for n in rules
-    )
-    slack = "CASE name " + " ".join(f"WHEN '{n}' THEN CAST({v} AS DOUBLE)" for n, v in rules.items()) + " END"
-
-    def fence(table, groups):
-        return f"""SELECT {groups}, name, size, q1 - (3 * (q3 - q1) + {slack}) AS low, q3 + 3 * (q3 - q1) + {slack} AS high
-FROM (SELECT {groups}, name, max(size) AS size, max(m) FILTER (below <= floor((size - 1) * 0.25) AND floor((size - 1) * 0.25) < below + n) AS q1,
-  max(m) FILTER (below <= floor((size - 1) * 0.75) AND floor((size - 1) * 0.75) < below + n) AS q3
-FROM (SELECT *, sum(n) OVER (PARTITION BY {groups}, name ORDER BY bucket) - n AS below, sum(n) OVER (PARTITION BY {groups}, name) AS size,
-  CASE WHEN bucket > -100000 THEN pow(CAST(1.1 AS DOUBLE), bucket + 0.5) ELSE 0 END AS m
-FROM (SELECT {groups}, name, bucket, sum(n) AS n FROM {table} GROUP BY {groups}, name, bucket)) GROUP BY {groups}, name)"""
-
-    checks = " AND ".join(
-        f"coalesce((SELECT bool_and({n} BETWEEN low AND high) FROM chosen c WHERE c.l = base.l AND c.s = base.s AND c.name = '{n}'), true)" for n in rules
-    )
+    rates = {
+        "symbol_rate": "CAST(n_symbols + 1 AS DOUBLE) / (word_chars + 2)",
+        "line_ratio": "(n_dup_lines + CAST(0.5 AS DOUBLE)) / (n_lines - n_dup_lines + CAST(0.5 AS DOUBLE))",
+        "mean_chars": "CAST(greatest(word_chars, 1) AS DOUBLE) / greatest(n_words, 1)",
+    }
+    buckets = ", ".join(f"CAST(floor(ln({r}) / ln(CAST(1.1 AS DOUBLE))) AS INT) AS {n}" for n, r in rates.items())
+    pairs = " UNION ALL ".join(f"SELECT l, s, '{n}' AS name, {n} AS bucket FROM good" for n in rates)
+
+    def limits(n):
+        low = f" AND {n} >= low" if n == "mean_chars" else ""
+        return f"coalesce((SELECT bool_and({n} <= high{low}) FROM fence c WHERE c.l = base.l AND c.s = base.s AND c.name = '{n}'), true)"
+
     return rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, chr(1)) AS l, coalesce(source, chr(1)) AS s, coalesce(text, '') AS text FROM documents),
-w AS (SELECT *, list_filter(regexp_split_to_array(text, '[ 	-
-]+'), lambda x: x <> '') AS w FROM d),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda x: x <> '') AS w FROM d),
 run AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS t FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS c FROM run) WHERE c > 1),
 again AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r),
-line AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ 	-
-]') GROUP BY r),
-count AS (SELECT w.r, doc_id, l, s, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[ 	-
-]+', '', 'g')) AS BIGINT) AS word_chars,
+line AS (SELECT r, count(*) AS a, count(*) - count(DISTINCT x) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^ 	-]') GROUP BY r),
+count AS (SELECT w.r, doc_id, l, s, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[ 	-]+', '', 'g')) AS BIGINT) AS word_chars,
   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(line.n, 0) AS BIGINT) AS n_dup_lines,
-  CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN line USING (r) LEFT JOIN again USING (r)),
-base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CAST(n_symbols AS DOUBLE) / greatest(word_chars, 1) AS symbol_share,
-  CAST(n_dup_lines AS DOUBLE) / greatest(n_words, 1) AS line_share, CAST(word_chars AS DOUBLE) / greatest(n_words, 1) AS mean_chars FROM count),
+  CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words, coalesce(line.a, 0) AS n_lines FROM w LEFT JOIN line USING (r) LEFT JOIN again USING (r)),
+base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {buckets} FROM count),
 good AS (SELECT * FROM base WHERE NOT base_failed),
-sketch AS (SELECT l, s, name, bucket, count(*) AS n, 0 AS one FROM ({pairs}) GROUP BY l, s, name, bucket),
-own AS ({fence("sketch", "l, s")}), lan AS ({fence("sketch", "l")}), one AS ({fence("sketch", "one")}),
-chosen AS (SELECT own.l, own.s, own.name, CASE WHEN own.size >= 50 THEN own.low WHEN lan.size >= 50 THEN lan.low ELSE one.low END AS low,
-  CASE WHEN own.size >= 50 THEN own.high WHEN lan.size >= 50 THEN lan.high ELSE one.high END AS high
-  FROM own JOIN lan ON lan.l = own.l AND lan.name = own.name JOIN one ON one.name = own.name)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {checks} AS kept FROM base"""
+sketch AS (SELECT l, s, name, bucket, count(*) AS n FROM ({pairs}) GROUP BY l, s, name, bucket),
+whole AS (SELECT name, bucket, sum(n) / CAST(sum(sum(n)) OVER (PARTITION BY name) AS DOUBLE) AS share FROM sketch GROUP BY name, bucket),
+lang AS (SELECT l, name, bucket, (coalesce(n, 0) + 50 * share) / (sum(coalesce(n, 0)) OVER (PARTITION BY l, name) + 50) AS share
+  FROM (SELECT DISTINCT l, name FROM sketch) JOIN whole USING (name) LEFT JOIN (SELECT l, name, bucket, sum(n) AS n FROM sketch GROUP BY ALL) USING (l, name, bucket)),
+mixed AS (SELECT l, s, name, bucket, coalesce(n, 0) + 50 * share AS n, sum(coalesce(n, 0)) OVER (PARTITION BY l, s, name) + 50 AS total
+  FROM (SELECT DISTINCT l, s, name FROM sketch) JOIN lang USING (l, name) LEFT JOIN sketch USING (l, s, name, bucket)),
+ranked AS (SELECT *, round(sum(n) OVER (PARTITION BY l, s, name ORDER BY bucket) / total, 9) AS upto FROM mixed),
+fence AS (SELECT l, s, name, q1 - (2 * (q3 - q1) + 1) AS low, q3 + 2 * (q3 - q1) + 1 AS high
+  FROM (SELECT l, s, name, min(bucket) FILTER (upto >= 0.25) AS q1, min(bucket) FILTER (upto >= 0.75) AS q3 FROM ranked GROUP BY l, s, name))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {" AND ".join(limits(n) for n in rates)} AS kept FROM base"""
 
 
 _OP9_SQL = r"""WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
@@ -157,7 +152,7 @@ q AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '@U', '@L') AS
 c AS (SELECT page_id, host, path, concat(regexp_replace(regexp_replace(host, '^(www|m|mobile|amp)\.([^.]+\.)', '\2'), ':(80|443)$', ''),
   rtrim(regexp_replace(rtrim(path, '/'), '(/index)?(\.html?)?\z', ''), '/'), CASE WHEN len(kept) > 0 THEN '?' || array_to_string(list_sort(kept), '&') ELSE '' END) AS key
   FROM (SELECT *, list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|\z)')) AS kept FROM q)),
-l AS (SELECT DISTINCT key FROM c WHERE key <> '' AND regexp_matches(host, '(^|[.-])(adult|casino|pills|spam)([.-]|$)')),
+l AS (SELECT DISTINCT key FROM c JOIN (SELECT DISTINCT page_id FROM pages WHERE regexp_matches(html, '<title>[^<]*(#{3}|[*]{3}|[$]{3}|%{3}|&{3})')) USING (page_id) WHERE key <> ''),
 r AS (SELECT *, key IN (SELECT key FROM l) AS listed, CASE
   WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
   WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'

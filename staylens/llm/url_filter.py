@@ -1,9 +1,7 @@
 """URL filtering: host rules, and a list of URLs behind a blocked Bloom filter.
 
-The filter is a table with one row per block of 256 bits. A URL's hash picks one
-block and eight bits in it, so building is a bitwise-or per block, which merges
-in any order, and probing is one equi-join and four comparisons. Only URLs that
-pass go on to the exact join with the list, which removes false positives.
+The filter is a table of 256-bit blocks (``bloom.py``). Only URLs that pass it go on
+to the exact join with the list, which removes false positives.
 """
 
 from __future__ import annotations
@@ -11,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylens.llm.bloom import block_count, build_bloom, probe_bloom
-from staylens.llm.text import lookup_join, lower_ascii, text_bytes
+from staylens.llm.bloom import BLOCK_BYTES, block_count, build_bloom, probe_bloom
+from staylens.llm.text import fits_broadcast, lookup_join, lower_ascii, text_bytes
 from staylens.session import keep
 
 # Verdict, host, path; a rule also holds for all subdomains and longer paths.
@@ -22,8 +20,8 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-# Words that put the URLs of a host on the list.
-LISTED_WORDS = ("adult", "casino", "pills", "spam")
+# Runs of symbols in a page's title put its URL on the list.
+TITLE_MARKS = r"<title>[^<]*(#{3}|[*]{3}|[$]{3}|%{3}|&{3})"
 
 # Query parameters that do not change the page.
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|\z)"
@@ -65,11 +63,13 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def spam_list(pages: DataFrame, url: str = "url", words: tuple[str, ...] = LISTED_WORDS) -> DataFrame:
-    """Canonical URLs (column ``url``) on hosts with a listed word between marks."""
-    host, _, _ = url_parts(F.col(url))
-    pattern = r"(^|[.-])(" + "|".join(words) + r")([.-]|$)"
-    return pages.filter(host.rlike(pattern)).select(F.col(url).alias("url"))
+def marked_pages(pages: DataFrame, url: str = "url", html: str = "html", marks: str = TITLE_MARKS) -> DataFrame:
+    """URLs (column ``url``) of the pages whose text has spam marks; hosts are not looked at.
+
+    NULL texts have none. Other addresses of such a page meet the list by their
+    canonical form, whatever their own text is.
+    """
+    return pages.filter(F.coalesce(F.col(html).rlike(marks), F.lit(False))).select(F.col(url).alias("url"))
 
 
 def filter_urls(
@@ -88,11 +88,22 @@ def filter_urls(
         F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), canonical_url(F.col(url)).alias("key")
     )
     keys = listed.select(canonical_url(F.col(listed_url)).alias("key")).filter("key <> ''").distinct()
-    keys = keep(keys, "listed-urls")
+    keys = keep(keys.withColumn("hash", F.xxhash64("key")), "listed-urls")
     n = keys.count()
     blocks = block_count(n)
-    tested = keep(probe_bloom(rows, "key", build_bloom(keys, "key", blocks), blocks), "tested-urls")
-    exact = lookup_join(tested.filter("possible"), keys.withColumn("listed", F.lit(True)), "key", "left", n, 160)
+    bloom = build_bloom(keys, "hash", blocks)
+    keys = keys.select("key", F.lit(True).alias("listed"))
+    width = text_bytes(keys, F.col("key"), 48) // max(n, 1) + 1
+    hashed = rows.withColumn("hash", F.xxhash64("key"))
+    if fits_broadcast(blocks * BLOCK_BYTES):
+        tested = keep(probe_bloom(hashed, "hash", bloom, blocks).drop("hash"), "tested-urls")
+    else:
+        # Only row numbers and hashes shuffle to a large filter; what passes finds its row again.
+        hashed = keep(hashed.withColumn("row", F.monotonically_increasing_id()), "hashed-urls")
+        passed = keep(probe_bloom(hashed.select("row", "hash"), "hash", bloom, blocks).filter("possible").select("row", "possible"), "possible-urls")
+        tested = lookup_join(hashed, passed, "row", "left", passed.count(), 32).drop("row", "hash")
+        tested = keep(tested.withColumn("possible", F.coalesce("possible", F.lit(False))), "tested-urls")
+    exact = lookup_join(tested.filter("possible"), keys, "key", "left", n, width)
     exact = exact.withColumn("listed", F.coalesce("listed", F.lit(False)))
     rest = tested.filter("not possible").withColumn("listed", F.lit(False))
     judged = exact.unionByName(rest).withColumn("rule", rule).withColumn("ruled", verdict)

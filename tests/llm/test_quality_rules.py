@@ -4,7 +4,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from staylens.llm.quality_rules import fences, judge, merge_sketches, sketch, text_counts
+from staylens.llm.quality_rules import RULES, blend, fences, group_fences, judge, merge_sketches, rate_buckets, sketch, text_counts
+from staylens.session import keep
 
 from .words import AWKWARD, awkward_docs
 
@@ -31,25 +32,72 @@ def test_counts_equal_brute_force(spark):
 
 
 def test_sketches_merge_and_give_quartiles(spark):
-    rows = spark.range(4000).selectExpr("id % 2 AS g", "0.1 AS symbol_share", "0.0 AS line_share", "exp(id / 1000.0) AS mean_chars")
-    names = ["symbol_share", "line_share", "mean_chars"]
-    whole = sketch(rows, names, ["g"])
-    parts = merge_sketches(sketch(rows.filter("id % 3 = 0") if "id" in rows.columns else rows.limit(0), names, ["g"]).union(whole), ["g"])
-    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
-    for r in fences(whole, ["g"]).collect():
-        q1, q3 = 2.718281828, 20.0855
-        low, high = q1 - 3 * (q3 - q1) - 2, q3 + 3 * (q3 - q1) + 2
-        assert abs(r.mean_chars_high / high - 1) < 0.1 and abs(r.mean_chars_low / low - 1) < 0.15 and r.size == 2000
-        assert r.line_share_high == 0.3
+    rows = spark.range(4000).selectExpr("id % 2 AS g", "0 AS _all", "id", "CAST(id % 100 AS INT) AS mean_chars", "CAST(id % 2 AS INT) AS line_ratio", "7 AS symbol_rate")
+    names = list(RULES)
+    whole = sketch(rows, names, ["_all", "g"])
+    parts = merge_sketches(sketch(rows.filter("id % 3 = 0"), names, ["_all", "g"]).union(sketch(rows.filter("id % 3 <> 0"), names, ["_all", "g"])), ["_all", "g"])
+    assert sorted(map(tuple, parts.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+    wider = merge_sketches(whole, ["_all"]).withColumn("total", F.lit(4000))
+    for r in fences(blend(whole, ["_all", "g"], wider, ["_all"]), ["g"]).collect():
+        # Quartiles of even or odd numbers below 100, give or take the blended texts.
+        assert abs(r.mean_chars_low - (25 - 2 * 50 - 1)) <= 6 and abs(r.mean_chars_high - (75 + 2 * 50 + 1)) <= 6
+        assert (r.symbol_rate_low, r.symbol_rate_high) == (6, 8)
+        assert (r.line_ratio_low, r.line_ratio_high) == (r.g - 1, r.g + 1)
+
+
+def test_small_groups_lean_on_their_language(spark):
+    """No border between sizes: a text more moves a quartile by a bucket at most, a limit by three."""
+    found = []
+    for size in (1, 20, 48, 49, 50, 51, 400):
+        rows = spark.createDataFrame([("en", "own", 40 + i % 3) for i in range(size)] + [("en", "wide", i % 20) for i in range(3000)], "_lang string, _source string, b int")
+        rows = rows.selectExpr("_lang", "_source", "b AS symbol_rate", "b AS line_ratio", "b AS mean_chars")
+        found.append(group_fences(rows).filter("_source = 'own'").first().mean_chars_low)
+    assert found[0] < 0 and found[-1] > 30
+    assert max(found[2:6]) - min(found[2:6]) <= 3
 
 
 def test_thresholds_follow_the_group(spark):
     text = "one two three four five six seven eight nine ten eleven twelve {}"
-    rows = [(i, text.format(i) + " ###" * 4, "en", "code") for i in range(60)]
-    rows += [(100 + i, text.format(i), "en", "news") for i in range(60)]
-    rows += [(200, text.format("x") + " ###" * 20, "en", "news"), (201, text.format("y") + " ###" * 4, "en", "code")]
+    rows = [(i, text.format(i) + " " + "#" * (12 + 3 * (i % 3)), "en", "code") for i in range(300)]
+    rows += [(1000 + i, text.format(i), "en", "news") for i in range(300)]
+    rows += [(2000, text.format("x") + " " + "#" * 15, "en", "news"), (2001, text.format("y") + " " + "#" * 15, "en", "code")]
     kept = {r.doc_id: r.kept for r in judge(spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")).collect()}
-    assert not kept[200] and kept[201] and all(kept[i] and kept[100 + i] for i in range(60))
+    assert not kept[2000] and kept[2001] and all(kept[i] and kept[1000 + i] for i in range(300))
+
+
+def test_groups_without_symbols_get_different_limits_and_boilerplate_goes(spark):
+    """Most texts have neither a symbol nor a repeated line, and still the limits differ."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(3, 8)))
+
+    def prose(lines, words):
+        return "\n".join(" ".join(word() for _ in range(words)) for _ in range(lines))
+
+    rows = [(i, prose(rng.randint(5, 9), 4), "en", "notes") for i in range(250)]
+    rows += [(1000 + i, prose(rng.randint(40, 90), 12), "en", "books") for i in range(250)]
+    menu = "\n".join(f"{a}\n{b}" for a, b in (("home page", "log in"), ("about us", "sign up")))
+    planted = "\n".join([menu] * 12) + "\n" + prose(6, 110)
+    rows += [(5000, planted, "en", "notes"), (5001, planted, "en", "books"), (5002, prose(6, 4) + " $$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$$", "en", "notes")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")
+    out = {r.doc_id: r for r in judge(docs).collect()}
+    assert not any(out[i].base_failed for i in (5000, 5001, 5002))
+    assert not out[5000].kept and not out[5001].kept and not out[5002].kept
+    assert sum(r.kept for i, r in out.items() if i < 5000) > 0.97 * 500
+    counts = text_counts(docs.select("doc_id", F.col("lang").alias("_lang"), F.col("source").alias("_source"), "text"), "text")
+    limits = {r["_source"]: r for r in group_fences(rate_buckets(keep(counts, "counts"))).collect()}
+    for name in ("symbol_rate_high", "line_ratio_high"):
+        assert limits["notes"][name] != limits["books"][name]
+
+
+def test_every_rule_has_limits_that_differ(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    named = docs.select("doc_id", F.col("lang").alias("_lang"), F.col("source").alias("_source"), "text")
+    rows = rate_buckets(keep(text_counts(named, "text"), "counts")).filter("n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words")
+    limits = keep(group_fences(rows), "limits")
+    assert all(limits.select(f"{n}_high").distinct().count() > 2 for n in RULES)
+    joined = rows.join(limits, ["_lang", "_source"])
+    assert joined.filter("symbol_rate > symbol_rate_high").count() > 500
+    assert joined.filter("mean_chars > mean_chars_high").count() > 0 and joined.filter("line_ratio > line_ratio_high").count() > 0
 
 
 def test_awkward_rows_and_empty_table(spark):

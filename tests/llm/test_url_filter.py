@@ -1,6 +1,10 @@
 from pyspark.sql import functions as F
 
-from staylens.llm.url_filter import block_count, build_bloom, canonical_url, filter_urls, probe_bloom, url_parts
+import pytest
+
+from staylens.llm import text as tx
+from staylens.llm.bloom import block_count, build_bloom, probe_bloom
+from staylens.llm.url_filter import canonical_url, filter_urls, marked_pages, url_parts
 
 URLS = [
     "http://WWW.Example.com/a/b.html?utm_source=x&b=2&a=1#top",
@@ -48,7 +52,9 @@ def test_bloom_never_misses_and_seldom_errs(spark):
     assert probe_bloom(others, "key", bloom, blocks).filter("possible").count() < 20000 * 0.03
 
 
-def test_list_is_exact_and_rows_are_whole(spark):
+@pytest.mark.parametrize("bound", [tx.BROADCAST_BYTES, 0])
+def test_list_is_exact_and_rows_are_whole(spark, monkeypatch, bound):
+    monkeypatch.setattr(tx, "BROADCAST_BYTES", bound)
     pages = spark.createDataFrame(
         [(1, "http://a.com/x?ref=1", "k"), (1, "http://a.com/x?ref=1", "k"), (2, "http://a.com/y", "k"), (None, "http://www.a.com/x/", "k"), (3, None, "k")],
         "page_id int, url string, key string",
@@ -59,3 +65,31 @@ def test_list_is_exact_and_rows_are_whole(spark):
     assert filter_urls(pages.limit(0), listed).count() == 0
     host, _, _ = url_parts(F.col("url"))
     assert pages.select(host).count() == 5
+
+
+@pytest.mark.parametrize("bound", [tx.BROADCAST_BYTES, 0])
+def test_other_addresses_of_marked_pages_are_caught(spark, monkeypatch, bound):
+    monkeypatch.setattr(tx, "BROADCAST_BYTES", bound)
+    pages = spark.createDataFrame(
+        [
+            (1, "http://plain.example.com/buy?ref=a", "<title>win $$$ now</title>"),
+            (2, "https://m.plain.example.com/buy/#top", "<title>other words</title>"),
+            (3, "https://plain.example.com:443/buy.html?utm_source=x", None),
+            (4, "https://plain.example.com/other", "<title>fine</title> $$$"),
+            (5, None, "<title>###</title>"),
+            (6, "https://casino.example.com/", "<title>fine</title>"),
+        ],
+        "page_id int, url string, html string",
+    ).selectExpr("*", "'z' AS host", "'z' AS rule", "'z' AS block", "'z' AS listed", "'z' AS hash", "'z' AS row")
+    rows = filter_urls(pages, marked_pages(pages)).collect()
+    assert {r.page_id: (r.listed, r.verdict) for r in rows} == {i: (i < 4, "block" if i < 4 else "allow") for i in range(1, 7)}
+
+
+def test_registered_list_reaches_hosts_without_a_mark(spark):
+    """On the given pages the list comes from titles, and some listed hosts hold unlisted pages too."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    rows = filter_urls(pages, marked_pages(pages)).cache()
+    listed = rows.filter("listed")
+    assert 0 < listed.count() < 0.5 * rows.count()
+    assert listed.join(rows.filter("not listed"), "host").count() > 0
+    rows.unpersist()
