@@ -11,8 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylens.plans.prepare import FEATURES
-from staylens.schemas import TARGET
+from staylens.schemas import FEATURES, TARGET
 
 # A variance below this share of the squared mean is rounding.
 CONSTANT = 1e-20

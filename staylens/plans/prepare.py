@@ -15,15 +15,12 @@ from pyspark.sql.types import StringType
 from staylens import functions as fn
 from staylens.operators.quantiles import column_medians
 from staylens.operators.split import group_split, model_columns
-from staylens.schemas import ID_COLUMNS, TARGET
+from staylens.schemas import FEATURES, ID_COLUMNS, PREPARED, TARGET
 from staylens.session import keep
 from staylens.settings import Settings
 
 log = logging.getLogger(__name__)
 
-PREPARED = "prepared"
-FEATURES = "features"
-
 
 def split_types(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str]]:
     """(numeric, categorical): text is categorical, everything else numeric."""

@@ -11,6 +11,8 @@ ADMISSION = "HADM_ID"
 STAY = "ICUSTAY_ID"
 TARGET = "LOS"
 ID_COLUMNS = [SUBJECT, ADMISSION, STAY]
+# Prepared outputs: one vector, or one array.
+FEATURES, PREPARED = "features", "prepared"
 
 RAW_TABLES: dict[str, str] = {
     "chartevents": (
