@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_PARTS = 300_000
+CACHE_PARTS = 200_000
 CACHED_CHARS = 48
 # Remembered moves over failure links.
 JUMPS = 500_000
@@ -142,24 +142,27 @@ class Coder:
         """Ids of the best scored segmentation; of equals, the longer last piece."""
         a = self.automaton
         moves, jumps, ends, single = a.moves, a.jumps, a.ends, self.single
-        best, came = [0.0], [(0, -1)]
+        # Where the best last piece starts and which it is, in typed arrays: a long
+        # unspaced part takes 16 bytes a character.
+        best, starts, numbers = array("d", [0.0]), array("i", [0]), array("i", [-1])
         state, lowest = 0, -np.inf
         for end, char in enumerate(text, 1):
             key = state << 21 | ord(char)
             state = moves.get(key) or jumps.get(key) or a.jump(key)
-            top, step = lowest, (end - 1, -1)
+            top, start, number = lowest, end - 1, -1
             if char not in single:
                 top = best[end - 1] + self.byte_score * len(char.encode())
             for size, score, piece in ends[state]:
                 value = best[end - size] + score
                 if value > top:
-                    top, step = value, (end - size, piece)
+                    top, start, number = value, end - size, piece
             best.append(top)
-            came.append(step)
+            starts.append(start)
+            numbers.append(number)
         ids: list[int] = []
         end = len(text)
         while end:
-            start, number = came[end]
+            start, number = starts[end], numbers[end]
             ids += [number] if number >= 0 else [self.byte_ids[b] for b in reversed(text[start:end].encode())]
             end = start
         return ids[::-1]
