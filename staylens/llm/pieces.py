@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_PARTS = 200_000
+CACHE_PARTS = 300_000
+LONG_PART = 10_000
 CACHED_CHARS = 48
 # Remembered moves over failure links.
 JUMPS = 500_000
@@ -142,9 +143,11 @@ class Coder:
         """Ids of the best scored segmentation; of equals, the longer last piece."""
         a = self.automaton
         moves, jumps, ends, single = a.moves, a.jumps, a.ends, self.single
-        # Where the best last piece starts and which it is, in typed arrays: a long
-        # unspaced part takes 16 bytes a character.
-        best, starts, numbers = array("d", [0.0]), array("i", [0]), array("i", [-1])
+        # Where the best last piece starts and which it is. Typed arrays keep a long
+        # unspaced part at 16 bytes a character; lists are faster for the short ones.
+        best, starts, numbers = [0.0], [0], [-1]
+        if len(text) > LONG_PART:
+            best, starts, numbers = array("d", best), array("i", starts), array("i", numbers)
         state, lowest = 0, -np.inf
         for end, char in enumerate(text, 1):
             key = state << 21 | ord(char)
