@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from staylens.operators.stays import context_features, stay_windows, unit_table
 from staylens.plans import features as ft
 from staylens.schemas import ADMISSION_CATEGORIES, ID_COLUMNS, RAW_TABLES, STAY, STAY_CATEGORIES, TARGET
 from staylens.session import new_path
-from staylens.settings import CHART, DRUG, INPUT, LAB, OUTPUT, Settings
+from staylens.settings import CHART, DRUG, GROUPS, INPUT, LAB, OUTPUT, Settings
 from staylens.sources import export_csv, load_projected, load_raw_tables, read_export
 from staylens.sources.sinks import replace_table, write_report
 
@@ -190,8 +192,18 @@ def target_histogram(spark, sf):
     return out.select("bin", F.round("bin_start", 6).alias("bin_start"), F.round("bin_end", 6).alias("bin_end"), "count")
 
 
+SWEEP_HOURS = [6, 12, 24, 48]
+EXPERIMENT_GROUPS = ["stays", "context", "labs", "5", "7", "inputs", "outputs", "9", "more"]
+
+
 def window_sweep(spark, sf):
-    runs = ft.sweep_features(standin_tables(spark, sf), ["5", "7"], [6, 12, 24, 48], [2, 25], Settings())
+    runs = ft.sweep_features(standin_tables(spark, sf), ["5", "7"], SWEEP_HOURS, [2, 25], Settings())
+    return ft.compare_sweep(spark, runs)
+
+
+def experiment_sweep(spark, sf):
+    """All table groups, windows and published limits, over more codes than these limits."""
+    runs = ft.sweep_features(standin_tables(spark, sf, "many"), EXPERIMENT_GROUPS, SWEEP_HOURS, [25, 50, 100], Settings())
     return ft.compare_sweep(spark, runs)
 
 
@@ -281,6 +293,7 @@ QUERIES = {
     "target_summary": target_summary,
     "target_histogram": target_histogram,
     "window_sweep": window_sweep,
+    "experiment_sweep": experiment_sweep,
     "load_typed": load_typed,
     "load_projected": load_projected_query,
     "export_features": export_features,
@@ -407,34 +420,77 @@ def _quality_more_sql():
     return q.cte(*parts) + body
 
 
-def _sweep_sql():
-    parts = _stay_parts(*q.FAMILY_TABLES["chart"], *q.FAMILY_TABLES["lab"])
-    selects = []
-    context_columns = len(CONTEXT_COLUMNS)
-    for h in (6, 12, 24, 48):
-        for f in ("chart", "lab"):
-            name, text = q.linked(f, h)[0]
-            parts.append((f"{f}_{h}", text))
-        for n in (2, 25):
-            for f, limit in (("chart", n), ("lab", 30)):
-                parts.append(
-                    (
-                        f"{f}_{h}_{n}",
-                        f"SELECT ITEMID, count(*) AS c FROM {f}_{h} GROUP BY ITEMID ORDER BY c DESC, ITEMID LIMIT {limit}",
-                    )
-                )
-            rows = f"""(SELECT count(*) FROM stays WHERE LOS IS NOT NULL AND ICUSTAY_ID IN
-  (SELECT ICUSTAY_ID FROM chart_{h} JOIN chart_{h}_{n} USING (ITEMID)))"""
-            codes = {f: f"(SELECT count(*) FROM {f}_{h}_{n})" for f in ("chart", "lab")}
-            used = {f: f"(SELECT sum(c) FROM {f}_{h}_{n})" for f in ("chart", "lab")}
-            for group, families in (("5", ["chart"]), ("7", ["chart", "lab"])):
-                total = " + ".join(codes[f] for f in families)
-                events = " + ".join(used[f] for f in families)
-                selects.append(
-                    f"""SELECT '{group}' AS table_group, {h} AS window_hours, {n} AS top_n, {rows} AS rows,
-  CAST({context_columns} + 6 * ({total}) AS BIGINT) AS columns, CAST({total} AS BIGINT) AS codes, CAST({events} AS BIGINT) AS events"""
-                )
-    return q.cte(*parts) + " UNION ALL ".join(selects)
+def _sweep_sql(groups, hours, tops):
+    """Every setting as a row of ``points``; cells, stays and checksums by joins with it."""
+    families = list(dict.fromkeys(f.name for g in groups for f in GROUPS[g].families))
+    parts = _stay_parts(*[t for f in families for t in q.FAMILY_TABLES[f]], "patients", "admissions") + q.context()
+    parts.append(("hours", f"SELECT unnest({hours}) AS h"))
+    cells, ranks = [], []
+    for f in families:
+        parts += q.linked(f, max(hours))
+        parts.append((f"{f}_at", f"SELECT w.h, l.* FROM {f}_linked l JOIN hours w ON l.EVENT_TIME <= l.INTIME + w.h * INTERVAL '1' HOUR"))
+        code, ranked = ("DRUG_NAME", "count_if(NAMED)") if f == "drug" else ("ITEMID", "count(*)")
+        code = q.DRUG_KEY if f == "drug" else code
+        columns = ", ".join(f"{q.STAT_SQL[s]} AS {s}" for s in q.STATS[f])
+        parts.append((f"{f}_stats", f"SELECT h, ICUSTAY_ID, {code} AS code, {columns}, {ranked} AS ranked FROM {f}_at GROUP BY ALL"))
+        cells += [f"SELECT '{f}' AS family, h, ICUSTAY_ID, CAST(code AS VARCHAR) AS code, '{s}' AS stat, CAST({s} AS DOUBLE) AS v FROM {f}_stats" for s in q.STATS[f]]
+        ranks.append(
+            f"""SELECT '{f}' AS family, h, CAST(code AS VARCHAR) AS code, CAST(sum(ranked) AS BIGINT) AS c,
+  row_number() OVER (PARTITION BY h ORDER BY sum(ranked) DESC, code) AS place FROM {f}_stats GROUP BY h, code HAVING sum(ranked) > 0"""
+        )
+    texts = {g: [*STAY_CATEGORIES] + (["GENDER", *ADMISSION_CATEGORIES] if GROUPS[g].context else []) for g in groups}
+    numbers = {g: ["LOS"] + (["AGE", "HAS_CHARTEVENTS_DATA", "ED_LOS_HOURS"] if GROUPS[g].context else []) for g in groups}
+    shape = ", ".join(f"('{g}', {n}, {GROUPS[g].needs_chart}, {3 + len(texts[g]) + len(numbers[g])})" for g in groups for n in tops)
+    points = ", ".join(
+        f"('{g}', {n}, '{f.name}', '{'' if f.name == 'drug' else GROUPS[g].prefix(f.name) + '_'}', {n if f.name == 'chart' else q.TOP_N[f.name]})"
+        for g in groups for n in tops for f in GROUPS[g].families
+    )
+    stats = ", ".join(f"('{f}', '{s}')" for f in families for s in q.STATS[f])
+    hashed = "CAST(('0x' || substr(md5({c}), 1, 4)) AS BIGINT)"
+    context = [
+        f"SELECT '{g}' AS g, ICUSTAY_ID, {_weight(c)} AS w, {value} AS v FROM context"
+        for g in groups
+        for c, value in [(c, f"CAST({hashed.format(c=c)} AS DOUBLE)") for c in texts[g]] + [(c, f"CAST({c} AS DOUBLE)") for c in numbers[g]]
+    ]
+    prime, offset = ft.CHECK_PRIME, ft.CHECK_OFFSET
+    cell = f"((CAST(floor(v * 1000 + {offset}) AS BIGINT) % {prime}) + {prime}) % {prime}"
+    parts += [
+        ("cells", " UNION ALL ".join(cells)),
+        ("ranked", " UNION ALL ".join(ranks)),
+        ("shape", f"SELECT * FROM (VALUES {shape}) t(g, n, anchored, context_columns)"),
+        ("points", f"SELECT * FROM (VALUES {points}) t(g, n, family, prefix, most)"),
+        ("chosen", "SELECT p.g, p.n, r.h, p.family, p.prefix, r.code, r.c FROM points p JOIN ranked r ON r.family = p.family AND r.place <= p.most"),
+        ("chosen_stats", f"SELECT c.*, s.stat, {hashed.format(c='concat(c.prefix, c.code, chr(95), s.stat)')} AS w FROM chosen c JOIN (VALUES {stats}) s(family, stat) USING (family)"),
+        ("anchors", "SELECT DISTINCT c.g, c.n, c.h, x.ICUSTAY_ID FROM chosen c JOIN cells x USING (family, h, code) WHERE c.family = 'chart'"),
+        (
+            "kept",
+            """SELECT s.g, s.n, w.h, c.ICUSTAY_ID FROM shape s CROSS JOIN hours w CROSS JOIN context c WHERE NOT s.anchored
+UNION ALL SELECT a.g, a.n, a.h, a.ICUSTAY_ID FROM anchors a JOIN shape s ON s.g = a.g AND s.n = a.n AND s.anchored SEMI JOIN context c ON c.ICUSTAY_ID = a.ICUSTAY_ID""",
+        ),
+        ("context_cells", " UNION ALL ".join(context)),
+        (
+            "weighed",
+            f"""SELECT k.g, k.n, k.h, k.ICUSTAY_ID, ({cell}) * w AS x FROM kept k JOIN context_cells c ON c.g = k.g AND c.ICUSTAY_ID = k.ICUSTAY_ID WHERE v IS NOT NULL
+UNION ALL SELECT k.g, k.n, k.h, k.ICUSTAY_ID, ({cell}) * w FROM chosen_stats c JOIN cells x USING (family, h, code, stat)
+JOIN kept k ON k.g = c.g AND k.n = c.n AND k.h = c.h AND k.ICUSTAY_ID = x.ICUSTAY_ID WHERE v IS NOT NULL""",
+        ),
+        ("stay_sums", f"SELECT g, n, h, ICUSTAY_ID, count(*) AS cells, (sum(x) * (ICUSTAY_ID % 1009 + 1)) % {prime} AS x FROM weighed GROUP BY g, n, h, ICUSTAY_ID"),
+        ("sums", "SELECT g, n, h, sum(cells) AS cells, sum(x) AS checksum FROM stay_sums GROUP BY g, n, h"),
+        ("sizes", "SELECT g, n, h, count(*) AS rows FROM kept GROUP BY g, n, h"),
+        ("codes", "SELECT g, n, h, count(*) AS codes, sum(c) AS events FROM chosen GROUP BY g, n, h"),
+        ("widths", "SELECT g, n, h, count(*) AS columns FROM chosen_stats GROUP BY g, n, h"),
+        ("blanks", "SELECT p.g, p.n, w.h, count(*) AS columns FROM points p CROSS JOIN hours w ANTI JOIN chosen c ON c.g = p.g AND c.n = p.n AND c.h = w.h AND c.family = p.family GROUP BY p.g, p.n, w.h"),
+    ]
+    whole = lambda e, name: f"CAST(coalesce({e}, 0) AS BIGINT) AS {name}"
+    return q.cte(*parts) + f"""SELECT s.g AS table_group, w.h AS window_hours, s.n AS top_n, {whole('z.rows', 'rows')},
+  {whole('s.context_columns + coalesce(d.columns, 0) + coalesce(b.columns, 0)', 'columns')}, {whole('o.codes', 'codes')}, {whole('o.events', 'events')},
+  {whole('m.cells', 'cells')}, {whole('m.checksum', 'checksum')}
+FROM shape s CROSS JOIN hours w LEFT JOIN sizes z ON (z.g, z.n, z.h) = (s.g, s.n, w.h) LEFT JOIN codes o ON (o.g, o.n, o.h) = (s.g, s.n, w.h)
+LEFT JOIN widths d ON (d.g, d.n, d.h) = (s.g, s.n, w.h) LEFT JOIN blanks b ON (b.g, b.n, b.h) = (s.g, s.n, w.h) LEFT JOIN sums m ON (m.g, m.n, m.h) = (s.g, s.n, w.h)"""
+
+
+def _weight(column):
+    return int(hashlib.md5(column.encode()).hexdigest()[:4], 16)
 
 
 def _pivot_sql():
@@ -529,7 +585,7 @@ def oracles() -> dict[str, str]:
         )
         + """SELECT CAST(i AS INT) AS bin, round(lo + i * w, 6) AS bin_start, round(lo + (i + 1) * w, 6) AS bin_end, coalesce(n, 0) AS count
 FROM range(40) r(i) CROSS JOIN edge LEFT JOIN hit ON hit.bin = r.i""",
-        "window_sweep": _sweep_sql(),
+        "window_sweep": _sweep_sql(["5", "7"], SWEEP_HOURS, [2, 25]),
         "load_typed": _load_typed_sql(),
         "load_projected": q.cte(*q.standin("admissions"))
         + f"SELECT SUBJECT_ID, HADM_ID, ADMISSION_TYPE, {q.category('INSURANCE', 'strip')} AS INSURANCE FROM admissions",
@@ -557,4 +613,5 @@ FROM range(40) r(i) CROSS JOIN edge LEFT JOIN hit ON hit.bin = r.i""",
         out[f"features_{group}_cut"] = _many(_cells_sql(group))
     for key, family in (("top_codes_cut", "chart"), ("top_outputs_cut", "output"), ("top_inputs_cut", "input")):
         out[key] = _many(_top_sql(family))
+    out["experiment_sweep"] = _many(_sweep_sql(EXPERIMENT_GROUPS, SWEEP_HOURS, [25, 50, 100]))
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
 
@@ -14,13 +15,16 @@ from staylens.operators import selection as sel
 from staylens.operators.pivot import Feature, empty_family, pivot_features
 from staylens.operators.quality import quality_base, quality_group
 from staylens.operators.stays import StayWindows, assert_unique, context_features, stay_windows, unit_table
-from staylens.schemas import ADMISSION, STAY, SUBJECT
+from staylens.schemas import ADMISSION, ID_COLUMNS, STAY, SUBJECT
 from staylens.session import keep
-from staylens.settings import GROUPS, Family, Settings, TableGroup
+from staylens.settings import FAMILIES, GROUPS, Family, Settings, TableGroup
 from staylens.sources.sinks import export_csv, replace_table, write_report
 
 ALL_STATS = ("mean", "min", "max", "std", "sum", "count", "last")
 MICROS_PER_HOUR = 3_600_000_000
+CHART_RANK = "_chart_rank"
+CHECK_PRIME = 1_000_003
+CHECK_OFFSET = 0.2371
 UNIQUE_KEYS = {"icustays": [STAY], "patients": [SUBJECT], "admissions": [SUBJECT, ADMISSION]}
 
 
@@ -62,6 +66,11 @@ def _long_form(stats: DataFrame, family: Family, extra: tuple[str, ...] = ()) ->
     )
 
 
+def _no_statistics(spark: SparkSession) -> DataFrame:
+    stats = ", ".join(f"{s} {'bigint' if s == 'count' else 'double'}" for s in ALL_STATS)
+    return spark.createDataFrame([], f"family string, {STAY} bigint, code string, {stats}, ranked bigint")
+
+
 def family_statistics(
     tables: Mapping[str, DataFrame], family: Family, windows: StayWindows, settings: Settings
 ) -> DataFrame:
@@ -81,6 +90,8 @@ def long_statistics(
     the reports all continue from this table, which is orders of magnitude
     smaller than the events.
     """
+    if not group.families:
+        return _no_statistics(windows.df.sparkSession)
     parts = [family_statistics(tables, f, windows, settings) for f in group.families]
     union = parts[0]
     for part in parts[1:]:
@@ -92,6 +103,8 @@ def select_features(
     long: DataFrame, group: TableGroup, settings: Settings
 ) -> tuple[list[Feature], dict[tuple[str, str], int]]:
     """The chosen codes, at most the sum of all top-N limits, and their counts."""
+    if not group.families:
+        return [], {}
     ranked = sel.rank_codes(long, {f.name: settings.top_n(f.name) for f in group.families}).collect()
     families = {f.name: f for f in group.families}
     ranked.sort(key=lambda r: ([f.name for f in group.families].index(r["family"]), r["rank"]))
@@ -118,7 +131,8 @@ def assemble(
             # A test over the pivoted columns would make the optimizer try all
             # combinations of their aliases; the long rows say the same.
             anchors = long.filter((F.col("family") == "chart") & F.col("code").isin([f.code for f in chart]))
-            context = context.join(anchors.select(STAY).distinct(), STAY, "left_semi")
+            order = context.columns
+            context = context.join(anchors.select(STAY).distinct(), STAY, "left_semi").select(*order)
         kind = "inner" if group.needs_chart else "left"
         out = context.join(wide, context[STAY] == wide["_stay"], kind).drop("_stay")
     else:
@@ -128,6 +142,14 @@ def assemble(
     return out.select("*", *[empty_family(name) for name in empty])
 
 
+def group_context(
+    tables: Mapping[str, DataFrame], stays: DataFrame, group: TableGroup, settings: Settings
+) -> DataFrame:
+    """Stays with a target and the context the group asks for."""
+    patients, admissions = (tables.get(t) if t in group.context else None for t in ("patients", "admissions"))
+    return context_features(stays, patients, admissions, settings.age_mode, settings.category_mode)
+
+
 def build_features(
     tables: Mapping[str, DataFrame],
     group: str | TableGroup = "5",
@@ -157,10 +179,7 @@ def build_features(
             make_feature(group, f, str(code)) for f in group.families for code in codes.get(f.name, [])
         ]
         counts = {}
-    context = context_features(
-        stays, tables.get("patients"), tables.get("admissions"), settings.age_mode, settings.category_mode
-    )
-    features = assemble(context, long, group, selected, settings.exclude)
+    features = assemble(group_context(tables, stays, group, settings), long, group, selected, settings.exclude)
     return FeatureRun(group, settings, features, long, selected, counts, windows, stays)
 
 
@@ -247,62 +266,153 @@ def sweep_statistics(
     return _long_form(stats, family, ("window_hours",))
 
 
+def _widest(long: DataFrame, ranked: list[Feature], label: str) -> DataFrame:
+    """All selected statistics of one window, a row per stay, written once.
+
+    ``_chart_rank`` is the best rank among the chart codes a stay has, so that a
+    smaller top-N keeps its stays by a comparison.
+    """
+    chart = [f.code for f in ranked if f.family == "chart"]
+    wide = pivot_features(long, ranked)
+    if chart:
+        place = F.create_map(*[F.lit(x) for pair in zip(chart, range(1, len(chart) + 1)) for x in pair])
+        of_chart = long.filter((F.col("family") == "chart") & F.col("code").isin(chart))
+        best = of_chart.groupBy(STAY).agg(F.min(place[F.col("code")]).alias(CHART_RANK))
+        wide = wide.join(best, STAY, "left")
+    else:
+        wide = wide.withColumn(CHART_RANK, F.lit(None).cast("int"))
+    return keep(wide.withColumnRenamed(STAY, "_stay"), label)
+
+
+def _from_widest(
+    context: DataFrame, wide: DataFrame, group: TableGroup, chosen: list[tuple[Feature, Feature]], top_n: int, exclude: Iterable[str]
+) -> DataFrame:
+    """What ``assemble`` gives, read from the columns of the widest table.
+
+    ``chosen`` pairs each feature of the group with its name in ``wide``.
+    """
+    context = context.drop(*exclude)
+    if chosen:
+        part = wide.filter(F.col(CHART_RANK) <= top_n) if group.needs_chart else wide
+        columns = [
+            f"{fn.sql_name(f'{stored.stem}_{s}')} AS {fn.sql_name(f'{own.stem}_{s}')}"
+            for own, stored in chosen
+            for s in ALL_STATS
+            if s in own.stats
+        ]
+        kind = "inner" if group.needs_chart else "left"
+        # Text, since hundreds of column objects take seconds to build.
+        out = context.join(part.selectExpr("_stay", *columns), context[STAY] == F.col("_stay"), kind).drop("_stay")
+    else:
+        out = context.filter(F.lit(not group.needs_chart))
+    filled = {own.family for own, _ in chosen}
+    empty = [f.name for f in group.families if f.name not in filled]
+    return out.select("*", *[empty_family(name) for name in empty]) if empty else out
+
+
 def sweep_features(
     tables: Mapping[str, DataFrame],
-    groups: list[str],
+    groups: Iterable[str | TableGroup],
     hours: list[int],
     top_ns: list[int],
     settings: Settings = Settings(),
 ) -> dict[SweepSetting, FeatureRun]:
     """One feature run per (table group, window, top-N), events read once each.
 
+    ``groups`` are names or own table groups, also such without families.
     ``top_ns`` limits the chart codes; the other families keep their own limit.
+    Each window is pivoted once, with the codes of all groups and the largest
+    top-N; a setting reads its columns of that table. Settings that come to the
+    same table share it.
     """
-    families = {f.name: f for g in groups for f in GROUPS[g].families}
+    groups = [GROUPS[g] if isinstance(g, str) else g for g in groups]
+    used = {f.name: f for g in groups for f in g.families}
+    everything = TableGroup("sweep", 0, tuple(f for f in FAMILIES.values() if f.name in used), False)
     stays = unit_table(tables["icustays"], settings.category_mode)
-    context = context_features(
-        stays, tables.get("patients"), tables.get("admissions"), settings.age_mode, settings.category_mode
-    )
-    merged = {
-        name: keep(sweep_statistics(tables, family, hours, settings), f"sweep-{name}", partition_by="window_hours")
-        for name, family in families.items()
-    }
+    contexts: dict[tuple[str, ...], DataFrame] = {}
+    for group in groups:
+        if group.context not in contexts:
+            contexts[group.context] = keep(group_context(tables, stays, group, settings), "sweep-context")
+    merged = [
+        keep(sweep_statistics(tables, family, hours, settings), f"sweep-{family.name}", partition_by="window_hours")
+        for family in everything.families
+    ]
     runs: dict[SweepSetting, FeatureRun] = {}
     for h in hours:
         windows = stay_windows(stays, h)
-        at = {name: df.filter(F.col("window_hours") == h).drop("window_hours") for name, df in merged.items()}
-        for g in groups:
-            group = GROUPS[g]
-            long = at[group.families[0].name]
-            for family in group.families[1:]:
-                long = long.unionByName(at[family.name])
-            widest = replace(settings, window_hours=h, top_n_chart=max(top_ns))
-            ranked, all_counts = select_features(long, group, widest)
+        widest = replace(settings, window_hours=h, top_n_chart=max(top_ns))
+        long = _no_statistics(stays.sparkSession)
+        for df in merged:
+            long = long.unionByName(df.filter(F.col("window_hours") == h).drop("window_hours"))
+        ranked, all_counts = select_features(long, everything, widest)
+        wide = _widest(long, ranked, f"sweep-wide-{h}") if ranked else None
+        for group in groups:
+            own_long = long.filter(F.col("family").isin([f.name for f in group.families]))
+            made: dict[int, DataFrame] = {}
             for n in top_ns:
                 # A smaller top-N is a prefix of the ranking made for the largest.
                 point = replace(widest, top_n_chart=n)
-                chart = [f for f in ranked if f.family == "chart"][:n]
-                selected = [f for f in ranked if f.family != "chart" or f in chart]
+                chosen = []
+                for family in group.families:
+                    stored = [f for f in ranked if f.family == family.name][: point.top_n(family.name)]
+                    chosen += [(make_feature(group, family, f.code), f) for f in stored]
+                selected = [own for own, _ in chosen]
+                if len(chosen) not in made:
+                    made[len(chosen)] = _from_widest(contexts[group.context], wide, group, chosen, n, point.exclude)
                 counts = {(f.family, f.code): all_counts[f.family, f.code] for f in selected}
-                features = assemble(context, long, group, selected, point.exclude)
-                runs[SweepSetting(g, h, n)] = FeatureRun(
-                    group, point, features, long, selected, counts, windows, stays
+                runs[SweepSetting(group.name, h, n)] = FeatureRun(
+                    group, point, made[len(chosen)], own_long, selected, counts, windows, stays
                 )
     return runs
 
 
+def _column_weight(column: str) -> int:
+    return int(hashlib.md5(column.encode()).hexdigest()[:4], 16)
+
+
+def feature_checksum(features: DataFrame) -> DataFrame:
+    """Rows, filled cells and a checksum that depends on every cell but not on row order.
+
+    A number counts with its thousandths (the offset keeps sums of decimals off
+    the edge, so the order of additions does not matter), a text with its hash;
+    cells are weighted by column name and stay.
+    """
+    texts = [c for c, kind in features.dtypes if kind == "string"]
+    numbers = [c for c in features.columns if c not in (*ID_COLUMNS, *texts)]
+    cells = [f"CAST(conv(substr(md5({fn.sql_name(c)}), 1, 4), 16, 10) AS DOUBLE)" for c in texts]
+    cells += [f"CAST({fn.sql_name(c)} AS DOUBLE)" for c in numbers]
+    weights = ", ".join(f"{_column_weight(c)}L" for c in texts + numbers)
+    per_row = features.select(F.col(STAY).alias("stay"), F.expr(f"array({', '.join(cells)})").alias("cells"))
+    weighted = f"""aggregate(zip_with(cells, array({weights}),
+        (v, w) -> coalesce(pmod(floor(v * 1000 + {CHECK_OFFSET}D), {CHECK_PRIME}L) * w, 0L)), 0L, (a, x) -> a + x)"""
+    return per_row.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.size(F.filter("cells", F.isnotnull))), F.lit(0)).cast("bigint").alias("cells"),
+        F.coalesce(F.sum(F.expr(f"pmod({weighted} * (pmod(stay, 1009L) + 1), {CHECK_PRIME}L)")), F.lit(0)).cast("bigint").alias("checksum"),
+    )
+
+
 def compare_sweep(spark: SparkSession, runs: Mapping[SweepSetting, FeatureRun]) -> DataFrame:
-    """One line per setting: rows, feature columns, selected codes, events used."""
-    lines = None
+    """One line per setting: rows, columns, selected codes, events used, cells and checksum.
+
+    Settings that share a table are computed together.
+    """
+    shared: dict[int, list[SweepSetting]] = {}
     for setting, run in runs.items():
-        line = run.features.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(setting.group).alias("table_group"),
-            F.lit(setting.window_hours).alias("window_hours"),
-            F.lit(setting.top_n).alias("top_n"),
+        shared.setdefault(id(run.features), []).append(setting)
+    lines = None
+    for settings in shared.values():
+        run = runs[settings[0]]
+        line = feature_checksum(run.features).select(
+            F.lit(settings[0].group).alias("table_group"),
+            F.lit(settings[0].window_hours).alias("window_hours"),
+            F.explode(F.array(*[F.lit(s.top_n) for s in settings])).alias("top_n"),
             "rows",
             F.lit(len(run.features.columns)).cast("bigint").alias("columns"),
             F.lit(len(run.selected)).cast("bigint").alias("codes"),
             F.lit(sum(run.counts.values())).cast("bigint").alias("events"),
+            "cells",
+            "checksum",
         )
         lines = line if lines is None else lines.unionByName(line)
     return lines

@@ -99,13 +99,18 @@ FAMILIES = {f.name: f for f in (CHART, LAB, OUTPUT, INPUT, DRUG)}
 
 @dataclass(frozen=True)
 class TableGroup:
-    """A feature table: its families in column order and which stays it keeps."""
+    """A feature table: its families in column order and which stays it keeps.
+
+    ``context`` names the dimensions joined to the stays. Without families the
+    table holds context only.
+    """
 
     name: str
     tables: int
     families: tuple[Family, ...]
     needs_chart: bool
     chart_prefix: str = "chart"
+    context: tuple[str, ...] = ("patients", "admissions")
 
     def prefix(self, family: str) -> str:
         return self.chart_prefix if family == "chart" else family
@@ -118,5 +123,11 @@ GROUPS = {
         TableGroup("7", 7, (CHART, LAB), True),
         TableGroup("9", 9, (CHART, LAB, OUTPUT, DRUG), True),
         TableGroup("more", 11, (CHART, LAB, OUTPUT, INPUT, DRUG), False),
+        # Steps of the table experiments that have no published feature table.
+        TableGroup("stays", 1, (), False, context=()),
+        TableGroup("context", 3, (), False),
+        TableGroup("labs", 5, (LAB,), False),
+        TableGroup("inputs", 9, (CHART, LAB, INPUT), True),
+        TableGroup("outputs", 10, (CHART, LAB, INPUT, OUTPUT), True),
     )
 }

@@ -3,7 +3,7 @@ from conftest import at
 
 from staylens.operators import quality as ql
 from staylens.plans import features as ft
-from staylens.settings import Settings, JoinLimits
+from staylens.settings import CHART, LAB, OUTPUT, JoinLimits, Settings, TableGroup
 
 
 @pytest.fixture(scope="module")
@@ -73,16 +73,43 @@ def test_shuffled_join_gives_the_same_table(tables):
     assert small.columns == big.columns and small.exceptAll(big).count() == 0 and big.count() == small.count()
 
 
+def test_groups_without_families_hold_context_only(tables):
+    stays = ft.build_features(tables, "stays")
+    assert stays.selected == [] and sorted(rows_by_stay(stays)) == [11, 12, 21]
+    assert not {"GENDER", "AGE", "INSURANCE"} & set(stays.features.columns)
+    report = {r["metric"]: r["value"] for r in ql.quality_group(stays).collect()}
+    assert report == {"window_hours": 24.0, "preprocessed_rows": 3.0}
+    labs = rows_by_stay(ft.build_features(tables, "labs"))
+    assert sorted(labs) == [11, 12, 21] and labs[21]["lab_90_mean"] == 2.5
+
+
 def test_sweep_equals_single_runs(spark, tables):
-    runs = ft.sweep_features(tables, ["5", "9"], [2, 24], [1, 25], Settings())
-    assert len(runs) == 8
+    own = TableGroup("own", 6, (OUTPUT, LAB, CHART), False, "vital")
+    groups = ["stays", "context", "labs", "5", "9", "inputs", own]
+    runs = ft.sweep_features(tables, groups, [2, 24], [1, 25], Settings())
+    assert len(runs) == 28
+    lines = {(r["table_group"], r["window_hours"], r["top_n"]): r for r in ft.compare_sweep(spark, runs).collect()}
+    assert len(lines) == 28
     for setting, run in runs.items():
-        single = ft.build_features(tables, setting.group, Settings(window_hours=setting.window_hours, top_n_chart=setting.top_n))
+        group = own if setting.group == "own" else setting.group
+        single = ft.build_features(tables, group, Settings(window_hours=setting.window_hours, top_n_chart=setting.top_n))
         assert run.features.columns == single.features.columns, setting
-        assert run.counts == single.counts
+        assert run.features.dtypes == single.features.dtypes, setting
+        assert run.selected == single.selected and run.counts == single.counts
         assert run.features.exceptAll(single.features).count() == 0
-        assert run.features.count() == single.features.count()
-    assert ft.compare_sweep(spark, runs).count() == 8
+        line = lines[setting.group, setting.window_hours, setting.top_n]
+        checked = ft.feature_checksum(single.features).first()
+        assert (line["rows"], line["cells"], line["checksum"]) == (single.features.count(), checked["cells"], checked["checksum"])
+
+
+def test_checksum_sees_cells_not_order(spark):
+    df = spark.createDataFrame([(1, 2.5, "a"), (2, None, "b"), (3, -1.25, None)], "ICUSTAY_ID bigint, x double, t string")
+    base = ft.feature_checksum(df).first()
+    assert (base["rows"], base["cells"]) == (3, 4)
+    assert ft.feature_checksum(df.orderBy("x").select("t", "x", "ICUSTAY_ID")).first() == base
+    others = [df.withColumnRenamed("x", "y"), df.withColumn("x", df.x + 0.01), df.withColumn("ICUSTAY_ID", df.ICUSTAY_ID + 1), df.replace("a", "c")]
+    assert all(ft.feature_checksum(other).first()["checksum"] != base["checksum"] for other in others)
+    assert ft.feature_checksum(df.filter("false")).first().asDict() == {"rows": 0, "cells": 0, "checksum": 0}
 
 
 def test_quality_counts_reconcile(tables):
