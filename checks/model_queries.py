@@ -57,6 +57,16 @@ def group_kfold(spark, sf):
     return sp.fold_preview(train)
 
 
+def exact_split(spark, sf):
+    train, test = sp.exact_group_split(keep(_features(spark, sf), "features"))
+    side = lambda df, name: df.select(*ID_COLUMNS, F.lit(name).alias("side"))
+    return side(train, "train").unionByName(side(test, "test"))
+
+
+def balanced_folds(spark, sf):
+    return sp.fold_preview(keep(_features(spark, sf), "features"), balanced=True)
+
+
 def audit(spark, sf):
     return ql.audit(*sp.group_split(keep(_features(spark, sf), "features")))
 
@@ -373,6 +383,8 @@ QUERIES = {
     "group_split": group_split,
     "leakage_check": leakage_check,
     "group_kfold": group_kfold,
+    "exact_split": exact_split,
+    "balanced_folds": balanced_folds,
     "audit": audit,
     "impute_median": impute_median,
     "standard_scale": standard_scale,
@@ -430,6 +442,21 @@ def _each(template, columns):
     return " UNION ALL ".join(template.replace("{c}", c) for c in columns)
 
 
+def _balanced_sql(sides):
+    """Patients dealt one by one, the largest first, each to the lightest fold."""
+    sizes = """SELECT row_number() OVER (ORDER BY stays DESC, SUBJECT_ID) AS place, stays
+FROM (SELECT SUBJECT_ID, count(*) AS stays FROM final_features GROUP BY SUBJECT_ID)"""
+    lightest = "list_position(loads, list_min(loads))"
+    add = "list_transform({loads}, lambda x, k: CASE WHEN k = " + lightest + " THEN x + {more} ELSE x END)"
+    zeros = "CAST([0, 0, 0, 0, 0] AS BIGINT[])"
+    dealt = f"""SELECT CAST(0 AS BIGINT) AS place, {zeros} AS loads, {zeros} AS people UNION ALL
+SELECT s.place, {add.format(loads='loads', more='s.stays')}, {add.format(loads='people', more='1')} FROM dealt d JOIN sizes s ON s.place = d.place + 1"""
+    parts = q.cte(*sides, ("sizes", sizes), ("dealt", dealt), ("dealt_last", "SELECT * FROM dealt WHERE place = (SELECT max(place) FROM dealt)"))
+    last = "SELECT unnest(range(5)) AS fold, unnest(loads) AS n, unnest(people) AS people FROM dealt_last"
+    return parts.replace("WITH ", "WITH RECURSIVE ", 1) + f"""SELECT CAST(fold AS INT) AS fold, CAST(sum(n) OVER () - n AS BIGINT) AS train_rows, CAST(n AS BIGINT) AS valid_rows,
+  CAST(sum(people) OVER () - people AS BIGINT) AS train_subjects, CAST(people AS BIGINT) AS valid_subjects, CAST(0 AS BIGINT) AS subject_overlap FROM ({last})"""
+
+
 def _audit_sql():
     width = len(fq.CONTEXT_COLUMNS) + len(fq.ITEM_COLUMNS)
     missing = " + ".join(f"count_if({c} IS NULL)" for c in fq.CONTEXT_COLUMNS + fq.ITEM_COLUMNS)
@@ -640,6 +667,10 @@ FROM (SELECT DISTINCT fold FROM folded) f CROSS JOIN folded t GROUP BY f.fold"""
 FROM (SELECT CAST(coalesce({c}, (SELECT median({c}) FROM train)) AS DOUBLE) AS v FROM train)""",
             NUMERIC,
         ),
+        "exact_split": q.cte(*sides, ("drawn", f"SELECT SUBJECT_ID, row_number() OVER (ORDER BY {HASH.format(salt='42')}, CAST(SUBJECT_ID AS VARCHAR)) AS place FROM (SELECT DISTINCT SUBJECT_ID FROM final_features)"))
+        + """SELECT f.SUBJECT_ID, f.HADM_ID, f.ICUSTAY_ID, CASE WHEN d.place <= ceil(round(0.2 * (SELECT count(*) FROM drawn), 9)) THEN 'test' ELSE 'train' END AS side
+FROM final_features f JOIN drawn d USING (SUBJECT_ID)""",
+        "balanced_folds": _balanced_sql(sides),
         "impute_mode": q.cte(*sides) + _each(mode, CATEGORICAL),
         "one_hot": q.cte(*sides) + _each(hot, CATEGORICAL),
         "prepare": _prepare_sql(),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from staylens import functions as fn
 from staylens.operators.joins import null_safe_join
 from staylens.operators.quantiles import exact_quantiles
-from staylens.operators.split import FOLD, with_folds
+from staylens.operators.split import FOLD, with_balanced_folds, with_folds
 from staylens.plans.models import PREDICTION, ModelSpec
 from staylens.plans.artifacts import publish
 from staylens.plans.linear import LinearModel
@@ -72,7 +72,7 @@ def _at_once(spark: SparkSession, tasks: list[Callable], parallelism: int) -> li
 
 
 def cross_validate(
-    train: DataFrame, models: list[ModelSpec], folds: int = 5, seed: int = 42, parallelism: int = 4
+    train: DataFrame, models: list[ModelSpec], folds: int = 5, seed: int = 42, parallelism: int = 4, balanced: bool = False
 ) -> tuple[DataFrame, dict[str, float]]:
     """Out-of-fold predictions of every model, and seconds spent per model.
 
@@ -80,7 +80,7 @@ def cross_validate(
     fit is a distributed job. The narrow predictions are written as they are
     made, so scoring a fold does not repeat when metrics are computed.
     """
-    data = with_folds(train, folds, seed)
+    data = (with_balanced_folds if balanced else with_folds)(train, folds, seed)
 
     def scored(spec: ModelSpec, model, fold: int) -> DataFrame:
         rows = predict(model, data.filter(F.col(FOLD) == fold))
@@ -119,9 +119,13 @@ def cv_benchmark(
     seed: int = 42,
     rows: int | None = None,
     parallelism: int = 4,
+    balanced: bool = False,
 ) -> DataFrame:
-    """Mean and deviation of the fold metrics per model, best MAE first."""
-    predictions, seconds = cross_validate(train, models, folds, seed, parallelism)
+    """Mean and deviation of the fold metrics per model, best MAE first.
+
+    ``balanced`` gives the folds equally many rows instead of hashing the patients.
+    """
+    predictions, seconds = cross_validate(train, models, folds, seed, parallelism, balanced)
     rows = train.count() if rows is None else rows
     per_fold = regression_metrics(predictions, ["model", FOLD], rows)
     took = F.create_map(*[F.lit(x) for pair in seconds.items() for x in pair])

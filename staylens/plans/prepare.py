@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 
 from staylens import functions as fn
 from staylens.operators.quantiles import column_medians
-from staylens.operators.split import group_split, model_columns
+from staylens.operators.split import exact_group_split, group_split, model_columns
 from staylens.schemas import FEATURES, ID_COLUMNS, PREPARED, TARGET
 from staylens.session import keep
 from staylens.settings import Settings
@@ -201,7 +201,8 @@ def prepare(features: DataFrame, settings: Settings = Settings(), path: str | No
     prepared sets and the fitted preparation are kept there.
     """
     features = keep(features, "features")
-    train, test = group_split(features, settings.test_size, settings.seed)
+    split = exact_group_split if settings.exact_split else group_split
+    train, test = split(features, settings.test_size, settings.seed)
     preparation = fit_preparation(train, settings.exclude)
     out = {"train": preparation.transform(train), "test": preparation.transform(test)}
     for name, df in out.items():

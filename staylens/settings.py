@@ -33,6 +33,8 @@ class Settings:
     test_size: float = 0.2
     seed: int = 42
     folds: int = 5
+    # Exactly the share of patients instead of a share up to sampling error.
+    exact_split: bool = False
     limits: JoinLimits = field(default_factory=JoinLimits)
 
     def top_n(self, family: str) -> int:

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -9,6 +11,7 @@ from staylens.operators import quality as ql
 from staylens.plans import evaluate as em
 from staylens.plans import models as md
 from staylens.plans import prepare as pp
+from staylens.settings import JoinLimits, Settings
 
 IDS = "SUBJECT_ID bigint, HADM_ID bigint, ICUSTAY_ID bigint, LOS double"
 
@@ -56,6 +59,65 @@ def test_folds_are_disjoint(spark):
     assert all(r["subject_overlap"] == 0 and r["train_rows"] + r["valid_rows"] == 300 for r in rows)
 
 
+def test_exact_split_takes_the_share_of_patients(spark):
+    df = sample(spark)
+    for size, wanted in ((0.2, 18), (0.25, 23), (0.0, 0), (1.0, 90)):
+        train, test = sp.exact_group_split(df, size)
+        ids = [{r[0] for r in side.select("SUBJECT_ID").distinct().collect()} for side in (train, test)]
+        assert len(ids[1]) == wanted and not ids[0] & ids[1] and train.count() + test.count() == 300
+    nulls = df.withColumn("SUBJECT_ID", F.when(F.col("SUBJECT_ID") > 4, F.col("SUBJECT_ID")))
+    train, test = sp.exact_group_split(nulls, 0.5)
+    assert train.count() + test.count() == 300 and test.select("SUBJECT_ID").distinct().count() == 43
+    assert not {r[0] for r in train.select("SUBJECT_ID").collect()} & {r[0] for r in test.select("SUBJECT_ID").collect()}
+    assert [side.count() for side in sp.exact_group_split(df.filter("false"))] == [0, 0]
+
+
+def one_by_one(classes, folds):
+    loads, shares = [0] * folds, {size: [0] * folds for size in classes}
+    for size in sorted(classes, reverse=True):
+        for _ in range(classes[size]):
+            lightest = loads.index(min(loads))
+            loads[lightest] += size
+            shares[size][lightest] += 1
+    return shares
+
+
+def test_classes_are_dealt_as_one_by_one():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        classes = {int(s): int(n) for s, n in zip(rng.integers(1, 60, 4), rng.integers(1, 40, 4))}
+        folds = int(rng.integers(1, 7))
+        assert sp.deal_classes(classes, folds) == one_by_one(classes, folds)
+    assert [sum(s) for s in sp.deal_classes({10**9: 1, 1: 10**9}, 3).values()] == [1, 10**9]
+    assert sp.deal_classes({}, 5) == {}
+
+
+def test_balanced_folds(spark):
+    hot = sample(spark).withColumn("SUBJECT_ID", F.when(F.col("ICUSTAY_ID") < 57, F.lit(1000)).when(F.col("ICUSTAY_ID") < 70, F.lit(None)).otherwise(F.col("ICUSTAY_ID") % 90))
+    for df in (sample(spark), hot, hot.filter("ICUSTAY_ID < 60")):
+        folded = sp.with_balanced_folds(df)
+        classes = dict(Counter(r["count"] for r in df.groupBy("SUBJECT_ID").count().collect()))
+        sizes = sorted(sum(size * n for size, n in zip(classes, fold)) for fold in zip(*(one_by_one(classes, 5)[c] for c in classes)))
+        assert folded.columns == [*df.columns, "fold"] and folded.count() == df.count()
+        rows = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+        assert sorted(rows.get(f, 0) for f in range(5)) == sizes
+        assert folded.groupBy("SUBJECT_ID").agg(F.countDistinct("fold").alias("n")).filter("n > 1").count() == 0
+    salted = sp.with_balanced_folds(hot, limits=JoinLimits(broadcast_rows=0, hot_share=0.1))
+    assert salted.exceptAll(sp.with_balanced_folds(hot)).count() == 0 and salted.count() == 300
+    assert sp.with_balanced_folds(hot.filter("false")).count() == 0
+    assert all(r["valid_rows"] == 60 and r["subject_overlap"] == 0 for r in sp.fold_preview(sample(spark), balanced=True).collect())
+
+
+def test_exact_split_and_balanced_folds_reach_the_models(spark):
+    df = sample(spark)
+    data = pp.prepare(df, Settings(exact_split=True))
+    assert data.test.select("SUBJECT_ID").distinct().count() == 18
+    train = data.preparation.vectors(data.train)
+    oof, _ = em.cross_validate(train, md.baseline_models()[:1], 4, balanced=True)
+    sizes = sorted(r["count"] for r in oof.groupBy("fold").count().collect())
+    assert sum(sizes) == train.count() and sizes[-1] - sizes[0] <= 1
+
+
 def test_leaking_columns_are_refused():
     with pytest.raises(ValueError, match="DISCHTIME"):
         sp.model_columns(["SUBJECT_ID", "DISCHTIME", "x"])
