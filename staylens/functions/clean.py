@@ -39,15 +39,19 @@ def window_end(intime: Column, hours: int) -> Column:
     return intime + F.make_dt_interval(hours=F.lit(hours))
 
 
+# Everything that counts as white space, in the order of the code points.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
 def category(c: Column, mode: str = "plain") -> Column:
     """Upper-case category with UNKNOWN for missing.
 
-    ``plain`` keeps blanks as they are, ``strip`` trims and treats an empty text
-    as missing.
+    ``plain`` keeps blanks as they are, ``strip`` trims blanks, tabs and line ends
+    and treats an empty text as missing.
     """
     text = c.cast("string")
     if mode == "strip":
-        text = F.nullif(F.trim(text), F.lit(""))
+        text = F.nullif(F.btrim(text, F.lit(BLANKS)), F.lit(""))
     elif mode != "plain":
         raise ValueError(f"unknown category mode {mode!r}; use 'plain' or 'strip'")
     return F.upper(F.coalesce(text, F.lit("UNKNOWN")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from staylens.operators import events as ev
 from staylens.operators.joins import left_join
 from staylens.operators.quantiles import exact_quantiles
 from staylens.schemas import ID_COLUMNS, STAY, SUBJECT, TARGET
+from staylens.session import keep
 from staylens.settings import CHART, JoinLimits, Settings
 
 MISSING_RATES_SHOWN = 25
@@ -134,7 +136,11 @@ def top_missing(df: DataFrame, columns: list[str], n: int = MISSING_RATES_SHOWN)
 
 
 def quality_local(tables: Mapping[str, DataFrame], run) -> DataFrame:
-    """Report of the file-based flow: 15 metrics and the 25 highest missing rates."""
+    """Report of the file-based flow: 15 metrics and the 25 highest missing rates.
+
+    The features are written first, since three parts of the report read them.
+    """
+    run = replace(run, features=keep(run.features, "quality"))
     columns = feature_names(run.features)
     with_chart = run.features.agg(F.countDistinct(STAY).alias("n"))
     stays = run.stays.filter(F.col(TARGET).isNotNull()).agg(F.count(F.lit(1)).alias("n"))

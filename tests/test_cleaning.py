@@ -24,6 +24,12 @@ def test_required_columns(spark, stays_table):
         unit_table(stays_table.drop("LOS", "OUTTIME"))
 
 
+def test_strip_trims_every_kind_of_blank(spark):
+    texts = ["\tUrgent\r\n", "\u00a0new \u2003born\x0b", "\n\t ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "c string").select(fn.category(F.col("c"), "strip").alias("c"))
+    assert [r["c"] for r in df.collect()] == [(t or "").strip().upper() or "UNKNOWN" for t in texts]
+
+
 @pytest.mark.parametrize(
     "mode, expected",
     [("plain", [" EMERGENCY ", "", "UNKNOWN"]), ("strip", ["EMERGENCY", "UNKNOWN", "UNKNOWN"])],
