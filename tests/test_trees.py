@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staylens.plans import models as md
 from staylens.plans import trees as tr
-from staylens.plans.splits import Growth, Split, histogram, split_of_histogram, split_of_rows
+from staylens.plans.splits import Growth, Layout, Split, count_cells, histogram, split_of_cells, split_of_histogram, split_of_rows
 
 SCHEMA = "SUBJECT_ID bigint, HADM_ID bigint, ICUSTAY_ID bigint, LOS double, f int, prepared array<double>"
 
@@ -214,3 +214,39 @@ def test_large_models_predict_in_parts(spark, monkeypatch):
     assert len(list(model.parts())) == 6
     got = [r["prediction"] for r in model.transform(df).orderBy("ICUSTAY_ID").collect()]
     np.testing.assert_allclose(got, want, rtol=1e-12)
+
+
+def test_many_rows_take_few_passes_and_several_small_fits_one_job(spark, monkeypatch):
+    df, _, _ = table(spark, 9_000)
+    rows = tr.bin_rows(df, "f")
+    passes, plain = [], tr._pass
+    monkeypatch.setattr(tr, "_pass", lambda *a: passes.append(1) or plain(*a))
+    tr.plant(rows, tr.Forest(trees=2, max_depth=6))
+    assert len(passes) == 1
+    passes.clear()
+    settings = [tr.Boost(rounds=r, max_leaves=5, held=h) for r in (3, 6) for h in (0, 2, None)]
+    together = tr.boost(rows, settings)
+    # All rounds of all fits are one job; the other pass gives the errors of the held folds.
+    assert len(passes) == 1
+    for got, want in zip(together, [tr.boost(rows, [s], 100)[0] for s in settings]):
+        assert got.held_mae == want.held_mae and len(got.trees) == len(want.trees)
+        for a, b in zip(got.trees, want.trees):
+            assert a.path.tolist() == b.path.tolist() and a.value.tolist() == b.value.tolist()
+
+
+def test_histograms_hold_only_the_bins_that_occur():
+    rng = np.random.default_rng(7)
+    sizes = [3, 40, 2, 250]
+    bins = np.column_stack([rng.integers(0, k + 1, 3000) for k in sizes]).astype(np.uint8)
+    bins[rng.random(bins.shape) < 0.1] = 255
+    g, w = rng.integers(-1000, 1000, 3000).astype(float), rng.integers(1, 4, 3000).astype(float)
+    layout, slots = Layout.of([np.empty(k) for k in sizes]), rng.integers(0, 3, 3000)
+    cells = count_cells(bins, g, w, layout, slots, 3)
+    assert cells.shape == (2, 3, sum(sizes) + 2 * len(sizes))
+    growth = Growth(min_leaf=5)
+    for k in range(3):
+        at = slots == k
+        total, n = g[at].sum(), w[at].sum()
+        want = split_of_histogram(histogram(bins[at], g[at], w[at]), total, n, growth)
+        assert split_of_cells(cells[:, k], layout, total, n, growth) == want
+        assert split_of_rows(bins[at], g[at], w[at], total, n, growth, None, layout) == want
