@@ -16,7 +16,7 @@ from staylens.operators.pivot import Feature, empty_family, pivot_features
 from staylens.operators.quality import quality_base, quality_group
 from staylens.operators.stays import StayWindows, assert_unique, context_features, stay_windows, unit_table
 from staylens.schemas import ADMISSION, ID_COLUMNS, STAY, SUBJECT
-from staylens.session import keep
+from staylens.session import fine_shuffles, keep
 from staylens.settings import FAMILIES, GROUPS, Family, Settings, TableGroup
 from staylens.sources.sinks import export_csv, replace_table, write_report
 
@@ -96,7 +96,8 @@ def long_statistics(
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    return keep(union, f"stats-{group.name}", partition_by="family")
+    with fine_shuffles(union.sparkSession, windows.rows):
+        return keep(union, f"stats-{group.name}", partition_by="family")
 
 
 def select_features(
@@ -333,10 +334,11 @@ def sweep_features(
     for group in groups:
         if group.context not in contexts:
             contexts[group.context] = keep(group_context(tables, stays, group, settings), "sweep-context")
-    merged = [
-        keep(sweep_statistics(tables, family, hours, settings), f"sweep-{family.name}", partition_by="window_hours")
-        for family in everything.families
-    ]
+    with fine_shuffles(stays.sparkSession, stay_windows(stays, max(hours)).rows if everything.families else 0):
+        merged = [
+            keep(sweep_statistics(tables, family, hours, settings), f"sweep-{family.name}", partition_by="window_hours")
+            for family in everything.families
+        ]
     runs: dict[SweepSetting, FeatureRun] = {}
     for h in hours:
         windows = stay_windows(stays, h)

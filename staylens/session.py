@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# A task of a finely dealt shuffle gets about so many stays, and merged partitions hold at most so many bytes.
+FINE_STAYS = 5_000
+FINE_BYTES = "8m"
 
 
 def build_session(app: str = "staylens", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,6 +61,24 @@ def drop_path(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def fine_shuffles(spark: SparkSession, stays: int) -> Iterator[None]:
+    """Jobs started inside have as many shuffle partitions as ``stays`` need.
+
+    Rows of statistics compress well, so partitions merged up to Spark's usual size
+    would sort many times as many bytes in one task.
+    """
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    spark.conf.set(names[0], str(max(int(before[names[0]]), -(-stays // FINE_STAYS))))
+    spark.conf.set(names[1], FINE_BYTES)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def keep(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 

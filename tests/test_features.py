@@ -3,6 +3,7 @@ from conftest import at
 
 from staylens.operators import quality as ql
 from staylens.plans import features as ft
+from staylens.session import FINE_STAYS, fine_shuffles
 from staylens.settings import CHART, LAB, OUTPUT, JoinLimits, Settings, TableGroup
 
 
@@ -148,3 +149,14 @@ def test_duplicate_dimension_rows_are_refused_on_request(spark, tables):
     with pytest.raises(ValueError, match="PATIENTS"):
         ft.build_features({**tables, "patients": twice}, "5", validate=True)
     assert ft.build_features(tables, "5", validate=True).features.count() == 2
+
+
+def test_statistics_are_dealt_by_the_number_of_stays(spark):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(n) for n in names]
+    with fine_shuffles(spark, 1_000 * FINE_STAYS):
+        assert [spark.conf.get(n) for n in names] == ["1000", "8m"]
+    with pytest.raises(KeyError), fine_shuffles(spark, 1):
+        assert spark.conf.get(names[0]) == before[0]
+        raise KeyError
+    assert [spark.conf.get(n) for n in names] == before
