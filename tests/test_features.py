@@ -151,6 +151,13 @@ def test_duplicate_dimension_rows_are_refused_on_request(spark, tables):
     assert ft.build_features(tables, "5", validate=True).features.count() == 2
 
 
+def test_sweep_lines_hold_no_plan_of_the_wide_tables(spark, tables):
+    runs = ft.sweep_features(tables, ["5", "9"], [2, 24], [1, 25], Settings())
+    lines = ft.compare_sweep(spark, runs)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert lines.count() == len(runs) and "Union" not in plan and "Join" not in plan
+
+
 def test_statistics_are_dealt_by_the_number_of_stays(spark):
     names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
     before = [spark.conf.get(n) for n in names]
