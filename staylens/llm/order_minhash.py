@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 RUN, TUPLE, TUPLES = 8, 2, 64
 SEED = 42
 # Cells of one product of seeds and runs, so that a block stays in the cache.
-CELLS = 1 << 17
+CELLS = 1 << 15
 # Expected candidates of one hash order.
 CANDIDATES = 12
 BUCKETS_PER_PARTITION, KEYS_PER_BUCKET = 8, 24
@@ -82,32 +82,68 @@ class OrderMinHash:
 
     def signature(self, points: np.ndarray) -> np.ndarray:
         hashes = run_hashes(points, self.run)
+        return self._packed(hashes, self._least(self._base(hashes), [(0, len(hashes))], 0)[0])
+
+    def signatures(self, points: np.ndarray, edited: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures of two texts whose first ``kept`` code points are equal.
+
+        A run is numbered by what stands before it, so the runs inside the common start
+        have the same keys in both texts and are looked at once.
+        """
+        own, changed = run_hashes(points, self.run), run_hashes(edited, self.run)
+        # A text shorter than a run is hashed at its own length.
+        common = max(kept - self.run + 1, 0)
+        base = np.concatenate([self._base(own), self._base(changed)[common:]])
+        least = self._least(base, [(0, len(own)), (len(own), len(base))], common)
+        return self._packed(own, least[0]), self._packed(changed, least[1])
+
+    def _base(self, hashes: np.ndarray) -> np.ndarray:
+        """One key for each run and its number."""
         if not len(hashes):
-            return np.zeros(self.tuples, np.uint32)
+            return hashes
         numbers = occurrence_numbers(hashes).astype(np.uint64)
-        base = _mixed(hashes + _mixed(numbers * _BASE + np.uint64(self.seed)))
-        chosen = np.sort(self._least(base), axis=1)
+        return _mixed(hashes + _mixed(numbers * _BASE + np.uint64(self.seed)))
+
+    def _packed(self, hashes: np.ndarray, least: np.ndarray) -> np.ndarray:
         out = np.zeros(self.tuples, np.uint64)
+        if not len(hashes):
+            return out.astype(np.uint32)
+        chosen = np.sort(least, axis=1)
         for j in range(chosen.shape[1]):
             out = _mixed(out * _BASE + hashes[chosen[:, j]])
         return (out >> np.uint64(32)).astype(np.uint32)
 
-    def _least(self, base: np.ndarray) -> np.ndarray:
-        """Places of the least products, one row per hash order; earlier places win ties."""
-        size, want = len(base), min(self.size, len(base))
+    def _least(self, base: np.ndarray, spans: list[tuple[int, int]], common: int) -> list[np.ndarray]:
+        """Places of the least products, one row per hash order; earlier places win ties.
+
+        One table of places for each text, which consists of the first ``common`` keys
+        and those of its span.
+        """
+        sizes = [stop - max(start, common) + common for start, stop in spans]
+        wants = [min(self.size, size) for size in sizes]
         seeds = self.seeds()
-        out = np.empty((self.tuples, want), np.int64)
+        out = [np.empty((self.tuples, want), np.int64) for want in wants]
+        least = min((size for size in sizes if size), default=0)
+        if not least:
+            return out
         open_rows = np.arange(self.tuples)
-        share = CANDIDATES * self.size / 2 / size
+        share = CANDIDATES * self.size / 2 / least
         while len(open_rows):
             limit = np.uint64(2**64 - 1) if share >= 1 else np.uint64(int(share * 2**64))
             rows, places, values = self._below(base, seeds[open_rows], limit)
-            order = np.lexsort((places, values, rows))
-            counts = np.bincount(rows, minlength=len(open_rows))
-            starts = np.cumsum(counts) - counts
-            done = counts >= want
-            picked = order[starts[done, None] + np.arange(want)]
-            out[open_rows[done]] = places[picked]
+            # Places ascend within a row, and the sort is stable.
+            order = np.lexsort((values, rows))
+            rows, places = rows[order], places[order]
+            done = np.ones(len(open_rows), bool)
+            for (start, stop), want, table in zip(spans, wants, out):
+                mine = (places < common) | ((places >= start) & (places < stop))
+                at, found = rows[mine], places[mine]
+                counts = np.bincount(at, minlength=len(open_rows))
+                enough = counts >= want
+                picked = found[(np.cumsum(counts) - counts)[enough, None] + np.arange(want)]
+                # A span's own keys follow the common ones in its text.
+                table[open_rows[enough]] = np.where(picked < common, picked, picked - max(start - common, 0))
+                done &= enough
             open_rows = open_rows[~done]
             share *= 16
         return out
@@ -212,26 +248,34 @@ def _fingerprinter(sketch: OrderMinHash, id_type: pa.DataType):
 
     def rows(batches):
         codec = pa.Codec("zstd")
-        bucket, held, ended = None, None, False
+        bucket, held, waiting, ended = None, None, None, False
         for batch in batches:
             columns = (batch.column(n) for n in ("bucket", "guest", "doc_id", "size", "packed"))
             for home, guest, doc_id, size, packed in zip(*(c.to_pylist() for c in columns)):
                 if home != bucket:
-                    bucket, held, ended = home, None, False
+                    bucket, held, waiting, ended = home, None, None, False
                 if ended:
                     continue  # another copy of the guest
                 raw = codec.decompress(packed, size, asbytes=True) if size else b""
                 text = raw.decode("utf-8", "surrogatepass")
-                own = sketch.signature(code_points(text))
                 if held is not None:
-                    yield row(*held, text, own)
-                held, ended = (doc_id, text, own), guest
-
-    def row(doc_id, text, own, following, next_own):
+                    # A text's signature is made with that of its edited text, and completes the row before.
+                    own, found = row(*held, text)
+                    if waiting is not None:
+                        yield completed(*waiting, own)
+                    waiting = found, own
+                held, ended = (doc_id, text), guest
+                if guest and waiting is not None:
+                    yield completed(*waiting, sketch.signature(code_points(text)))
+
+    def row(doc_id, text, following):
         edited = edited_text(text, following)
-        changed = sketch.signature(code_points(edited))
+        own, changed = sketch.signatures(code_points(text), code_points(edited), len(text) - len(text) // 4)
         digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-        return doc_id, len(text), digest, _hex(own), _hex(changed), likeness(own, changed), likeness(own, next_own)
+        return own, (doc_id, len(text), digest, _hex(own), _hex(changed), likeness(own, changed))
+
+    def completed(found, own, next_own):
+        return *found, likeness(own, next_own)
 
     def batch_of(found):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)

@@ -5,8 +5,9 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
-from staylens.llm.order_minhash import OrderMinHash, _mixed, code_points, edited_text, fingerprint_documents, likeness, occurrence_numbers, run_hashes
+from staylens.llm.order_minhash import OrderMinHash, _fingerprinter, _mixed, code_points, edited_text, fingerprint_documents, likeness, occurrence_numbers, run_hashes
 from tests.llm.words import AWKWARD, awkward_docs, collected
 
 MASK = 2**64 - 1
@@ -129,3 +130,34 @@ def test_very_long_texts():
     for text in ("x" * 1_000_000, " \n" * 500_000, "0" * 300_000 + "1"):
         assert len(sketch.signature(code_points(text))) == 64
     assert len(run_hashes(code_points("abc"), 8)) == 1
+
+
+def test_signatures_of_both_texts_equal_those_made_apart():
+    drawn = random.Random(5)
+    texts = ["", "a", "abcdefg", "abcdefgh", "abcdefghi", "x" * 300, "ab" * 9] + ["".join(drawn.choices("abc", k=drawn.randint(0, 80))) for _ in range(200)]
+    sketch = OrderMinHash()
+    for text, following in zip(texts, texts[1:] + texts[:1]):
+        edited = edited_text(text, following)
+        found = sketch.signatures(code_points(text), code_points(edited), len(text) - len(text) // 4)
+        assert [f.astype(">u4").tobytes().hex() for f in found] == [plain_signature(text), plain_signature(edited)]
+
+
+def test_common_start_is_looked_at_once(monkeypatch):
+    drawn = random.Random(6)
+    texts = ["".join(drawn.choices("abcdefgh ", k=2_000)) for _ in range(5)]
+    seen, below = [], OrderMinHash._below
+
+    def counted(base, seeds, limit):
+        seen.append(len(base) * len(seeds))
+        return below(base, seeds, limit)
+
+    monkeypatch.setattr(OrderMinHash, "_below", staticmethod(counted))
+    raw = [t.encode() for t in texts]
+    codec = pa.Codec("zstd")
+    batch = pa.RecordBatch.from_pydict(
+        {"bucket": [0] * 5, "guest": [False] * 4 + [True], "doc_id": [1, 2, 3, 4, 5], "size": [len(r) for r in raw], "packed": [codec.compress(r, asbytes=True) for r in raw]}
+    )
+    (out,) = _fingerprinter(OrderMinHash(), pa.int64())(iter([batch]))
+    assert out.to_pylist() == [dict(zip(out.schema.names, r)) for r in plain_rows(list(zip(range(1, 6), texts)))[:4]]
+    # Four texts with a changed quarter each, and the guest; nothing about 7 runs around a cut.
+    assert sum(seen) < 64 * 2_000 * 1.05 * (4 * 1.25 + 1)
