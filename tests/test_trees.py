@@ -8,6 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from staylens.plans import models as md
+from staylens.plans import splits as sp
 from staylens.plans import trees as tr
 from staylens.plans.splits import Growth, Layout, Split, count_cells, histogram, split_of_cells, split_of_histogram, split_of_rows
 
@@ -250,3 +251,34 @@ def test_histograms_hold_only_the_bins_that_occur():
         want = split_of_histogram(histogram(bins[at], g[at], w[at]), total, n, growth)
         assert split_of_cells(cells[:, k], layout, total, n, growth) == want
         assert split_of_rows(bins[at], g[at], w[at], total, n, growth, None, layout) == want
+
+
+@pytest.mark.parametrize("missing", [0.0, 0.02])
+@pytest.mark.parametrize("subset", ["all", "sqrt"])
+def test_small_nodes_are_split_together(monkeypatch, subset, missing):
+    rng = np.random.default_rng(11)
+    bins = np.column_stack([rng.integers(0, 200, 3_000), rng.integers(0, 2, 3_000), rng.integers(0, 30, 3_000), np.full(3_000, 7), rng.integers(0, 2, (3_000, 3))]).astype(np.uint8)
+    bins[rng.random(bins.shape) < missing] = sp.MISSING
+    weights = rng.integers(1, 4, 3_000).astype(float)
+    sums = rng.integers(-9, 9, 3_000) * 2.0**38 * weights
+    calls, alone = [], sp.split_of_rows
+    monkeypatch.setattr(sp, "split_of_rows", lambda *a: calls.append(1) or alone(*a))
+    for growth in (Growth(subset=subset), Growth(max_depth=7, min_leaf=5, subset=subset)):
+        found = []
+        for batch_rows, cells in ((0, 1), (256, 1 << 20), (3_000, 200)):
+            calls.clear()
+            monkeypatch.setattr(sp, "BATCH_ROWS", batch_rows, raising=False)
+            monkeypatch.setattr(sp, "BATCH_CELLS", cells, raising=False)
+            found.append(sorted(sp.grow(bins, sums, weights, growth, 2)))
+            if batch_rows and not missing:
+                assert len(calls) < 50 < len(found[-1])
+        assert found[0] == found[1] == found[2]
+
+
+def test_one_small_fit_takes_one_job_too(spark, monkeypatch):
+    df, _, _ = table(spark, 200)
+    rows = tr.bin_rows(df)
+    want = tr.boost(rows, [tr.Boost(rounds=6, max_leaves=5)], local_rows=100)[0]
+    monkeypatch.setattr(tr, "_advance", None)
+    got = tr.boost(rows, [tr.Boost(rounds=6, max_leaves=5)])[0]
+    assert [t.value.tolist() for t in got.trees] == [t.value.tolist() for t in want.trees]
