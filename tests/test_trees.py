@@ -282,3 +282,21 @@ def test_one_small_fit_takes_one_job_too(spark, monkeypatch):
     monkeypatch.setattr(tr, "_advance", None)
     got = tr.boost(rows, [tr.Boost(rounds=6, max_leaves=5)])[0]
     assert [t.value.tolist() for t in got.trees] == [t.value.tolist() for t in want.trees]
+
+
+def test_errors_of_a_fold_score_its_rows_only(spark):
+    df, _, _ = table(spark, 400)
+    rows = tr.bin_rows(df, "f")
+    fit = tr.boost(rows, [tr.Boost(rounds=3, max_leaves=5, held=2)])[0]
+    seen = []
+
+    class Counted:
+        def predict(self, bins):
+            seen.append(len(bins))
+            return fit.trees[0].predict(bins)
+
+    learner = tr.Learner(Growth(), 2, base=fit.base, recent=[Counted()], watch=True)
+    batches = rows.blocks.toArrow().to_batches()
+    (message,) = tr._emit(rows, {0: learner}, 10)(iter(batches))
+    count, *_ = np.frombuffer(message.column("sums")[0].as_py())
+    assert sum(seen) == count == 100
