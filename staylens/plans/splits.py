@@ -10,6 +10,7 @@ from __future__ import annotations
 import heapq
 import math
 from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -21,6 +22,10 @@ SORTED_ROWS = 128
 HISTOGRAM_ROWS = 8192
 # Below so many rows the cells of all features are counted at once.
 FEW_ROWS = 1024
+# Features with few bins are counted together, as one with at most so many cells, where
+# the cells of all nodes are not more than the second bound.
+BUNDLE_CELLS = 256
+BUNDLED_CELLS = 1 << 21
 # Growing keeps the cells of nodes above so many rows, to subtract a child's from them.
 KEPT_ROWS = 1024
 # Where all nodes are grown, those of at most so many rows are split together, in batches of so many cells.
@@ -74,6 +79,36 @@ class Node(NamedTuple):
     split: Split | None
 
 
+class Bundles:
+    """Features counted together: the cells of a group are those of all its features at once."""
+
+    def __init__(self, sizes: np.ndarray, limit: int):
+        self.groups: list[tuple[list[int], int, int]] = []
+        features, start, size = [], 0, 1
+        for f in np.argsort(sizes, kind="stable").tolist():
+            if features and size * int(sizes[f]) > limit:
+                self.groups.append((features, start, size))
+                features, start, size = [], start + size, 1
+            features, size = [*features, f], size * int(sizes[f])
+        if features:
+            self.groups.append((features, start, size))
+        self.cells = start + size if features else 0
+        of: list[np.ndarray] = [np.empty(0, np.int64)] * len(sizes)
+        for features, start, size in self.groups:
+            stride = size
+            for f in features:
+                stride //= int(sizes[f])
+                of[f] = start + np.argsort(np.arange(size) // stride % sizes[f], kind="stable")
+        # Cells to add, and where those of each feature's bin begin.
+        self.places = np.concatenate([np.empty(0, np.int64), *of])
+        each = np.repeat([len(x) // max(int(n), 1) for x, n in zip(of, sizes)], sizes)
+        self.starts = np.cumsum(each) - each
+
+    def apart(self, joint: np.ndarray) -> np.ndarray:
+        """Cells feature by feature, as a layout has them."""
+        return np.add.reduceat(joint[..., self.places], self.starts, axis=-1) if len(self.starts) else joint
+
+
 class Layout:
     """Where the bins of each feature lie in a flat histogram; the last cell counts missing values."""
 
@@ -93,6 +128,14 @@ class Layout:
     def full(width: int) -> Layout:
         return Layout(np.full(width, BINS))
 
+    @cached_property
+    def bundles(self) -> Bundles:
+        return Bundles(self.sizes, BUNDLE_CELLS)
+
+    @cached_property
+    def alone(self) -> Bundles:
+        return Bundles(self.sizes, 0)
+
     def take(self, features: np.ndarray) -> Layout:
         return Layout(self.sizes[features])
 
@@ -103,22 +146,28 @@ class Layout:
 
 def count_cells(bins: np.ndarray, sums: np.ndarray, weights: np.ndarray, layout: Layout, slots=None, count: int = 1) -> np.ndarray:
     """Sums and weights per slot and cell: shape (2, count, cells). ``slots`` numbers the rows' nodes."""
-    width, out = len(layout.sizes), np.zeros((2, count, layout.cells))
+    width = len(layout.sizes)
     plain = len(weights) > 0 and weights.min() == weights.max() == 1
+    if slots is None and len(bins) < FEW_ROWS:
+        at = (np.minimum(bins, layout.caps) + layout.starts).ravel()
+        found = [np.bincount(at, x, layout.cells) for x in (np.repeat(sums, width), None if plain else np.repeat(weights, width))]
+        return np.array(found, np.float64)[:, None]
+    bundles = layout.bundles if count * layout.bundles.cells <= BUNDLED_CELLS else layout.alone
+    joint = np.zeros((2, count, bundles.cells))
     for low in range(0, len(bins), HISTOGRAM_ROWS):
         part = slice(low, low + HISTOGRAM_ROWS)
-        found, s, w = np.minimum(bins[part], layout.caps), sums[part], weights[part]
-        if slots is None and len(found) < FEW_ROWS:
-            at = (found + layout.starts).ravel()
-            out[0, 0] += np.bincount(at, np.repeat(s, width), layout.cells)
-            out[1, 0] += np.bincount(at, None if plain else np.repeat(w, width), layout.cells)
-            continue
-        columns = np.ascontiguousarray(found.T)
-        for f, (size, start, end) in enumerate(zip(layout.sizes.tolist(), layout.starts.tolist(), layout.ends.tolist())):
-            at = columns[f].astype(np.intp) if slots is None else slots[part] * size + columns[f]
-            out[0, :, start:end] += np.bincount(at, s, count * size).reshape(count, size)
-            out[1, :, start:end] += np.bincount(at, None if plain else w, count * size).reshape(count, size)
-    return out
+        s, w = sums[part], None if plain else weights[part]
+        columns = np.ascontiguousarray(np.minimum(bins[part], layout.caps).T)
+        for features, start, size in bundles.groups:
+            at = columns[features[0]].astype(np.intp)
+            for f in features[1:]:
+                at *= layout.sizes[f]
+                at += columns[f]
+            if slots is not None:
+                at += slots[part] * size
+            joint[0, :, start : start + size] += np.bincount(at, s, count * size).reshape(count, size)
+            joint[1, :, start : start + size] += np.bincount(at, w, count * size).reshape(count, size)
+    return bundles.apart(joint)
 
 
 def histogram(bins: np.ndarray, sums: np.ndarray, weights: np.ndarray) -> np.ndarray:

@@ -68,10 +68,26 @@ def fine_shuffles(spark: SparkSession, stays: int) -> Iterator[None]:
     Rows of statistics compress well, so partitions merged up to Spark's usual size
     would sort many times as many bytes in one task.
     """
-    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    before = {name: spark.conf.get(name) for name in names}
-    spark.conf.set(names[0], str(max(int(before[names[0]]), -(-stays // FINE_STAYS))))
-    spark.conf.set(names[1], FINE_BYTES)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stays // FINE_STAYS))
+    with _settings(spark, {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.advisoryPartitionSizeInBytes": FINE_BYTES}):
+        yield
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside hand Python at most ``rows`` rows at a time.
+
+    For rows of many kilobytes: the next batch is written while one is worked on.
+    """
+    with _settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        yield
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:

@@ -300,3 +300,35 @@ def test_errors_of_a_fold_score_its_rows_only(spark):
     (message,) = tr._emit(rows, {0: learner}, 10)(iter(batches))
     count, *_ = np.frombuffer(message.column("sums")[0].as_py())
     assert sum(seen) == count == 100
+
+
+def test_features_with_few_bins_are_counted_together():
+    rng = np.random.default_rng(8)
+    layout = Layout(np.array([3, 100, 4, 256, 5, 2, 4]))
+    assert len(layout.bundles.groups) < len(layout.sizes)
+    bins = np.column_stack([rng.integers(0, size - 1, 9_000) for size in layout.sizes]).astype(np.uint8)
+    bins[rng.random(bins.shape) < 0.1] = sp.MISSING
+    sums, weights, slots = rng.integers(-9, 9, 9_000).astype(float), rng.integers(1, 3, 9_000).astype(float), rng.integers(0, 3, 9_000)
+    for w in (weights, np.ones(9_000)):
+        got, apart = count_cells(bins, sums, w, layout), count_cells(bins, sums, w, layout, slots, 3)
+        for f, (start, size) in enumerate(zip(layout.starts, layout.sizes)):
+            for b in range(size):
+                mine = bins[:, f] == (sp.MISSING if b == size - 1 else b)
+                assert got[:, 0, start + b].tolist() == [sums[mine].sum(), w[mine].sum()]
+                for k in range(3):
+                    assert apart[:, k, start + b].tolist() == [sums[mine & (slots == k)].sum(), w[mine & (slots == k)].sum()]
+
+
+def test_passes_of_boosting_read_cached_blocks(spark, monkeypatch):
+    df, _, _ = table(spark)
+    rows, setting, seen = tr.bin_rows(df), "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    want = tr.boost(rows, [tr.Boost(rounds=5, max_leaves=6)])[0]
+    advance, before = tr._advance, spark.conf.get(setting)
+    monkeypatch.setattr(tr, "_advance", lambda r, *rest: (seen.append((r.blocks.storageLevel.useMemory, spark.conf.get(setting))), advance(r, *rest)))
+    # 60 rows of five features.
+    monkeypatch.setattr(tr, "LOCAL_BYTES", 60 * 21)
+    got = tr.boost(rows, [tr.Boost(rounds=5, max_leaves=6)], state_rounds=2)[0]
+    assert len(seen) > 5 and set(seen) == {(True, str(tr.BATCH_BLOCKS))}
+    assert not rows.blocks.storageLevel.useMemory and spark.conf.get(setting) == before
+    assert [t.path.tolist() for t in got.trees] == [t.path.tolist() for t in want.trees]
+    assert all(np.array_equal(a.value, b.value) for a, b in zip(got.trees, want.trees))
