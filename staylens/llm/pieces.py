@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylens.llm.text import in_slices
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHE_PARTS = 300_000
@@ -207,21 +209,25 @@ def encode_column(spark, text: Column, vocabulary: Vocabulary) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            found = [coder().encode(t.as_py() or "") for t in texts]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, "<i4"), *found])))
+        return _encoded(batches, coder)
 
     return encode(text)
 
 
+def _encoded(batches: Iterator[pa.Array], coder) -> Iterator[pa.Array]:
+    for texts in in_slices(batches):
+        found = [coder().encode(t.as_py() or "") for t in texts]
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, "<i4"), *found])))
+
+
 def decode_column(spark, ids: Column, vocabulary: Vocabulary) -> Column:
     """The text of an array of ids; NULL for NULL."""
     coder = _on_workers(spark, vocabulary)
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for rows in batches:
+        for rows in in_slices(batches):
             yield pa.array([None if not r.is_valid else coder().decode(r.as_py()) for r in rows], pa.string())
 
     return decode(ids)
@@ -251,7 +257,7 @@ def piece_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
     @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,restored:boolean>")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in in_slices(batches):
             sizes, digests, same = [], [], []
             for t in texts:
                 wording = t.as_py() or ""

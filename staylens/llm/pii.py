@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylens.llm.crf import LONG, Crf, Decoder, fit_crf, luhn, word_shape
+from staylens.llm.text import in_slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ["O", *(f"{place}-{kind}" for kind in KINDS for place in "BI")]
@@ -253,22 +254,18 @@ def _finder(model: Crf, masking: bool):
     def find(batches):
         if not decoders:
             decoders.append(Decoder(model))
-        for column in batches:
-            rows = []
-            # Word lists of a few texts at a time keep the memory of a batch small.
-            for at in range(0, len(column), 256):
-                texts = [t or "" for t in column.slice(at, 256).to_pylist()]
-                words = [field_words(t) for t in texts]
-                for text, tagged in zip(texts, decoders[0].tag(words)):
-                    base = base_spans(text)
-                    spans = sorted(base + _added(text, base, tagged))
-                    counts = [sum(k == kind for _, k, _ in base) for kind in range(4)]
-                    digest = hashlib.sha256(listed(base).encode()).hexdigest()
-                    rows.append((*counts, digest, listed(spans), masked(text, spans) if masking else None))
+        # Word lists and results of a few texts at a time keep the memory of a batch small.
+        for column in in_slices(batches):
+            rows, texts = [], [t or "" for t in column.to_pylist()]
+            for text, tagged in zip(texts, decoders[0].tag([field_words(t) for t in texts])):
+                base = base_spans(text)
+                spans = sorted(base + _added(text, base, tagged))
+                counts = [sum(k == kind for _, k, _ in base) for kind in range(4)]
+                digest = hashlib.sha256(listed(base).encode()).hexdigest()
+                rows.append((*counts, digest, listed(spans), masked(text, spans) if masking else None))
             names = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "masked"]
             types = [pa.int64()] * 4 + [pa.string()] * 3
-            columns = list(zip(*rows)) or [[]] * 7
-            yield pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
+            yield pa.StructArray.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names)
 
     return find
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.01
+# Texts that a Python function holds results of; a batch of Spark may have thousands.
+SLICE_ROWS = 256
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +53,13 @@ def crc_remainder(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def in_slices(batches: Iterable[pa.Array], rows: int = SLICE_ROWS) -> Iterator[pa.Array]:
+    """The batches in parts of at most ``rows`` rows, so that results leave a worker part by part."""
+    for batch in batches:
+        for low in range(0, len(batch), rows):
+            yield batch.slice(low, rows)
+
+
 def fits_broadcast(size: int) -> bool:
     return size <= BROADCAST_BYTES
 

@@ -1,9 +1,11 @@
 import random
 from functools import lru_cache
 
+import pyarrow as pa
 import sentencepiece
 
-from staylens.llm.pieces import MODEL_PATH, Coder, Vocabulary, decode_texts, encode_texts, load_vocabulary, piece_digests
+from staylens.llm.pieces import MODEL_PATH, Coder, Vocabulary, _encoded, decode_texts, encode_texts, load_vocabulary, piece_digests
+from staylens.llm.text import SLICE_ROWS
 
 from .words import AWKWARD, awkward_docs
 
@@ -63,3 +65,11 @@ def test_round_trip_of_awkward_rows(spark):
 def test_round_trip_of_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert piece_digests(docs).filter("not restored").count() == 0
+
+
+def test_ids_leave_a_batch_in_small_parts():
+    coder = Coder(Vocabulary(tuple((p, -1.0, k) for k, p in enumerate(PIECES)), tuple(range(100, 356))))
+    texts = ["a" * (i % 7) for i in range(3 * SLICE_ROWS + 5)] + [None]
+    parts = list(_encoded(iter([pa.array(texts), pa.array([], pa.string())]), lambda: coder))
+    assert [len(p) for p in parts] == [SLICE_ROWS] * 3 + [6]
+    assert [ids for p in parts for ids in p.to_pylist()] == [coder.encode(t or "").tolist() for t in texts]

@@ -124,6 +124,13 @@ def test_masking(spark):
     assert [r.text for r in pii.mask_pii(docs).orderBy("doc_id").collect()] == ["mail [EMAIL] or [PHONE].", None]
 
 
+def test_masked_texts_leave_a_batch_in_small_parts(model):
+    texts = [f"mail a{i}@b.co" if i % 3 else None for i in range(600)]
+    parts = list(pii._finder(model, True)(iter([pa.array(texts), pa.array([], pa.string())])))
+    assert max(map(len, parts)) <= 256
+    assert [r["masked"] for p in parts for r in p.to_pylist()] == ["mail [EMAIL]" if t else "" for t in texts]
+
+
 def test_more_shapes_than_the_limit(model, monkeypatch):
     rng = random.Random(3)
     known = ["4111111111111111", "415-555-2671", "(415)", "555-2671", "jane@localhost", "word", "of", "10.0.0.7"]
