@@ -464,3 +464,7 @@ class Tree:
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
         return self.value[self.leaves(bins)]
+
+    def whole(self, grid: float) -> np.ndarray:
+        """The values as whole numbers of ``1 / grid``."""
+        return np.rint(self.value * grid).astype(np.int64)

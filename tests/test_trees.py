@@ -332,3 +332,29 @@ def test_passes_of_boosting_read_cached_blocks(spark, monkeypatch):
     assert not rows.blocks.storageLevel.useMemory and spark.conf.get(setting) == before
     assert [t.path.tolist() for t in got.trees] == [t.path.tolist() for t in want.trees]
     assert all(np.array_equal(a.value, b.value) for a, b in zip(got.trees, want.trees))
+
+
+def test_large_models_are_not_brought_to_the_driver(spark, monkeypatch):
+    df, _, _ = table(spark, 200)
+    twice = df.unionByName(df.filter("ICUSTAY_ID < 20"))
+    model = md.fit_forest(df, trees=5)
+    want = sorted(tuple(r) for r in model.transform(twice).select("ICUSTAY_ID", F.round("prediction", 9)).collect())
+    monkeypatch.setattr(tr, "PART_NODES", 10)
+    # Rows are handed out 30 at a time, nodes never.
+    monkeypatch.setattr(tr, "LOCAL_BYTES", 30 * (5 + 16))
+    monkeypatch.setattr(tr.TreeModel, "_trees", None)
+    got = model.transform(twice)
+    assert got.columns == [*twice.columns, "prediction"]
+    assert sorted(tuple(r) for r in got.select("ICUSTAY_ID", F.round("prediction", 9)).collect()) == want
+    assert model.transform(df.limit(0)).count() == 0
+
+
+def test_small_forests_grow_from_rows_that_tasks_share(spark, monkeypatch):
+    df, _, _ = table(spark, 300)
+    rows = tr.bin_rows(df, "f")
+    forests = [tr.Forest(trees=3, held=1, min_leaf=2), tr.Forest(trees=2, held=None, subset="0.5")]
+    want = [sorted(map(tuple, tr.plant(rows, x, 100).collect())) for x in forests]
+    # No row is sent to the task of a node.
+    monkeypatch.setattr(tr, "_emit", None)
+    got = [sorted(map(tuple, nodes.collect())) for nodes in tr.plant_all(rows, forests)]
+    assert got == want and len(got[0]) > 10 and len({r[0] for r in got[0]}) == 3
