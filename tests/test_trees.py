@@ -358,3 +358,33 @@ def test_small_forests_grow_from_rows_that_tasks_share(spark, monkeypatch):
     monkeypatch.setattr(tr, "_emit", None)
     got = [sorted(map(tuple, nodes.collect())) for nodes in tr.plant_all(rows, forests)]
     assert got == want and len(got[0]) > 10 and len({r[0] for r in got[0]}) == 3
+
+
+def test_features_with_two_values_are_not_sorted(monkeypatch):
+    rng = np.random.default_rng(12)
+    bins = np.column_stack([rng.integers(0, 2, (2_000, 6)), rng.integers(0, 9, 2_000)]).astype(np.uint8)
+    bins[:, 4] = bins[:, 1]
+    weights = rng.integers(1, 4, 2_000).astype(float)
+    sums = rng.integers(-9, 9, 2_000) * 2.0**38 * weights
+    layout = Layout(np.array([3] * 6 + [10]))
+    for growth in (Growth(), Growth(subset="0.5"), Growth(max_depth=9, min_leaf=4)):
+        # Bins of all sizes: nothing is known to have two values.
+        want = sorted(sp.grow(bins, sums, weights, growth, 1, 1, Layout.full(7)))
+        assert sorted(sp.grow(bins, sums, weights, growth, 1, 1, layout)) == want
+    seen, plain = [], sp._two_valued
+    monkeypatch.setattr(sp, "_two_valued", lambda out, two, *rest: seen.append(len(two)) or plain(out, two, *rest))
+    sp.grow(bins, sums, weights, Growth(), 1, 1, layout)
+    assert set(seen) == {6}
+    assert tr.distinct_features(bins).tolist() == [0, 1, 2, 3, 5, 6]
+
+
+def test_errors_of_forests_are_found_in_one_job(spark, monkeypatch):
+    df, _, _ = table(spark, 300, missing=True)
+    rows = tr.bin_rows(df, "f")
+    forests = [tr.Forest(trees=t, held=h, max_depth=6, subset=x) for t, h, x in ((20, 1, "all"), (3, 2, "0.5"), (2, 9, "sqrt"))]
+    want = [tr.held_mae(rows, tr.forest_model(rows, tr.plant(rows, x, 100)), x.held) for x in forests]
+    monkeypatch.setattr(tr, "keep", None)
+    got = tr.forest_errors(rows, forests)
+    assert got[:2] == pytest.approx(want[:2], rel=1e-9)
+    # No row is in this fold.
+    assert math.isnan(got[2]) and math.isnan(want[2])
