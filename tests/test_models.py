@@ -13,6 +13,7 @@ from staylens.operators import quality as ql
 from staylens.plans import evaluate as em
 from staylens.plans import models as md
 from staylens.plans import prepare as pp
+from staylens.plans import trees as tr
 from staylens.plans.linear import LinearModel
 from staylens.schemas import FEATURES, STAY, TARGET
 from staylens.settings import JoinLimits, Settings
@@ -293,3 +294,18 @@ def test_target_reports(spark):
     expected, _ = np.histogram(np.arange(1, 101), bins=40)
     assert [r["count"] for r in hist] == expected.tolist()
     assert ql.target_histogram(df.filter("LOS = 5")).agg(F.sum("count")).first()[0] == 1
+
+
+def test_trials_of_forests_are_not_written(spark, monkeypatch):
+    rows = [(i % 30, i, i, float(i % 7 + i % 3), [float(i % 7), float(i % 11), float(i % 3)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "SUBJECT_ID bigint, HADM_ID bigint, ICUSTAY_ID bigint, LOS double, x array<double>")
+    df = df.withColumn("features", array_to_vector("x"))
+    planted, plain, found = [], em.plant, []
+    monkeypatch.setattr(em, "plant", lambda *a: planted.append(1) or plain(*a))
+    for limit in (tr.LOCAL_BYTES, 100):
+        monkeypatch.setattr(tr, "LOCAL_BYTES", limit)
+        found.append(em.tune(df, "forest", trials=2, folds=2, ranges={"trees": (2, 3, 1), "max_depth": (2, 4)}))
+        # Only the best setting is planted, but for more rows than a task may hold.
+        assert len(planted) == (1 if limit > 100 else 1 + 5)
+    (a, b) = ([mae for _, mae in t.trials] for t in found)
+    assert a == pytest.approx(b, rel=1e-9) and found[0].best_params == found[1].best_params

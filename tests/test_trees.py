@@ -388,3 +388,18 @@ def test_errors_of_forests_are_found_in_one_job(spark, monkeypatch):
     assert got[:2] == pytest.approx(want[:2], rel=1e-9)
     # No row is in this fold.
     assert math.isnan(got[2]) and math.isnan(want[2])
+
+
+def test_cells_of_many_chosen_features_are_kept(monkeypatch):
+    rng = np.random.default_rng(13)
+    bins = rng.integers(0, 40, (6_000, 10)).astype(np.uint8)
+    sums, counted, plain = rng.integers(-9, 9, 6_000) * 2.0**38, [], sp.count_cells
+    monkeypatch.setattr(sp, "count_cells", lambda b, *rest: counted.append(b.size) or plain(b, *rest))
+    found, cells = [], []
+    for kept in (200, 10**9):
+        monkeypatch.setattr(sp, "KEPT_ROWS", kept)
+        counted.clear()
+        found.append(sorted(sp.grow(bins, sums, np.ones(6_000), Growth(max_depth=4, subset="0.8"), 1, 1, Layout(np.full(10, 41)))))
+        cells.append(sum(counted))
+    # The larger of two children is not counted.
+    assert found[0] == found[1] and cells[0] < 0.9 * cells[1]
